@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workflow this library rebuilds reads two bounded tables and has no
+stream, watermark, window or state (see README, "Not built").  Fitted
+``PipelineModel``s are plain ``pyspark.ml`` models, so a caller can apply
+one to a ``readStream`` source without anything from this package.
+"""
