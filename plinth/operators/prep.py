@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from plinth.functions.exprs import c, nan_to_null
 from plinth.operators.state import StateModel, by_group
-from plinth.operators.stats import modes, moments, quantiles_by_group
+from plinth.operators.stats import categories, modes, moments, quantiles_by_group
 
 # ---------------------------------------------------------------- clipping
 
@@ -181,3 +181,18 @@ def onehot_stages(df: DataFrame, cats: dict[str, list[str]], suffix: str = "__oh
     encoder = OneHotEncoder(inputCols=idx_cols, outputCols=oh_cols, dropLast=True, handleInvalid="keep")
     probe = sizes.transform(indexer.transform(df.limit(0)))
     return [indexer, sizes, encoder.fit(probe)], oh_cols
+
+
+def dummies(df: DataFrame, cols: list[str], token: str = "Missing", max_categories: int = 100_000):
+    """Wide 0/1 double columns ``{col}_{value}`` for every value (gaps filled with ``token``).
+
+    Returns (frame without the source columns, dummy names).  Categories are
+    collected to the driver, so the width is capped by ``max_categories``.
+    """
+    filled = df.fillna(token, subset=cols)
+    cats = categories(filled, cols, max_categories=max_categories).get(None, {})
+    exprs = {}
+    for x in cols:
+        for v in cats.get(x, []):
+            exprs[f"{x}_{v}"] = (c(x) == F.lit(v)).cast("double")
+    return filled.withColumns(exprs).drop(*cols), list(exprs)
