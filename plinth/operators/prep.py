@@ -183,6 +183,18 @@ def onehot_stages(df: DataFrame, cats: dict[str, list[str]], suffix: str = "__oh
     return [indexer, sizes, encoder.fit(probe)], oh_cols
 
 
+def index_stages(cats: dict[str, list[str]], suffix: str = "__idx") -> tuple[list, list[str]]:
+    """Categories as nominal indices (for trees with native categorical splits); unknown -> index n."""
+    cols = [x for x in cats if cats[x]]
+    if not cols:
+        return [], []
+    idx_cols = [f"{x}{suffix}" for x in cols]
+    indexer = StringIndexerModel.from_arrays_of_labels([cats[x] for x in cols], inputCols=cols,
+                                                      outputCols=idx_cols, handleInvalid="keep")
+    sizes = NominalSizeModel.of(sizes={i: len(cats[x]) + 1 for x, i in zip(cols, idx_cols)})
+    return [indexer, sizes], idx_cols
+
+
 def dummies(df: DataFrame, cols: list[str], token: str = "Missing", max_categories: int = 100_000):
     """Wide 0/1 double columns ``{col}_{value}`` for every value (gaps filled with ``token``).
 

@@ -85,27 +85,38 @@ def fold_col(k: int) -> str:
     return f"{FOLD}_{k}"
 
 
+def make_folds(train: DataFrame, spec: Spec) -> DataFrame:
+    """(id, fold_k for every compared fold count), checkpointed."""
+    d, v = spec.data, spec.validation
+    out = train.select(d.id_col, d.target_col)
+    for k in v.compare_n_splits:
+        out = assign_folds(out, d.target_col, d.id_col, k, spec.seed, v.stratify_bins,
+                           v.single_split_valid_size).withColumnRenamed(FOLD, fold_col(k)).drop("stratum")
+    return out.drop(d.target_col).checkpoint(eager=True)
+
+
 class CrossValidation:
     """Holds the checkpointed base table and fitted recipes of one training set."""
 
-    def __init__(self, spark: SparkSession, train: DataFrame, spec: Spec, test: DataFrame | None = None):
-        self.spark, self.spec = spark, spec.validate()
+    def __init__(self, spark: SparkSession, train: DataFrame, spec: Spec, test: DataFrame | None = None,
+                 folds: DataFrame | None = None, encode: bool = True):
+        """``folds`` (id, fold_k...) reuses an assignment made by ``make_folds``."""
+        self.spark, self.spec, self.encode = spark, spec.validate(), encode
         d = spec.data
         feat = add_features(train, spec.features)
         self.features = feature_columns(feat, spec)
         labelled = feat.withColumn(LABEL_COL, transform_target(c(d.target_col), d.target_transform))
-        v = spec.validation
-        for k in v.compare_n_splits:
-            labelled = assign_folds(labelled, d.target_col, d.id_col, k, spec.seed, v.stratify_bins,
-                                    v.single_split_valid_size).withColumnRenamed(FOLD, fold_col(k))
-        self.base = labelled.checkpoint(eager=True)
+        if folds is None:
+            folds = make_folds(train, spec)
+        self.base = labelled.join(folds, d.id_col).checkpoint(eager=True)
         self.test = None if test is None else add_features(test, spec.features)
         self._recipes: dict = {}
         self._targets: dict = {}
         self.log = RunLog()
 
     # ------------------------------------------------------------ fitted state
-    def recipes(self, k: int | None, scale: bool, encode: bool = True) -> dict:
+    def recipes(self, k: int | None, scale: bool, encode: bool | None = None) -> dict:
+        encode = self.encode if encode is None else encode
         key = (k, scale, encode)
         if key not in self._recipes:
             prep = self.spec.prep
@@ -128,9 +139,10 @@ class CrossValidation:
             self._targets[k] = {g: (v[LABEL_COL][0], v[LABEL_COL][1], v[LABEL_COL][2]) for g, v in m.items()}
         return self._targets[k]
 
-    def _ctx(self, k: int | None, f, n_features: int) -> FitContext:
+    def _ctx(self, k: int | None, f, state) -> FitContext:
         n, _, s = self.target_stats(k)[f]
-        return FitContext(n_rows=n, target_std=s or 0.0, n_features=n_features, seed=self.spec.seed)
+        return FitContext(n_rows=n, target_std=s or 0.0, n_features=state.n_features, seed=self.spec.seed,
+                          max_bins=state.max_categories)
 
     # ------------------------------------------------------------------ fits
     def fit_fold(self, exp: Experiment, k: int, f: int, with_test: bool = False):
@@ -140,7 +152,7 @@ class CrossValidation:
         state = self.recipes(k, scale)[f]
         prep = PipelineModel(recipe_stages(state, self.base))
         prepared = prep.transform(self.base)
-        est = build_estimator(exp.model_name, exp.params_dict, self._ctx(k, f, state.n_features))
+        est = build_estimator(exp.model_name, exp.params_dict, self._ctx(k, f, state))
         model = est.fit(fold_train(prepared, f, k, fold_col(k)))
         full = PipelineModel([prep, model])
         d = self.spec.data
@@ -160,7 +172,7 @@ class CrossValidation:
                               self.spec.prep.scale_numeric_for_knn)
         state = self.recipes(None, scale)[None]
         prep = PipelineModel(recipe_stages(state, self.base))
-        est = build_estimator(exp.model_name, exp.params_dict, self._ctx(None, None, state.n_features))
+        est = build_estimator(exp.model_name, exp.params_dict, self._ctx(None, None, state))
         model = est.fit(prep.transform(self.base))
         full = PipelineModel([prep, model])
         preds = None

@@ -23,8 +23,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml import Estimator, Model
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from plinth.functions.target import inverse_target, transform_target
 
 LINEAR = {"linear_regression", "ridge", "lasso", "elasticnet"}
 TREES = {"decision_tree", "random_forest", "xgboost", "lightgbm", "catboost"}
@@ -41,6 +46,7 @@ class FitContext:
     target_std: float            # population std of the transformed target
     n_features: int = 1
     seed: int = 42
+    max_bins: int = 32           # trees: at least the largest category count
 
 
 def family(model_name: str) -> str:
@@ -97,14 +103,15 @@ def build_estimator(model_name: str, params: dict, ctx: FitContext, features_col
                     label_col: str = "label"):
     """The MLlib estimator for one experiment on one set of training rows."""
     io = dict(featuresCol=features_col, labelCol=label_col, predictionCol="prediction")
+    bins = dict(maxBins=max(32, int(ctx.max_bins)))
     seed = int(params.get("random_state", params.get("random_seed", ctx.seed)) or ctx.seed)
     if model_name in LINEAR:
         return LinearRegression(**io, **linear_params(model_name, params, ctx))
     if model_name == "decision_tree":
-        return DecisionTreeRegressor(**io, maxDepth=_depth(params.get("max_depth")),
+        return DecisionTreeRegressor(**io, **bins, maxDepth=_depth(params.get("max_depth")),
                                      minInstancesPerNode=int(params.get("min_samples_leaf", 1)), seed=seed)
     if model_name == "random_forest":
-        return RandomForestRegressor(**io, numTrees=int(params.get("n_estimators", 100)),
+        return RandomForestRegressor(**io, **bins, numTrees=int(params.get("n_estimators", 100)),
                                      maxDepth=_depth(params.get("max_depth")),
                                      minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
                                      featureSubsetStrategy="all", bootstrap=True, seed=seed)
@@ -112,12 +119,12 @@ def build_estimator(model_name: str, params: dict, ctx: FitContext, features_col
         depth = params.get("max_depth")
         if depth is None and "num_leaves" in params:           # 31 leaves ~ a depth-5 tree
             depth = max(1, int(params["num_leaves"]).bit_length() - 1)
-        return GBTRegressor(**io, maxIter=int(params.get("n_estimators", 100)),
+        return GBTRegressor(**io, **bins, maxIter=int(params.get("n_estimators", 100)),
                             stepSize=float(params.get("learning_rate", 0.1)), maxDepth=_depth(depth or 3),
                             subsamplingRate=float(params.get("subsample", 1.0)),
                             featureSubsetStrategy=str(params.get("colsample_bytree", "all")), seed=seed)
     if model_name == "catboost":
-        return GBTRegressor(**io, maxIter=int(params.get("iterations", 100)),
+        return GBTRegressor(**io, **bins, maxIter=int(params.get("iterations", 100)),
                             stepSize=float(params.get("learning_rate", 0.1)),
                             maxDepth=_depth(params.get("depth", 6)), seed=seed)
     if model_name == "dnn":
@@ -125,3 +132,25 @@ def build_estimator(model_name: str, params: dict, ctx: FitContext, features_col
     if model_name == "knn":
         raise ImportError("k-nearest-neighbour regression is not built in this engine yet")
     raise ValueError(f"Unsupported model: {model_name}")
+
+
+class TargetTransformModel(Model):
+    def __init__(self, model, mode: str, prediction_col: str = "prediction"):
+        super().__init__()
+        self.model, self.mode, self.prediction_col = model, mode, prediction_col
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out = self.model.transform(dataset)
+        return out.withColumn(self.prediction_col, inverse_target(F.col(self.prediction_col), self.mode))
+
+
+class TargetTransformRegressor(Estimator):
+    """Fit any regressor on ``log1p(label)``; predictions come back through ``expm1``."""
+
+    def __init__(self, estimator, mode: str = "log1p", label_col: str = "label"):
+        super().__init__()
+        self.estimator, self.mode, self.label_col = estimator, mode, label_col
+
+    def _fit(self, dataset: DataFrame) -> TargetTransformModel:
+        moved = dataset.withColumn(self.label_col, transform_target(F.col(self.label_col), self.mode))
+        return TargetTransformModel(self.estimator.fit(moved), self.mode)

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from plinth.functions.exprs import c, is_numeric
 from plinth.operators.clean import FeatureCleanerModel, fit_cleaner
 from plinth.operators.prep import (ClipModel, ImputeModel, ScaleModel, clip_grouped, fit_categorical_fill,
-                                   fit_clip_bounds, fit_numeric_fill, fit_scaler, impute_grouped, onehot_stages)
+                                   fit_clip_bounds, fit_numeric_fill, fit_scaler, impute_grouped, index_stages,
+                                   onehot_stages)
 from plinth.operators.state import by_group
 from plinth.operators.stats import categories
 from plinth.spec import PrepSpec
@@ -45,6 +46,10 @@ class RecipeState:
     def n_features(self) -> int:
         return len(self.numeric) + (sum(len(v) for v in self.cats.values()) if self.encode else len(self.categorical))
 
+    @property
+    def max_categories(self) -> int:
+        return max([len(v) + 1 for v in self.cats.values()], default=2)
+
 
 def fit_recipe(df: DataFrame, feature_cols: list[str], prep: PrepSpec, scale: bool, group: str | None = None,
                groups: list | None = None, encode: bool = True) -> dict:
@@ -73,7 +78,7 @@ def fit_recipe(df: DataFrame, feature_cols: list[str], prep: PrepSpec, scale: bo
         imputed = impute_grouped(work, {g: {x: num_fill[g][x] for x in live} for g in keys}, group)
         scale_state = fit_scaler(imputed, live, group) if live else {g: {} for g in keys}
     cats = {g: {} for g in keys}
-    if encode and cat_union:
+    if cat_union:
         filled = work.withColumns({x: F.coalesce(c(x).cast("string"),
                                                  by_group(gcol, {g: cat_fill[g].get(x) for g in keys}, "string"))
                                    for x in cat_union})
@@ -100,11 +105,15 @@ def recipe_stages(state: RecipeState, sample: DataFrame, features_col: str = FEA
     if state.scale:
         stages.append(ScaleModel.of(scale=state.scale))
     inputs = list(state.numeric)
+    probe = PipelineModel(stages).transform(sample.limit(0))
     if state.encode:
-        probe = PipelineModel(stages).transform(sample.limit(0))
         oh, oh_cols = onehot_stages(probe, state.cats)
         stages += oh
         inputs += oh_cols
+    else:
+        idx, idx_cols = index_stages(state.cats)
+        stages += idx
+        inputs += idx_cols
     stages.append(VectorAssembler(inputCols=inputs, outputCol=features_col, handleInvalid="error"))
     return stages
 
