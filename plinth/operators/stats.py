@@ -132,30 +132,68 @@ def categories(df: DataFrame, cols: list[str], group: str | None = None, max_cat
     return out
 
 
-def pair_correlations(df: DataFrame, cols: list[str], group: str | None = None, batch: int = 64) -> dict:
+def _moment_blocks(batches, cols: list[str], shifts: dict):
+    """Per partition: for every group, the pairwise-complete sums as one flat array.
+
+    With M the presence mask and X the shifted values (0 where missing):
+    N = M'M (rows where both are present), S = X'M (sum of a where b is
+    present), Q = (X*X)'M, P = X'X.  Four p x p blocks per group.
+    """
+    import numpy as np
+    import pandas as pd
+    acc: dict = {}
+    for pdf in batches:
+        for g, part in pdf.groupby(GROUP, sort=False):
+            x = part[cols].to_numpy(dtype="float64") - shifts[g]
+            m = ~np.isnan(x)
+            x = np.where(m, x, 0.0)
+            mf = m.astype("float64")
+            blocks = np.stack([mf.T @ mf, x.T @ mf, (x * x).T @ mf, x.T @ x])
+            acc[g] = blocks if g not in acc else acc[g] + blocks
+    if acc:
+        yield pd.DataFrame({GROUP: list(acc), "m": [v.ravel() for v in acc.values()]})
+
+
+def pair_correlations(df: DataFrame, cols: list[str], group: str | None = None) -> dict:
     """{g: {(a, b): |pearson|}} for a before b in ``cols``, pairwise-complete rows.
 
-    covar_samp / sqrt(var_samp(a | b present) * var_samp(b | a present)),
-    with try_divide so a constant pair gives NULL instead of an ANSI error.
-    Pairs are batched into aggregates of ``batch`` pairs.
+    One pass: each task turns its Arrow batches into four p x p moment blocks
+    per group (matrix products, shifted by the group means for accuracy), the
+    blocks are summed by ``Summarizer`` (partial aggregation, one small vector
+    per task), and the driver gets 4 p^2 numbers per group.  A constant pair
+    gives NULL (pandas gives NaN), never an error.
     """
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
     gdf, keys = _grouped(df, group)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    p = len(cols)
+    vals = gdf.select(F.col(GROUP).cast("long").alias(GROUP),
+                      *[nan_to_null(c(x).cast("double")).alias(f"v{i}") for i, x in enumerate(cols)])
+    names = [f"v{i}" for i in range(p)]
+    mean_rows = vals.groupBy(GROUP).agg(*[F.avg(n).alias(n) for n in names]).collect()
+    shifts = {r[GROUP]: np.array([0.0 if r[n] is None else r[n] for n in names]) for r in mean_rows}
+    parts = vals.mapInPandas(lambda it: _moment_blocks(it, names, shifts), f"{GROUP} long, m array<double>")
+    summed = (parts.select(GROUP, array_to_vector("m").alias("m")).groupBy(GROUP)
+              .agg(Summarizer.sum(F.col("m")).alias("s")).collect())
     out: dict = {}
-    vals = {n: nan_to_null(c(n).cast("double")) for n in cols}
-    for start in range(0, len(pairs), batch):
-        chunk = pairs[start:start + batch]
-        aggs = []
-        for j, (a, b) in enumerate(chunk):
-            va, vb = vals[a], vals[b]
-            both_a = F.when(vb.isNotNull(), va)
-            both_b = F.when(va.isNotNull(), vb)
-            aggs.append(F.abs(F.try_divide(F.covar_samp(va, vb),
-                                           F.sqrt(F.var_samp(both_a) * F.var_samp(both_b)))).alias(f"r{j}"))
-        for g, row in _collect_by_group(gdf.groupBy(*keys).agg(*aggs), group).items():
-            for j, pair in enumerate(chunk):
-                v = row[f"r{j}"]
-                out.setdefault(g, {})[pair] = None if v is None or v != v else v
+    for r in summed:
+        n, s, q, pp = np.asarray(r["s"].toArray()).reshape(4, p, p)
+        g = _key(group, r[GROUP])
+        res = {}
+        for i in range(p):
+            for j in range(i + 1, p):
+                nij = n[i, j]
+                if nij < 2:
+                    res[(cols[i], cols[j])] = None
+                    continue
+                cov = pp[i, j] - s[i, j] * s[j, i] / nij
+                va = q[i, j] - s[i, j] ** 2 / nij
+                vb = q[j, i] - s[j, i] ** 2 / nij
+                den = va * vb
+                res[(cols[i], cols[j])] = None if den <= 0 else abs(cov) / float(np.sqrt(den))
+        out[g] = res
     return out
 
 

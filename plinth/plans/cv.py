@@ -99,17 +99,22 @@ class CrossValidation:
     """Holds the checkpointed base table and fitted recipes of one training set."""
 
     def __init__(self, spark: SparkSession, train: DataFrame, spec: Spec, test: DataFrame | None = None,
-                 folds: DataFrame | None = None, encode: bool = True):
-        """``folds`` (id, fold_k...) reuses an assignment made by ``make_folds``."""
+                 folds: DataFrame | None | bool = None, encode: bool = True):
+        """``folds``: None = assign here; a frame (id, fold_k...) from ``make_folds`` = reuse it;
+        False = no folds (refits only)."""
         self.spark, self.spec, self.encode = spark, spec.validate(), encode
         d = spec.data
         feat = add_features(train, spec.features)
         self.features = feature_columns(feat, spec)
         labelled = feat.withColumn(LABEL_COL, transform_target(c(d.target_col), d.target_transform))
         if folds is None:
-            folds = make_folds(train, spec)
-        self.base = labelled.join(folds, d.id_col).checkpoint(eager=True)
-        self.test = None if test is None else add_features(test, spec.features)
+            labelled = labelled.checkpoint(eager=True)        # one scan of the sources
+            folds = make_folds(labelled, spec)
+        if folds is False:
+            self.base = labelled.checkpoint(eager=True)
+        else:
+            self.base = labelled.join(folds, d.id_col).checkpoint(eager=True)
+        self.test = None if test is None else add_features(test, spec.features).checkpoint(eager=True)
         self._recipes: dict = {}
         self._targets: dict = {}
         self.log = RunLog()
