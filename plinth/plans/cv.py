@@ -32,7 +32,7 @@ from plinth.operators.features import add_features
 from plinth.operators.split import FOLD, TRAIN_FOLD, assign_folds, fold_ids, fold_train, fold_valid, training_rows
 from plinth.operators.stats import moments
 from plinth.plans.models import FitContext, build_estimator, family, needs_scaling
-from plinth.plans.recipe import FEATURES, fit_recipe, recipe_stages
+from plinth.plans.recipe import FEATURES, add_scaler, fit_recipe, recipe_stages
 from plinth.session import work_path
 from plinth.spec import Spec
 
@@ -85,6 +85,12 @@ def fold_col(k: int) -> str:
     return f"{FOLD}_{k}"
 
 
+def training_partitions(spark: SparkSession) -> int:
+    """Partitions for tables that MLlib scans repeatedly: at least one per core."""
+    sc = spark.sparkContext
+    return max(sc.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def make_folds(train: DataFrame, spec: Spec) -> DataFrame:
     """(id, fold_k for every compared fold count), checkpointed."""
     d, v = spec.data, spec.validation
@@ -107,14 +113,16 @@ class CrossValidation:
         feat = add_features(train, spec.features)
         self.features = feature_columns(feat, spec)
         labelled = feat.withColumn(LABEL_COL, transform_target(c(d.target_col), d.target_transform))
+        # ML stages scan the base many times: spread it over every core before checkpointing
+        n_parts = training_partitions(spark)
         if folds is None:
             labelled = labelled.checkpoint(eager=True)        # one scan of the sources
             folds = make_folds(labelled, spec)
-        if folds is False:
-            self.base = labelled.checkpoint(eager=True)
-        else:
-            self.base = labelled.join(folds, d.id_col).checkpoint(eager=True)
-        self.test = None if test is None else add_features(test, spec.features).checkpoint(eager=True)
+        if folds is not False:
+            labelled = labelled.join(folds, d.id_col)
+        self.base = labelled.repartition(n_parts, c(d.id_col)).checkpoint(eager=True)
+        self.test = None if test is None else \
+            add_features(test, spec.features).repartition(n_parts, c(d.id_col)).checkpoint(eager=True)
         self._recipes: dict = {}
         self._targets: dict = {}
         self.log = RunLog()
@@ -126,11 +134,15 @@ class CrossValidation:
         if key not in self._recipes:
             prep = self.spec.prep
             if k is None:
-                self._recipes[key] = fit_recipe(self.base, self.features, prep, scale, encode=encode)
+                data, group, groups = self.base, None, None
             else:
-                stacked = training_rows(self.base.withColumnRenamed(fold_col(k), FOLD), k)
-                self._recipes[key] = fit_recipe(stacked, self.features, prep, scale, TRAIN_FOLD, fold_ids(k),
-                                                encode=encode)
+                data = training_rows(self.base.withColumnRenamed(fold_col(k), FOLD), k)
+                group, groups = TRAIN_FOLD, fold_ids(k)
+            if scale:     # everything but the scaler is shared with the unscaled recipe
+                plain = self.recipes(k, False, encode)
+                self._recipes[key] = add_scaler(data, plain, group)
+            else:
+                self._recipes[key] = fit_recipe(data, self.features, prep, False, group, groups, encode=encode)
         return self._recipes[key]
 
     def target_stats(self, k: int | None) -> dict:

@@ -120,3 +120,21 @@ def recipe_stages(state: RecipeState, sample: DataFrame, features_col: str = FEA
 
 def recipe_model(state: RecipeState, sample: DataFrame) -> PipelineModel:
     return PipelineModel(recipe_stages(state, sample))
+
+
+def add_scaler(df: DataFrame, states: dict, group: str | None = None) -> dict:
+    """Copies of fitted states with a standard scaler on their imputed numeric columns."""
+    from dataclasses import replace as _replace
+    keys = list(states)
+    gcol = None if group is None else F.col(group)
+    work = df
+    first = states[keys[0]]
+    if first.clip is not None:
+        work = clip_grouped(df, {g: states[g].clip for g in keys}, group)
+    live = [x for x in first.num_fill if all(states[g].num_fill.get(x) is not None for g in keys)]
+    if not live:
+        return {g: _replace(states[g], scale={}) for g in keys}
+    imputed = impute_grouped(work, {g: {x: states[g].num_fill[x] for x in live} for g in keys}, group)
+    fitted = fit_scaler(imputed, live, group)
+    return {g: _replace(states[g], scale={x: v for x, v in fitted[g].items() if x in states[g].numeric})
+            for g in keys}

@@ -22,6 +22,7 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.driver.memory": "8g",          # only takes effect when this call starts the JVM
 }
 
 
