@@ -38,17 +38,13 @@ def main() -> None:
             m = ModelSpec("random_forest", True, ((("max_depth", 10), ("min_samples_leaf", 1), ("n_estimators", 30),
                                                    ("random_state", 42)),))
         models.append(m)
-    spec = replace(fixture_spec(), models=tuple(models), parallelism=4)
+    spec = replace(fixture_spec(), models=tuple(models), parallelism=cpus)
     timings = {}
     t_all = time.time()
     train, test = train_test(spark, sf_dir)
-    t0 = time.time()
-    run_profile(train, spec, f"{scratch}/out")
-    timings["profile"] = round(time.time() - t0, 3)
-    out = run(spark, train, test, spec, f"{scratch}/out", profile_first=False)
+    out = run(spark, train, test, spec, f"{scratch}/out")
     for k, v in out.timings.items():
-        if k != "profile":
-            timings[k] = round(v, 3)
+        timings[k] = round(v, 3)
     t0 = time.time()
     n_sub = out.submission.count() if out.submission is not None else 0
     timings["submission_count"] = round(time.time() - t0, 3)

@@ -15,11 +15,12 @@ Plan of one run:
 
 from __future__ import annotations
 
-import traceback
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,10 +86,11 @@ def fold_col(k: int) -> str:
     return f"{FOLD}_{k}"
 
 
-def training_partitions(spark: SparkSession) -> int:
-    """Partitions for tables that MLlib scans repeatedly: at least one per core."""
-    sc = spark.sparkContext
-    return max(sc.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+def training_partitions(spark: SparkSession, df: DataFrame) -> int:
+    """Partitions for tables that MLlib scans repeatedly: at least one per core, and at
+    least as many as the input's file splits (which follow spark.sql.files.maxPartitionBytes),
+    so partition size stays bounded as the data grows."""
+    return max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
 
 
 def make_folds(train: DataFrame, spec: Spec) -> DataFrame:
@@ -105,7 +107,7 @@ class CrossValidation:
     """Holds the checkpointed base table and fitted recipes of one training set."""
 
     def __init__(self, spark: SparkSession, train: DataFrame, spec: Spec, test: DataFrame | None = None,
-                 folds: DataFrame | None | bool = None, encode: bool = True):
+                 folds: DataFrame | None | bool = None, encode: bool = True, materialized: bool = False):
         """``folds``: None = assign here; a frame (id, fold_k...) from ``make_folds`` = reuse it;
         False = no folds (refits only)."""
         self.spark, self.spec, self.encode = spark, spec.validate(), encode
@@ -114,10 +116,12 @@ class CrossValidation:
         self.features = feature_columns(feat, spec)
         labelled = feat.withColumn(LABEL_COL, transform_target(c(d.target_col), d.target_transform))
         # ML stages scan the base many times: spread it over every core before checkpointing
-        n_parts = training_partitions(spark)
         if folds is None:
-            labelled = labelled.checkpoint(eager=True)        # one scan of the sources
+            if not materialized:
+                labelled = labelled.checkpoint(eager=True)    # one scan of the sources
+
             folds = make_folds(labelled, spec)
+        n_parts = training_partitions(spark, labelled)
         if folds is not False:
             labelled = labelled.join(folds, d.id_col)
         self.base = labelled.repartition(n_parts, c(d.id_col)).checkpoint(eager=True)
@@ -125,6 +129,8 @@ class CrossValidation:
             add_features(test, spec.features).repartition(n_parts, c(d.id_col)).checkpoint(eager=True)
         self._recipes: dict = {}
         self._targets: dict = {}
+        self._prepared: dict = {}
+        self._lock = threading.Lock()
         self.log = RunLog()
 
     # ------------------------------------------------------------ fitted state
@@ -162,22 +168,42 @@ class CrossValidation:
                           max_bins=state.max_categories)
 
     # ------------------------------------------------------------------ fits
+    def prepared(self, k: int | None, f, scale: bool):
+        """(state, prep model, prepared rows) of one fold and recipe kind, persisted once and
+        shared by every experiment that uses it (released by ``release``)."""
+        key = (k, f, scale, self.encode)
+        with self._lock:
+            if key not in self._prepared:
+                state = self.recipes(k, scale)[f]
+                prep = PipelineModel(recipe_stages(state, self.base))
+                keep = [c(self.spec.data.id_col), F.col(LABEL_COL), F.col(FEATURES)] + \
+                    [F.col(x) for x in self.base.columns if x.startswith(f"{FOLD}_")]
+                rows = prep.transform(self.base).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+                self._prepared[key] = (state, prep, rows)
+            return self._prepared[key]
+
+    def release(self, key=None) -> None:
+        with self._lock:
+            for k in ([key] if key is not None else list(self._prepared)):
+                if k in self._prepared:
+                    self._prepared.pop(k)[2].unpersist()
+
+    def _scale(self, exp: Experiment) -> bool:
+        return needs_scaling(exp.model_name, self.spec.prep.scale_numeric_for_linear,
+                             self.spec.prep.scale_numeric_for_knn)
+
     def fit_fold(self, exp: Experiment, k: int, f: int, with_test: bool = False):
         """(validation predictions, optional test predictions) of one experiment on one fold."""
-        scale = needs_scaling(exp.model_name, self.spec.prep.scale_numeric_for_linear,
-                              self.spec.prep.scale_numeric_for_knn)
-        state = self.recipes(k, scale)[f]
-        prep = PipelineModel(recipe_stages(state, self.base))
-        prepared = prep.transform(self.base)
+        state, prep, prepared = self.prepared(k, f, self._scale(exp))
         est = build_estimator(exp.model_name, exp.params_dict, self._ctx(k, f, state))
         model = est.fit(fold_train(prepared, f, k, fold_col(k)))
-        full = PipelineModel([prep, model])
         d = self.spec.data
         valid = (model.transform(fold_valid(prepared, f, fold_col(k)))
                  .select(c(d.id_col).cast("long").alias(d.id_col), F.lit(exp.name).alias("experiment"),
                          F.lit(f).alias(FOLD), F.col(PRED).alias(PRED)))
         test = None
         if with_test and self.test is not None:
+            full = PipelineModel([prep, model])
             test = (full.transform(self.test).select(c(d.id_col).cast("long").alias(d.id_col),
                                                      F.lit(exp.name).alias("experiment"), F.lit(f).alias(FOLD),
                                                      F.col(PRED).alias(PRED)))
@@ -185,12 +211,9 @@ class CrossValidation:
 
     def fit_full(self, exp: Experiment) -> tuple[PipelineModel, DataFrame | None]:
         """Refit on all training rows; predictions for the test rows (id, experiment, prediction)."""
-        scale = needs_scaling(exp.model_name, self.spec.prep.scale_numeric_for_linear,
-                              self.spec.prep.scale_numeric_for_knn)
-        state = self.recipes(None, scale)[None]
-        prep = PipelineModel(recipe_stages(state, self.base))
+        state, prep, prepared = self.prepared(None, None, self._scale(exp))
         est = build_estimator(exp.model_name, exp.params_dict, self._ctx(None, None, state))
-        model = est.fit(prep.transform(self.base))
+        model = est.fit(prepared)
         full = PipelineModel([prep, model])
         preds = None
         if self.test is not None:
@@ -204,8 +227,10 @@ class CrossValidation:
         """Run every experiment x fold count x fold.
 
         Returns (results, oof, fold_test): ``oof`` is the written long table
-        (id, experiment, fold, prediction) of the primary fold count;
-        ``fold_test`` the fold models' test predictions (or None).
+        (id, prediction, experiment, fold) of the primary fold count;
+        ``fold_test`` the fold models' test predictions (or None).  Each fit
+        writes its own predictions, so a fold's prepared rows are released
+        as soon as its last experiment is done.
         """
         v = self.spec.validation
         for exp in experiments:                      # fail early on unknown names
@@ -216,45 +241,59 @@ class CrossValidation:
         runnable = [e for e in experiments if not any(err[0] == e.name for err in self.log.errors)]
         for k in sorted(set(v.compare_n_splits)):     # statistics first, shared by all experiments
             for e in runnable:
-                self.recipes(k, needs_scaling(e.model_name, self.spec.prep.scale_numeric_for_linear,
-                                              self.spec.prep.scale_numeric_for_knn))
+                self.recipes(k, self._scale(e))
             self.target_stats(k)
-        jobs = [(e, k, f) for e in runnable for k in v.compare_n_splits for f in fold_ids(k)]
+        roots = {k: work_path(self.spark, f"oof_{k}") for k in v.compare_n_splits}
+        test_root = work_path(self.spark, "fold_test")
+        # fold-major order: the prepared rows of a fold are released once its last fit is done
+        jobs = [(e, k, f) for k in v.compare_n_splits for f in fold_ids(k) for e in runnable]
+        pending: dict = {}
+        for e, k, f in jobs:
+            key = (k, f, self._scale(e), self.encode)
+            pending[key] = pending.get(key, 0) + 1
+        d = self.spec.data
 
         def run(job):
             e, k, f = job
+            key = (k, f, self._scale(e), self.encode)
+            err = None
             try:
-                return job, self.fit_fold(e, k, f, with_test=with_fold_test and k == v.primary_n_splits), None
-            except Exception as err:  # one failing experiment does not stop the grid
-                return job, None, f"{type(err).__name__}: {err}"
+                valid, test = self.fit_fold(e, k, f, with_test=with_fold_test and k == v.primary_n_splits)
+                valid.select(d.id_col, PRED).write.mode("overwrite").parquet(
+                    f"{roots[k]}/experiment={e.name}/{FOLD}={f}")
+                if test is not None:
+                    test.select(d.id_col, PRED).write.mode("overwrite").parquet(
+                        f"{test_root}/experiment={e.name}/{FOLD}={f}")
+            except Exception as exc:  # one failing experiment does not stop the grid
+                err = f"{type(exc).__name__}: {exc}"
+            with self._lock:
+                pending[key] -= 1
+                last = pending[key] == 0
+            if last:
+                self.release(key)
+            return job, err
 
         with ThreadPoolExecutor(max_workers=max(1, self.spec.parallelism)) as pool:
             done = list(pool.map(run, jobs))
-        failed = {job[0].name for job, out, err in done if err}
-        for job, out, err in done:
+        failed = {job[0].name for job, err in done if err}
+        for job, err in done:
             if err:
                 self.log.errors.append((job[0].name, f"fold {job[1]}/{job[2]}", err))
-        ok = [(job, out) for job, out, err in done if not err and job[0].name not in failed]
+        good = [e.name for e in runnable if e.name not in failed]
         results, oof, fold_test = [], None, None
-        d = self.spec.data
         truth = self.base.select(c(d.id_col).cast("long").alias(d.id_col), F.col(LABEL_COL))
         per_k = {}
         for k in v.compare_n_splits:
-            parts = [out[0] for job, out in ok if job[1] == k]
-            if not parts:
-                continue
-            table = reduce(DataFrame.unionByName, parts)
-            path = work_path(self.spark, f"oof_{k}")
-            table.write.mode("overwrite").parquet(path)
-            per_k[k] = self.spark.read.parquet(path)
+            if good:
+                per_k[k] = (self.spark.read.parquet(roots[k]).filter(F.col("experiment").isin(good))
+                            .select(c(d.id_col).cast("long").alias(d.id_col), F.col("experiment"),
+                                    F.col(FOLD).cast("int").alias(FOLD), F.col(PRED)))
         if v.primary_n_splits in per_k:
             oof = per_k[v.primary_n_splits]
-        if with_fold_test:
-            parts = [out[1] for job, out in ok if out[1] is not None]
-            if parts:
-                path = work_path(self.spark, "fold_test")
-                reduce(DataFrame.unionByName, parts).write.mode("overwrite").parquet(path)
-                fold_test = self.spark.read.parquet(path)
+        if with_fold_test and good:
+            fold_test = (self.spark.read.parquet(test_root).filter(F.col("experiment").isin(good))
+                         .select(c(d.id_col).cast("long").alias(d.id_col), F.col("experiment"),
+                                 F.col(FOLD).cast("int").alias(FOLD), F.col(PRED)))
         scores = {}
         for k, table in per_k.items():
             for r in fold_scores(table, truth, d.id_col).collect():
@@ -262,7 +301,7 @@ class CrossValidation:
         for e in runnable:
             if e.name in failed or e.name not in scores or v.primary_n_splits not in scores[e.name]:
                 continue
-            means = {k: sum(s) / len(s) for k, s in scores[e.name].items()}
+            means = {k: sum(sc) / len(sc) for k, sc in scores[e.name].items()}
             results.append(ExperimentResult(e.name, e.model_name, e.params_dict, means[v.primary_n_splits], means))
         return results, oof, fold_test
 

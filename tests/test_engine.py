@@ -91,3 +91,30 @@ def test_stage_save_load(spark, tmp_path):
     model.write().overwrite().save(path)
     again = PipelineModel.load(path)
     assert again.transform(df).collect() == model.transform(df).collect()
+
+
+def test_exploratory_filter():
+    from plinth.plans.grid import exploratory_models
+    active, skipped = exploratory_models(house_prices_spec())
+    assert [e.model_name for e in active] == ["ridge", "lasso", "elasticnet", "random_forest"]
+    assert dict(active[0].params) == {"alpha": 1.0}
+    assert ("dnn", "disabled") in skipped and len(skipped) == 4
+
+
+def test_scaling_rules():
+    from plinth.plans.models import needs_scaling
+    assert needs_scaling("ridge") and needs_scaling("knn") and needs_scaling("dnn")
+    assert not needs_scaling("random_forest") and not needs_scaling("ridge", scale_linear=False)
+
+
+def test_unknown_model_is_an_error():
+    from plinth.plans.models import build_estimator
+    with pytest.raises(ValueError):
+        build_estimator("svm", {}, FitContext(10, 1.0))
+
+
+def test_evaluator_lower_is_better(spark):
+    from plinth.plans.evaluator import RegressionScoreEvaluator
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0)], "label double, prediction double")
+    ev = RegressionScoreEvaluator(metricName="rmse")
+    assert not ev.isLargerBetter() and math.isclose(ev.evaluate(df), math.sqrt(0.5))
