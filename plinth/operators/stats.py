@@ -199,3 +199,167 @@ def pair_correlations(df: DataFrame, cols: list[str], group: str | None = None)
 
 __all__ = ["GROUP", "null_min_max", "distinct_counts", "moments", "quantiles_by_group", "modes", "categories",
            "pair_correlations", "PROB", "VALUE", "COLUMN"]
+
+
+# ---------------------------------------------------------------------------
+# Per-fold training statistics without exploding rows.
+#
+# The training rows of fold f are all rows whose fold is not f.  Additive
+# statistics are aggregated once per fold (one pass, each row once) and the
+# training-fold values are combined on the driver from the other folds:
+# counts and sums add, min/max take min/max, moments merge with Chan's
+# parallel formula, moment blocks subtract from the total.  Only exact
+# quantiles still need the exploded (row x training fold) form.
+
+
+def _merge_moments(parts: list[tuple[int, float, float]]) -> tuple[int, float | None, float | None]:
+    """(n, mean, M2) of the union of groups given as (n, mean, M2)."""
+    n, mean, m2 = 0, 0.0, 0.0
+    for nb, mb, m2b in parts:
+        if not nb:
+            continue
+        if n == 0:
+            n, mean, m2 = nb, mb, m2b
+            continue
+        tot = n + nb
+        delta = mb - mean
+        mean = mean + delta * nb / tot
+        m2 = m2 + m2b + delta * delta * n * nb / tot
+        n = tot
+    return (n, mean, m2) if n else (0, None, None)
+
+
+def fold_null_min_max(df: DataFrame, cols: list[str], fold_col: str, folds: list) -> dict:
+    per = null_min_max(df, cols, fold_col)
+    out = {}
+    for f in folds:
+        others = [per[g] for g in per if g != f]
+        out[f] = {}
+        for x in cols:
+            n = sum(o[x][0] for o in others)
+            miss = sum(o[x][1] for o in others)
+            los = [o[x][2] for o in others if o[x][2] is not None]
+            his = [o[x][3] for o in others if o[x][3] is not None]
+            out[f][x] = (n, miss, min(los) if los else None, max(his) if his else None)
+    return out
+
+
+def fold_moments(df: DataFrame, cols: list[str], fold_col: str, folds: list, fills: dict | None = None) -> dict:
+    """{f: {col: (count, mean, stddev_pop, stddev_samp)}} on fold f's training rows.
+
+    With ``fills`` ({f: {col: value}}), missing cells count as that fold's fill
+    value (the moments of the imputed column), added analytically.
+    """
+    gdf = df.withColumnRenamed(fold_col, GROUP)
+    aggs = []
+    for i, name in enumerate(cols):
+        v = nan_to_null(c(name).cast("double"))
+        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mu{i}"), F.var_pop(v).alias(f"vp{i}")]
+    aggs.append(F.count(F.lit(1)).alias("__rows"))
+    rows = {r[GROUP]: r for r in gdf.groupBy(GROUP).agg(*aggs).collect()}
+    out = {}
+    for f in folds:
+        others = [rows[g] for g in rows if g != f]
+        out[f] = {}
+        for i, x in enumerate(cols):
+            parts = [(o[f"n{i}"], o[f"mu{i}"] or 0.0, (o[f"vp{i}"] or 0.0) * o[f"n{i}"]) for o in others]
+            n, mean, m2 = _merge_moments(parts)
+            if fills is not None and fills[f].get(x) is not None:
+                missing = sum(o["__rows"] for o in others) - n
+                n, mean, m2 = _merge_moments([(n, mean or 0.0, m2 or 0.0), (missing, float(fills[f][x]), 0.0)])
+            if not n:
+                out[f][x] = (0, None, None, None)
+                continue
+            sp = (m2 / n) ** 0.5
+            ss = (m2 / (n - 1)) ** 0.5 if n > 1 else None
+            out[f][x] = (n, mean, sp, ss)
+    return out
+
+
+def fold_pair_correlations(df: DataFrame, cols: list[str], fold_col: str, folds: list) -> dict:
+    """{f: {(a, b): |pearson|}} on fold f's training rows: blocks per fold, total minus own fold."""
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    p = len(cols)
+    names = [f"v{i}" for i in range(p)]
+    vals = df.select(F.col(fold_col).cast("long").alias(GROUP),
+                     *[nan_to_null(c(x).cast("double")).alias(f"v{i}") for i, x in enumerate(cols)])
+    mean_row = vals.agg(*[F.avg(n).alias(n) for n in names]).first()
+    shift = np.array([0.0 if mean_row[n] is None else mean_row[n] for n in names])
+    shifts = _ShiftAll(shift)
+    parts = vals.mapInPandas(lambda it: _moment_blocks(it, names, shifts), f"{GROUP} long, m array<double>")
+    summed = {r[GROUP]: np.asarray(r["s"].toArray()).reshape(4, p, p) for r in
+              parts.select(GROUP, array_to_vector("m").alias("m")).groupBy(GROUP)
+              .agg(Summarizer.sum(F.col("m")).alias("s")).collect()}
+    total = sum(summed.values())
+    return {f: _corr_from_blocks(total - summed.get(f, 0), cols) for f in folds}
+
+
+class _ShiftAll(dict):
+    """The same shift for every group."""
+
+    def __init__(self, shift):
+        super().__init__()
+        self.shift = shift
+
+    def __getitem__(self, key):
+        return self.shift
+
+
+def _corr_from_blocks(blocks, cols: list[str]) -> dict:
+    import numpy as np
+    n, s, q, pp = blocks
+    p = len(cols)
+    res = {}
+    for i in range(p):
+        for j in range(i + 1, p):
+            nij = n[i, j]
+            if nij < 2:
+                res[(cols[i], cols[j])] = None
+                continue
+            cov = pp[i, j] - s[i, j] * s[j, i] / nij
+            va = q[i, j] - s[i, j] ** 2 / nij
+            vb = q[j, i] - s[j, i] ** 2 / nij
+            den = va * vb
+            res[(cols[i], cols[j])] = None if den <= 0 else abs(cov) / float(np.sqrt(den))
+    return res
+
+
+def fold_value_counts(df: DataFrame, cols: list[str], fold_col: str, max_categories: int = 100_000,
+                      fills: dict | None = None, folds: list | None = None) -> dict:
+    """{fold: {col: {value: count}}} of the non-missing text values per fold (checked size).
+
+    With ``fills`` ({f: {col: value}}), the missing count of each fold is kept
+    under the key None so callers can add it to a fill value.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(n).alias(COLUMN), c(n).cast("string").alias(VALUE)) for n in cols]))
+    long = df.select(F.col(fold_col).alias(GROUP), cells.alias("cell")).select(GROUP, "cell.*")
+    counts = long.groupBy(GROUP, COLUMN, VALUE).agg(F.count(F.lit(1)).alias("cnt"))
+    big = counts.groupBy(GROUP, COLUMN).count().filter(F.col("count") > max_categories + 1).limit(1).collect()
+    if big:
+        raise ValueError(f"column {big[0][COLUMN]!r} has more than {max_categories} categories; "
+                         "raise PrepSpec.max_categories or drop the column")
+    out: dict = {}
+    for r in counts.collect():
+        out.setdefault(r[GROUP], {}).setdefault(r[COLUMN], {})[r[VALUE]] = r["cnt"]
+    return out
+
+
+def training_counts(per_fold: dict, f, cols: list[str]) -> dict:
+    """{col: {value: count}} over all folds but f (None = missing)."""
+    out = {x: {} for x in cols}
+    for g, per_col in per_fold.items():
+        if g == f:
+            continue
+        for x, counts in per_col.items():
+            acc = out.setdefault(x, {})
+            for v, n in counts.items():
+                acc[v] = acc.get(v, 0) + n
+    return out
+
+
+def mode_of(counts: dict):
+    present = [(v, n) for v, n in counts.items() if v is not None]
+    return min(present, key=lambda vn: (-vn[1], vn[0]))[0] if present else None

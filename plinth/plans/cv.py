@@ -33,7 +33,8 @@ from plinth.operators.features import add_features
 from plinth.operators.split import FOLD, TRAIN_FOLD, assign_folds, fold_ids, fold_train, fold_valid, training_rows
 from plinth.operators.stats import moments
 from plinth.plans.models import FitContext, build_estimator, family, needs_scaling
-from plinth.plans.recipe import FEATURES, add_scaler, fit_recipe, recipe_stages
+from plinth.plans.recipe import (FEATURES, add_scaler, add_scaler_folds, fit_recipe, fit_recipe_folds,
+                                 recipe_stages)
 from plinth.session import work_path
 from plinth.spec import Spec
 
@@ -139,6 +140,7 @@ class CrossValidation:
         key = (k, scale, encode)
         if key not in self._recipes:
             prep = self.spec.prep
+            folded_path = k is not None and not prep.clip_outliers
             if k is None:
                 data, group, groups = self.base, None, None
             else:
@@ -146,7 +148,13 @@ class CrossValidation:
                 group, groups = TRAIN_FOLD, fold_ids(k)
             if scale:     # everything but the scaler is shared with the unscaled recipe
                 plain = self.recipes(k, False, encode)
-                self._recipes[key] = add_scaler(data, plain, group)
+                if folded_path:
+                    self._recipes[key] = add_scaler_folds(self.base, plain, fold_col(k))
+                else:
+                    self._recipes[key] = add_scaler(data, plain, group)
+            elif folded_path:
+                self._recipes[key] = fit_recipe_folds(self.base, self.features, prep, fold_col(k), fold_ids(k),
+                                                      encode=encode)
             else:
                 self._recipes[key] = fit_recipe(data, self.features, prep, False, group, groups, encode=encode)
         return self._recipes[key]

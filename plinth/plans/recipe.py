@@ -138,3 +138,95 @@ def add_scaler(df: DataFrame, states: dict, group: str | None = None) -> dict:
     fitted = fit_scaler(imputed, live, group)
     return {g: _replace(states[g], scale={x: v for x, v in fitted[g].items() if x in states[g].numeric})
             for g in keys}
+
+
+def fit_recipe_folds(df: DataFrame, feature_cols: list[str], prep: PrepSpec, fold_col: str, folds: list,
+                     encode: bool = True) -> dict:
+    """{f: RecipeState} fitted on each fold's training rows (all rows whose fold is not f).
+
+    Additive statistics (constant test, correlations, value counts for modes
+    and categories) are aggregated once per fold and combined on the driver;
+    only the exact medians use the exploded (row x training fold) rows.
+    Clipping, a distinct-count threshold above 1 or a non-median numeric
+    strategy fall back to the exploded form for every stage.
+    """
+    from plinth.operators.split import FOLD as _FOLD, TRAIN_FOLD, training_rows
+    from plinth.operators.stats import (fold_null_min_max, fold_pair_correlations, fold_value_counts, mode_of,
+                                        training_counts)
+    n_splits = len(folds) if len(folds) > 1 else 1
+    stacked = training_rows(df.withColumnRenamed(fold_col, _FOLD) if fold_col != _FOLD else df, n_splits)
+    if prep.clip_outliers or prep.constant_threshold_unique > 1 or prep.numeric_imputer_strategy != "median":
+        return fit_recipe(stacked, feature_cols, prep, False, TRAIN_FOLD, folds, encode=encode)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    drops = {f: [] for f in folds}
+    if prep.drop_constant_features:
+        nmm = fold_null_min_max(df, feature_cols, fold_col, folds)
+        for f in folds:
+            for x, (n, missing, lo, hi) in nmm[f].items():
+                nunique = (1 if missing else 0) + (0 if lo is None else (1 if lo == hi else 2))
+                if n == 0 or nunique <= prep.constant_threshold_unique:
+                    drops[f].append(x)
+    if prep.drop_correlated_features:
+        remaining = {f: [x for x in feature_cols if x not in drops[f] and is_numeric(types[x])] for f in folds}
+        union = [x for x in feature_cols if any(x in remaining[f] for f in folds)]
+        if len(union) >= 2:
+            corr = fold_pair_correlations(df, union, fold_col, folds)
+            for f in folds:
+                allowed, later = set(remaining[f]), []
+                for (a, b), r in corr[f].items():
+                    if a in allowed and b in allowed and r is not None and round(r, 12) > prep.correlation_threshold \
+                            and b not in later:
+                        later.append(b)
+                drops[f] += later
+    drops = {f: sorted(set(v)) for f, v in drops.items()}
+    kept = {f: [x for x in feature_cols if x not in drops[f]] for f in folds}
+    num_union = [x for x in feature_cols if is_numeric(types[x]) and any(x in kept[f] for f in folds)]
+    cat_union = [x for x in feature_cols if not is_numeric(types[x]) and any(x in kept[f] for f in folds)]
+    num_fill = fit_numeric_fill(stacked, num_union, "median", TRAIN_FOLD, prep.exact_quantiles,
+                                prep.approx_accuracy, folds)
+    cat_fill = {f: {} for f in folds}
+    cats = {f: {} for f in folds}
+    if cat_union:
+        per_fold = fold_value_counts(df, cat_union, fold_col, prep.max_categories)
+        for f in folds:
+            counts = training_counts(per_fold, f, cat_union)
+            for x in cat_union:
+                if prep.categorical_imputer_strategy == "most_frequent":
+                    fill = mode_of(counts[x])
+                else:
+                    fill = "missing_value"
+                cat_fill[f][x] = fill
+                values = {v for v, n in counts[x].items() if v is not None and n > 0}
+                if counts[x].get(None, 0) > 0 and fill is not None:
+                    values.add(fill)
+                cats[f][x] = sorted(values)
+    out = {}
+    for f in folds:
+        numeric = [x for x in num_union if x in kept[f] and num_fill[f].get(x) is not None]
+        categorical = [x for x in cat_union if x in kept[f] and cat_fill[f].get(x) is not None]
+        out[f] = RecipeState(drop=drops[f], clip=None, num_fill={x: num_fill[f][x] for x in num_union if x in kept[f]},
+                             cat_fill={x: cat_fill[f][x] for x in cat_union if x in kept[f]}, scale=None,
+                             cats={x: cats[f].get(x, []) for x in categorical}, numeric=numeric,
+                             categorical=categorical, encode=encode)
+    return out
+
+
+def add_scaler_folds(df: DataFrame, states: dict, fold_col: str) -> dict:
+    """Scaler per fold from per-fold moments, the missing cells counted at that fold's fill value."""
+    from dataclasses import replace as _replace
+    from plinth.operators.stats import fold_moments
+    folds = list(states)
+    if any(states[f].clip for f in folds):
+        raise ValueError("clipped recipes take the exploded path")
+    live = [x for x in states[folds[0]].num_fill if all(states[f].num_fill.get(x) is not None for f in folds)]
+    if not live:
+        return {f: _replace(states[f], scale={}) for f in folds}
+    mom = fold_moments(df, live, fold_col, folds, fills={f: states[f].num_fill for f in folds})
+    out = {}
+    for f in folds:
+        scale = {}
+        for x in live:
+            n, mu, sp, _ = mom[f][x]
+            scale[x] = [mu if mu is not None else 0.0, sp if sp is not None and sp > 0 else 1.0]
+        out[f] = _replace(states[f], scale={x: v for x, v in scale.items() if x in states[f].numeric})
+    return out

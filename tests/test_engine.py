@@ -118,3 +118,24 @@ def test_evaluator_lower_is_better(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0)], "label double, prediction double")
     ev = RegressionScoreEvaluator(metricName="rmse")
     assert not ev.isLargerBetter() and math.isclose(ev.evaluate(df), math.sqrt(0.5))
+
+
+def test_fold_complement_equals_exploded(spark, cv_run):
+    """Per-fold statistics from per-fold aggregates equal those from exploded training rows."""
+    cv, _, _, _ = cv_run
+    from plinth.operators.split import FOLD, training_rows
+    from plinth.plans.recipe import add_scaler, add_scaler_folds, fit_recipe, fit_recipe_folds
+    base = cv.base
+    folds = list(range(5))
+    fast = fit_recipe_folds(base, cv.features, cv.spec.prep, "fold_5", folds)
+    stacked = training_rows(base.withColumnRenamed("fold_5", FOLD), 5)
+    slow = fit_recipe(stacked, cv.features, cv.spec.prep, False, "train_fold", folds)
+    fast_s = add_scaler_folds(base, fast, "fold_5")
+    slow_s = add_scaler(stacked, slow, "train_fold")
+    for f in folds:
+        a, b = fast_s[f], slow_s[f]
+        assert a.drop == b.drop and a.numeric == b.numeric and a.categorical == b.categorical
+        assert a.num_fill == b.num_fill and a.cat_fill == b.cat_fill and a.cats == b.cats
+        for x, (mu, sd) in b.scale.items():
+            assert math.isclose(a.scale[x][0], mu, rel_tol=1e-9, abs_tol=1e-9)
+            assert math.isclose(a.scale[x][1], sd, rel_tol=1e-9)
