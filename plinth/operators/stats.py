@@ -192,7 +192,7 @@ def pair_correlations(df: DataFrame, cols: list[str], group: str | None = None)
                 va = q[i, j] - s[i, j] ** 2 / nij
                 vb = q[j, i] - s[j, i] ** 2 / nij
                 den = va * vb
-                res[(cols[i], cols[j])] = None if den <= 0 else abs(cov) / float(np.sqrt(den))
+                res[(cols[i], cols[j])] = None if den <= 0 else float(abs(cov) / np.sqrt(den))
         out[g] = res
     return out
 
@@ -323,7 +323,7 @@ def _corr_from_blocks(blocks, cols: list[str]) -> dict:
             va = q[i, j] - s[i, j] ** 2 / nij
             vb = q[j, i] - s[j, i] ** 2 / nij
             den = va * vb
-            res[(cols[i], cols[j])] = None if den <= 0 else abs(cov) / float(np.sqrt(den))
+            res[(cols[i], cols[j])] = None if den <= 0 else float(abs(cov) / np.sqrt(den))
     return res
 
 
