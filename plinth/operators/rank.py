@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plinth.session import reliable_checkpoint
+
 _PID, _MONO = "__pid", "__mono"
 
 
@@ -39,7 +41,7 @@ def global_rank(df: DataFrame, order: list, name: str = "rank",
     ``order`` must end in a unique column so that the result is deterministic.
     """
     n_parts = _partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    ranged = reliable_checkpoint(df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order))
     tagged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MONO, F.monotonically_increasing_id())
     counts = {r[0]: r[1] for r in tagged.groupBy(_PID).count().collect()}   # one row per partition
     actual_parts = ranged.rdd.getNumPartitions()
@@ -60,7 +62,7 @@ def prefix_sums(df: DataFrame, keys: list[str], order_col: str, weight_col: str,
     """
     spark = df.sparkSession
     n_parts = _partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n_parts, *keys, order_col).checkpoint(eager=True)
+    ranged = reliable_checkpoint(df.repartitionByRange(n_parts, *keys, order_col))
     tagged = ranged.withColumn(_PID, F.spark_partition_id())
     part_rows = tagged.groupBy(_PID, *keys).agg(F.sum(weight_col).alias("__psum")).collect()
     # bounded: at most (#partitions + #keys) rows, since each partition holds a key range

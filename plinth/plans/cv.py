@@ -35,7 +35,7 @@ from plinth.operators.stats import moments
 from plinth.plans.models import FitContext, build_estimator, family, needs_scaling
 from plinth.plans.recipe import (FEATURES, add_scaler, add_scaler_folds, fit_recipe, fit_recipe_folds,
                                  recipe_stages)
-from plinth.session import work_path
+from plinth.session import reliable_checkpoint, work_path
 from plinth.spec import Spec
 
 LABEL_COL, PRED = "label", "prediction"
@@ -101,7 +101,7 @@ def make_folds(train: DataFrame, spec: Spec) -> DataFrame:
     for k in v.compare_n_splits:
         out = assign_folds(out, d.target_col, d.id_col, k, spec.seed, v.stratify_bins,
                            v.single_split_valid_size).withColumnRenamed(FOLD, fold_col(k)).drop("stratum")
-    return out.drop(d.target_col).checkpoint(eager=True)
+    return reliable_checkpoint(out.drop(d.target_col))
 
 
 class CrossValidation:
@@ -119,15 +119,15 @@ class CrossValidation:
         # ML stages scan the base many times: spread it over every core before checkpointing
         if folds is None:
             if not materialized:
-                labelled = labelled.checkpoint(eager=True)    # one scan of the sources
+                labelled = reliable_checkpoint(labelled)    # one scan of the sources
 
             folds = make_folds(labelled, spec)
         n_parts = training_partitions(spark, labelled)
         if folds is not False:
             labelled = labelled.join(folds, d.id_col)
-        self.base = labelled.repartition(n_parts, c(d.id_col)).checkpoint(eager=True)
+        self.base = reliable_checkpoint(labelled.repartition(n_parts, c(d.id_col)))
         self.test = None if test is None else \
-            add_features(test, spec.features).repartition(n_parts, c(d.id_col)).checkpoint(eager=True)
+            reliable_checkpoint(add_features(test, spec.features).repartition(n_parts, c(d.id_col)))
         self._recipes: dict = {}
         self._targets: dict = {}
         self._prepared: dict = {}

@@ -72,3 +72,11 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path for a written table under the shared folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/plinth-work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the shared folder (resolved first, so a session
+    created elsewhere works too).  Never ``localCheckpoint``: executor-local blocks
+    would not survive the loss of an executor."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
