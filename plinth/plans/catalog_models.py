@@ -133,6 +133,11 @@ _NO_FE = FeatureSpec(enabled=False)
 _CACHE: dict = {}
 
 
+def _session_key(spark) -> tuple:
+    """Cache key of a session (an id alone may be reused by a later session)."""
+    return (id(spark), spark.sparkContext.applicationId)
+
+
 def _member_name(model: str, params: tuple) -> str:
     return experiment_name(model, dict(params))
 
@@ -149,7 +154,7 @@ def _spec(splits=(5,), primary=5):
 
 def run_members(spark, sf, members=MEMBERS, splits=(5,), primary=5):
     """Per member: CV (OOF long table) and a full refit (test predictions); folds shared."""
-    key = (id(spark), sf, tuple(members), tuple(splits), primary)
+    key = (_session_key(spark), sf, tuple(members), tuple(splits), primary)
     if key in _CACHE:
         return _CACHE[key]
     train, test = _tt(spark, sf)
@@ -360,7 +365,7 @@ UNION ALL SELECT 'ensemble_stacking_ridge', 'ensemble_stacking_ridge', (SELECT {
 
 def run_board(spark, sf):
     """Leaderboard rows (singles by mean fold RMSE, blends by pooled RMSE, stack in-sample) + test predictions."""
-    key = ("board", id(spark), sf)
+    key = ("board", _session_key(spark), sf)
     if key in _CACHE:
         return _CACHE[key]
     oof, tp, truth, results = run_members(spark, sf)
@@ -505,7 +510,7 @@ def cv_rmsle(spark, sf):
 
 
 def _nb_stack(spark, sf):
-    key = ("nbstack", id(spark), sf)
+    key = ("nbstack", _session_key(spark), sf)
     if key not in _CACHE:
         X, Xt = _nb_frames(spark, sf)
         _CACHE[key] = fold_mean_stack(X, Xt, ["overall_qual"], ID, TARGET, _NB_MEMBERS, SPEC)
