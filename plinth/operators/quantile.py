@@ -89,3 +89,52 @@ def quantile_dict(df: DataFrame, columns: list[str], probs: list[float], group_c
     out = quantiles(df, columns, probs, group_cols, exact, accuracy).collect()
     keys = list(group_cols) + [COLUMN, PROB]
     return {tuple(r[k] for k in keys): r[VALUE] for r in out}
+
+
+def fold_quantiles(df: DataFrame, columns: list[str], probs: list[float], fold_col: str, all_folds: list,
+                   folds: list, num_partitions: int | None = None) -> dict:
+    """{f: {col: {prob: value}}} on each fold's training rows (fold != f), exact, without
+    copying rows: one row per distinct (column, value) carries a count per fold, running sums
+    over value give every fold's ranks, and training-fold ranks are total minus own fold."""
+    from plinth.operators.rank import prefix_sums_multi
+    spark = df.sparkSession
+    long = to_long(df, columns, [fold_col])
+    counts = long.groupBy(COLUMN, VALUE).agg(
+        *[F.count_if(F.col(fold_col) == g).alias(f"c{i}") for i, g in enumerate(all_folds)])
+    total = sum((F.col(f"c{i}") for i in range(len(all_folds))), F.lit(0))
+    weights = {f"w{j}": total - F.col(f"c{all_folds.index(f)}") for j, f in enumerate(folds)}
+    wdf = counts.select(COLUMN, VALUE, *[w.alias(n) for n, w in weights.items()])
+    names = list(weights)
+    ranked, totals = prefix_sums_multi(wdf, [COLUMN], VALUE, names, num_partitions=num_partitions)
+    rows = []
+    for (col,), tots in totals.items():
+        for j, f in enumerate(folds):
+            n = tots[j]
+            if n <= 0:
+                continue
+            for p in probs:
+                h = (n - 1) * p
+                lo, hi = math.floor(h), math.ceil(h)
+                rows.append((col, j, float(p), int(lo), int(hi), float(h - lo)))
+    if not rows:
+        return {f: {} for f in folds}
+    schema = T.StructType([T.StructField(COLUMN, T.StringType()), T.StructField("j", T.IntegerType()),
+                           T.StructField(PROB, T.DoubleType()), T.StructField("r_lo", T.LongType()),
+                           T.StructField("r_hi", T.LongType()), T.StructField("frac", T.DoubleType())])
+    targets = F.broadcast(spark.createDataFrame(rows, schema))     # #columns x #folds x #probs rows
+    j = F.col("j") + 1
+    cum = F.element_at(F.array(*[F.col(f"cum_{n}") for n in names]), j)
+    cnt = F.element_at(F.array(*[F.col(n) for n in names]), j)
+    start = cum - cnt
+    hit_lo = (start <= F.col("r_lo")) & (F.col("r_lo") < cum)
+    hit_hi = (start <= F.col("r_hi")) & (F.col("r_hi") < cum)
+    picked = (ranked.join(targets, COLUMN).filter(hit_lo | hit_hi)
+              .groupBy(COLUMN, "j", PROB)
+              .agg(F.max(F.when(hit_lo, F.col(VALUE))).alias("v_lo"), F.max(F.when(hit_hi, F.col(VALUE))).alias("v_hi"),
+                   F.first("frac").alias("frac"))
+              .select(COLUMN, "j", PROB, (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias(VALUE))
+              .collect())
+    out = {f: {} for f in folds}
+    for r in picked:
+        out[folds[r["j"]]].setdefault(r[COLUMN], {})[r[PROB]] = r[VALUE]
+    return out

@@ -90,3 +90,35 @@ def prefix_sums(df: DataFrame, keys: list[str], order_col: str, weight_col: str,
            .withColumn(cum_name, (F.col("__off") + F.col("__run")).cast("long"))
            .drop(_PID, "__run", "__off"))
     return out, totals
+
+
+def prefix_sums_multi(df: DataFrame, keys: list[str], order_col: str, weight_cols: list[str],
+                      num_partitions: int | None = None) -> tuple[DataFrame, dict]:
+    """Like ``prefix_sums`` for several weight columns at once: adds ``cum_<w>`` for each and
+    returns ``{key tuple: [total per weight]}``."""
+    spark = df.sparkSession
+    n_parts = _partitions(df, num_partitions)
+    ranged = reliable_checkpoint(df.repartitionByRange(n_parts, *keys, order_col))
+    tagged = ranged.withColumn(_PID, F.spark_partition_id())
+    part_rows = tagged.groupBy(_PID, *keys).agg(*[F.sum(w).alias(f"__p{i}") for i, w in enumerate(weight_cols)]).collect()
+    by_key: dict = {}
+    for r in part_rows:
+        by_key.setdefault(tuple(r[k] for k in keys), []).append((r[_PID], [r[f"__p{i}"] or 0 for i in range(len(weight_cols))]))
+    off_rows, totals = [], {}
+    for key, parts in by_key.items():
+        parts.sort(key=lambda x: x[0])
+        run = [0] * len(weight_cols)
+        for pid, sums in parts:
+            off_rows.append((pid, *key, *[int(v) for v in run]))
+            run = [a + b for a, b in zip(run, sums)]
+        totals[key] = [int(v) for v in run]
+    key_fields = sorted([f for f in df.schema.fields if f.name in keys], key=lambda f: keys.index(f.name))
+    off_schema = T.StructType([T.StructField(_PID, T.IntegerType())] + key_fields +
+                              [T.StructField(f"__o{i}", T.LongType()) for i in range(len(weight_cols))])
+    offsets = spark.createDataFrame(off_rows, off_schema)   # one row per (partition, key): bounded
+    w = Window.partitionBy(_PID, *keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    with_run = tagged.withColumns({f"__r{i}": F.sum(c).over(w) for i, c in enumerate(weight_cols)})
+    out = with_run.join(F.broadcast(offsets), [_PID, *keys]).withColumns(
+        {f"cum_{c}": (F.col(f"__o{i}") + F.col(f"__r{i}")).cast("long") for i, c in enumerate(weight_cols)})
+    return out.drop(_PID, *[f"__r{i}" for i in range(len(weight_cols))],
+                    *[f"__o{i}" for i in range(len(weight_cols))]), totals

@@ -182,8 +182,14 @@ def fit_recipe_folds(df: DataFrame, feature_cols: list[str], prep: PrepSpec, fol
     kept = {f: [x for x in feature_cols if x not in drops[f]] for f in folds}
     num_union = [x for x in feature_cols if is_numeric(types[x]) and any(x in kept[f] for f in folds)]
     cat_union = [x for x in feature_cols if not is_numeric(types[x]) and any(x in kept[f] for f in folds)]
-    num_fill = fit_numeric_fill(stacked, num_union, "median", TRAIN_FOLD, prep.exact_quantiles,
-                                prep.approx_accuracy, folds)
+    if prep.exact_quantiles and num_union:
+        from plinth.operators.quantile import fold_quantiles
+        all_folds = list(folds) if len(folds) > 1 else [0, 1]
+        q = fold_quantiles(df, num_union, [0.5], fold_col, all_folds, folds)
+        num_fill = {f: {x: q[f].get(x, {}).get(0.5) for x in num_union} for f in folds}
+    else:
+        num_fill = fit_numeric_fill(stacked, num_union, "median", TRAIN_FOLD, prep.exact_quantiles,
+                                    prep.approx_accuracy, folds)
     cat_fill = {f: {} for f in folds}
     cats = {f: {} for f in folds}
     if cat_union:

@@ -86,3 +86,17 @@ def test_prefix_sums_per_key(spark):
     rows = out.toPandas()
     assert totals == {("a",): 50, ("b",): 50}
     assert (rows["cum"] == rows["v"] + 1).all()
+
+
+def test_fold_quantiles_without_explosion(spark):
+    from plinth.operators.quantile import fold_quantiles
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame({"fold": rng.integers(0, 5, 1000), "x": rng.integers(0, 50, 1000).astype(float),
+                        "y": rng.normal(size=1000)})
+    pdf.loc[::11, "y"] = np.nan
+    got = fold_quantiles(spark.createDataFrame(pdf), ["x", "y"], [0.5, 0.01], "fold", list(range(5)), list(range(5)))
+    for f in range(5):
+        tr = pdf[pdf.fold != f]
+        for col in ("x", "y"):
+            for p in (0.5, 0.01):
+                assert math.isclose(got[f][col][p], tr[col].quantile(p), rel_tol=1e-12, abs_tol=1e-12)
