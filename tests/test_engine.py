@@ -139,3 +139,32 @@ def test_fold_complement_equals_exploded(spark, cv_run):
         for x, (mu, sd) in b.scale.items():
             assert math.isclose(a.scale[x][0], mu, rel_tol=1e-9, abs_tol=1e-9)
             assert math.isclose(a.scale[x][1], sd, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("prep_kw", [dict(clip_outliers=True), dict(numeric_imputer_strategy="mean"),
+                                     dict(exact_quantiles=False), dict(categorical_imputer_strategy="constant")])
+def test_cv_other_recipe_paths(spark, prep_kw):
+    """Clipping, mean imputation, approximate quantiles and constant fill all run end to end."""
+    train, test = train_test(spark, SF)
+    base = fixture_spec()
+    spec = replace(base, prep=replace(base.prep, **prep_kw),
+                   models=(ModelSpec("ridge", True, ((("alpha", 10.0),),)),))
+    cv = CrossValidation(spark, train, spec, test)
+    results, oof, _ = cv.evaluate(iter_experiments(spec))
+    assert not cv.log.errors and len(results) == 1 and 0 < results[0].primary_score < 2
+    assert oof.count() == train.count()
+    _, preds = cv.fit_full(iter_experiments(spec)[0])
+    assert preds.count() == test.count()
+    if prep_kw.get("clip_outliers"):
+        assert cv.recipes(5, True)[0].clip
+
+
+def test_holdout_cv(spark):
+    from plinth.spec import ValidationSpec
+    train, test = train_test(spark, SF)
+    spec = replace(fixture_spec(), validation=ValidationSpec(compare_n_splits=(1,), primary_n_splits=1),
+                   models=(ModelSpec("ridge", True, ((("alpha", 1.0),),)),))
+    cv = CrossValidation(spark, train, spec, test)
+    results, oof, _ = cv.evaluate(iter_experiments(spec))
+    n = train.count()
+    assert len(results) == 1 and oof.count() == math.ceil(0.2 * n)
