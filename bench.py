@@ -23,8 +23,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from plinth.session import get_spark
     from plinth.spec import DEFAULT_MODELS, ModelSpec, fixture_spec
-    from plinth.plans.run import run_profile, run
-    from plinth.sources.fixture import train_test
+    from plinth.plans.run import run
+    from plinth.session import reliable_checkpoint
+    from plinth.sources.fixture import ID, TARGET, fixture
+    from pyspark.sql import functions as F
 
     scratch = tempfile.mkdtemp(prefix="plinth-bench-")
     spark = get_spark(f"local[{cpus}]", cpus, extra={
@@ -41,10 +43,15 @@ def main() -> None:
     spec = replace(fixture_spec(), models=tuple(models), parallelism=cpus)
     timings = {}
     t_all = time.time()
-    train, test = train_test(spark, sf_dir)
-    out = run(spark, train, test, spec, f"{scratch}/out")
+    t0 = time.time()
+    fx = reliable_checkpoint(fixture(spark, sf_dir))            # sources scanned once
+    train = fx.filter(F.col(ID) % 5 != 0)
+    test = fx.filter(F.col(ID) % 5 == 0).drop(TARGET)
+    timings["inputs"] = round(time.time() - t0, 3)
+    out = run(spark, train, test, spec, f"{scratch}/out", materialize_inputs=False)
     for k, v in out.timings.items():
-        timings[k] = round(v, 3)
+        if k != "inputs":
+            timings[k] = round(v, 3)
     t0 = time.time()
     n_sub = out.submission.count() if out.submission is not None else 0
     timings["submission_count"] = round(time.time() - t0, 3)
