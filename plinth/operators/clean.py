@@ -35,7 +35,8 @@ def constant_columns(df: DataFrame, cols: list[str], threshold: int = 1, group:
                     keep.append(name)
             out[g] = keep
     else:
-        for g, per_col in distinct_counts(df, cols, group).items():
+        # HLL estimates first: a column estimated at >= max(1000, 100 t) values cannot be <= t
+        for g, per_col in distinct_counts(df, cols, group, exact_below=max(1000, 100 * threshold)).items():
             out[g] = [name for name in cols if per_col.get(name, 0) <= threshold]
     return out
 
