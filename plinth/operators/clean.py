@@ -3,7 +3,8 @@
 Fit (optionally per group, e.g. all folds in one pass):
   1. constant rule: ``nunique(dropna=False) <= threshold``.  With threshold
      <= 1 this needs only count/NULL count/min/max per column (one
-     aggregate, no shuffle of values); above 1 it uses exact distinct counts.
+     aggregate, no shuffle of values); above 1 it uses HyperLogLog estimates
+     and exact distinct counts for the columns estimated small.
   2. correlation rule on the numeric columns left: for every pair (a, b),
      a before b, drop b when |pearson(a, b)| > threshold on the rows where
      both are present.  NULL correlations (constant pair) never drop.
