@@ -16,14 +16,13 @@ from pyspark.sql import types as T
 from pyspark.ml.functions import vector_to_array
 
 from plinth.functions.exprs import c
-from plinth.functions.hashing import seeded_order
 from plinth.functions.target import clip_nonneg, inverse_target, transform_target
 from plinth.operators import profile
 from plinth.operators.clean import constant_columns, fit_cleaner
 from plinth.operators.features import add_features, derived_columns, feature_types
 from plinth.operators.prep import (ClipModel, ImputeModel, fit_categorical_fill, fit_clip_bounds, fit_numeric_fill,
                                    fit_scaler, onehot_stages)
-from plinth.operators.quantile import COLUMN, PROB, VALUE, quantiles
+from plinth.operators.quantile import COLUMN, VALUE, quantiles
 from plinth.operators.rank import global_rank
 from plinth.operators.split import FOLD, LABEL, TRAIN_FOLD, assign_folds, kfold, stratify_labels, training_rows
 from plinth.operators.stats import distinct_counts, moments, pair_correlations

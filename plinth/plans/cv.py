@@ -18,7 +18,6 @@ from __future__ import annotations
 import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel

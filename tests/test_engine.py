@@ -13,7 +13,7 @@ from conftest import SF
 from plinth.functions.hashing import experiment_name
 from plinth.operators.clean import FeatureCleanerModel
 from plinth.operators.prep import ImputeModel, ScaleModel
-from plinth.plans.cv import CrossValidation, Experiment, iter_experiments
+from plinth.plans.cv import CrossValidation, iter_experiments
 from plinth.plans.models import FitContext, linear_params
 from plinth.sources.fixture import train_test
 from plinth.spec import ModelSpec, fixture_spec, house_prices_spec
