@@ -103,8 +103,9 @@ def build_estimator(model_name: str, params: dict, ctx: FitContext, features_col
                     label_col: str = "label"):
     """The MLlib estimator for one experiment on one set of training rows."""
     io = dict(featuresCol=features_col, labelCol=label_col, predictionCol="prediction")
-    # split statistics per task are bounded by maxMemoryInMB (more passes instead of more memory)
-    bins = dict(maxBins=max(32, int(ctx.max_bins)), maxMemoryInMB=128)
+    # split statistics per task are bounded by maxMemoryInMB (more passes instead of more memory);
+    # cached node ids spare re-walking the growing trees on every level (same model)
+    bins = dict(maxBins=max(32, int(ctx.max_bins)), maxMemoryInMB=128, cacheNodeIds=True)
     seed = int(params.get("random_state", params.get("random_seed", ctx.seed)) or ctx.seed)
     if model_name in LINEAR:
         return LinearRegression(**io, **linear_params(model_name, params, ctx))
