@@ -42,8 +42,7 @@ def exact_quantiles_long(counts: DataFrame, keys: list[str], probs: list[float],
                          num_partitions: int | None = None) -> DataFrame:
     """From (keys..., value, cnt) to (keys..., prob, value)."""
     spark = counts.sparkSession
-    ranked, totals = prefix_sums(counts, keys, VALUE, "cnt", cum_name="cum", total_name="n",
-                                 num_partitions=num_partitions)
+    ranked, totals = prefix_sums(counts, keys, VALUE, "cnt", cum_name="cum", num_partitions=num_partitions)
     key_fields = sorted([f for f in counts.schema.fields if f.name in keys], key=lambda f: keys.index(f.name))
     rows = []
     for key, n in totals.items():

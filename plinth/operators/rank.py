@@ -52,50 +52,28 @@ def global_rank(df: DataFrame, order: list, name: str = "rank",
 
 
 def prefix_sums(df: DataFrame, keys: list[str], order_col: str, weight_col: str,
-                cum_name: str = "cum", total_name: str = "total",
-                num_partitions: int | None = None) -> tuple[DataFrame, dict]:
+                cum_name: str = "cum", num_partitions: int | None = None) -> tuple[DataFrame, dict]:
     """Inclusive running sum of ``weight_col`` per ``keys`` ordered by ``order_col``.
 
     ``order_col`` must be unique within a key (pre-aggregate first).  Every
     task holds one range partition, never a whole key group.  Returns the
     frame and ``{key tuple: total}`` (one entry per key group).
     """
-    spark = df.sparkSession
-    n_parts = _partitions(df, num_partitions)
-    ranged = reliable_checkpoint(df.repartitionByRange(n_parts, *keys, order_col))
-    tagged = ranged.withColumn(_PID, F.spark_partition_id())
-    part_rows = tagged.groupBy(_PID, *keys).agg(F.sum(weight_col).alias("__psum")).collect()
-    # bounded: at most (#partitions + #keys) rows, since each partition holds a key range
-    by_key: dict[tuple, list[tuple[int, int]]] = {}
-    for r in part_rows:
-        by_key.setdefault(tuple(r[k] for k in keys), []).append((r[_PID], r["__psum"]))
-    off_rows, totals = [], {}
-    for key, parts in by_key.items():
-        parts.sort()
-        total = sum(s for _, s in parts)
-        totals[key] = int(total)
-        run = 0
-        for pid, s in parts:
-            off_rows.append((pid, *key, int(run), int(total)))
-            run += s
-    key_fields = [f for f in df.schema.fields if f.name in keys]
-    key_fields = sorted(key_fields, key=lambda f: keys.index(f.name))
-    off_schema = T.StructType([T.StructField(_PID, T.IntegerType())] + key_fields +
-                              [T.StructField("__off", T.LongType()), T.StructField(total_name, T.LongType())])
-    offsets = spark.createDataFrame(off_rows, off_schema)
-    w = Window.partitionBy(_PID, *keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    with_cum = tagged.withColumn("__run", F.sum(weight_col).over(w))
-    # the offsets table has one row per (partition, key) pair: a proven small bound
-    out = (with_cum.join(F.broadcast(offsets), [_PID, *keys])
-           .withColumn(cum_name, (F.col("__off") + F.col("__run")).cast("long"))
-           .drop(_PID, "__run", "__off"))
-    return out, totals
+    out, totals = prefix_sums_multi(df, keys, order_col, [weight_col], num_partitions)
+    out = out.withColumnRenamed(f"cum_{weight_col}", cum_name)
+    return out, {k: v[0] for k, v in totals.items()}
 
 
 def prefix_sums_multi(df: DataFrame, keys: list[str], order_col: str, weight_cols: list[str],
                       num_partitions: int | None = None) -> tuple[DataFrame, dict]:
-    """Like ``prefix_sums`` for several weight columns at once: adds ``cum_<w>`` for each and
-    returns ``{key tuple: [total per weight]}``."""
+    """Inclusive running sums of several weight columns per ``keys`` ordered by ``order_col``:
+    adds ``cum_<w>`` for each and returns ``{key tuple: [total per weight]}``.
+
+    Range partitions on (keys, order) are checkpointed (partition ids must not
+    move), per-(partition, key) sums give the offsets (at most #partitions +
+    #keys rows, broadcast), and a window per (partition, key) adds the
+    running part inside each partition.
+    """
     spark = df.sparkSession
     n_parts = _partitions(df, num_partitions)
     ranged = reliable_checkpoint(df.repartitionByRange(n_parts, *keys, order_col))
