@@ -50,7 +50,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary(spark, ranks_path())
     keys = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
     encoded = bpe.encode(docs.select(*keys, "text"), vocabulary).drop("text", "offsets")
-    return (bpe.decode(bpe.ids_digest(encoded), vocabulary)
+    return (bpe.decode(encoded, vocabulary)
             .select(*keys, "n_tokens", "ids", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
 
 

@@ -146,42 +146,45 @@ def classify(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 class Merges(dict):
-    """piece -> its ids; the merges of pieces seen are kept, up to LIMIT pieces."""
+    """piece -> its ids, as little-endian 32-bit bytes.
 
-    LIMIT = 1 << 18
+    Merges of pieces seen are kept in two generations of up to LIMIT pieces: a full one becomes
+    the old one, out of which pieces that come again are taken over.
+    """
+
+    LIMIT = 1 << 17
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
-
-    def __missing__(self, piece: bytes) -> tuple[int, ...]:
-        whole = self.ranks.get(piece)
-        ids = (whole,) if whole is not None else self._short(piece) if len(piece) <= 64 else self._long(piece)
+        self.ranks, self.none = ranks, max(ranks.values()) + 1
+        self.packed = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
+        self.old: dict[bytes, bytes] = {}
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.packed.get(piece) or self.old.get(piece)
+        if ids is None:
+            ids = self._short(piece) if len(piece) <= 64 else self._long(piece)
         if len(piece) <= 256:
             if len(self) >= self.LIMIT:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
-    def _short(self, piece: bytes) -> tuple[int, ...]:
-        ranks = self.ranks
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        pair = [ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-        while True:
-            best, at = None, -1
-            for i, r in enumerate(pair):
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                return tuple(ranks[p] for p in parts)
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            del pair[at]
+    def _short(self, piece: bytes) -> bytes:
+        rank, none = self.ranks.get, self.none
+        edge = list(range(len(piece) + 1))
+        pair = [rank(piece[i:i + 2], none) for i in edge[:-2]]
+        while pair and (best := min(pair)) != none:
+            at = pair.index(best)
+            del edge[at + 1], pair[at]
             if at < len(pair):
-                pair[at] = ranks.get(parts[at] + parts[at + 1])
+                pair[at] = rank(piece[edge[at]:edge[at + 2]], none)
             if at:
-                pair[at - 1] = ranks.get(parts[at - 1] + parts[at])
+                pair[at - 1] = rank(piece[edge[at - 1]:edge[at + 1]], none)
+        return b"".join([self.packed[piece[a:b]] for a, b in zip(edge, edge[1:], strict=False)])
 
-    def _long(self, piece: bytes) -> tuple[int, ...]:
+    def _long(self, piece: bytes) -> bytes:
         ranks, n = self.ranks, len(piece)
         stop, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
         heap: list[tuple[int, int, int]] = []
@@ -204,7 +207,7 @@ class Merges(dict):
             offer(i)
             if before[i] >= 0:
                 offer(before[i])
-        return tuple(ranks[piece[i:stop[i]]] for i in range(n) if alive[i])
+        return b"".join([self.packed[piece[i:stop[i]]] for i in range(n) if alive[i]])
 
 
 class Coder:
@@ -237,8 +240,7 @@ class Coder:
             last = np.searchsorted(starts, np.cumsum([len(c) + 1 for c in codes]) - 1).tolist()
             at = 0
             for stop in last:
-                found = chain.from_iterable(map(self.merges.__getitem__, pieces[at:stop]))
-                out.append(np.fromiter(found, np.int32))
+                out.append(np.frombuffer(b"".join(map(self.merges.__getitem__, pieces[at:stop])), "<i4"))
                 at = stop + 1
         return out
 
@@ -298,17 +300,11 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFra
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
-    """``df`` with ``decoded``, the bytes of the ids (a null list is empty)."""
-    def columns(batch: pa.RecordBatch) -> list[pa.Array]:
-        coder = vocabulary.coder()
-        return [pa.array([coder.decode(i) for i in _arrays(batch.column(ids))], pa.binary())]
-
-    return append(df, [("decoded", T.BinaryType())], columns)
-
-
-def ids_digest(df: DataFrame, ids: str = "ids") -> DataFrame:
-    """``df`` with ``ids_sha256``: of the ids as little-endian unsigned 32-bit integers."""
+    """``df`` with ``decoded``, the bytes of the ids (a null list is empty), and ``ids_sha256``, the
+    digest of the ids as little-endian unsigned 32-bit integers."""
     def columns(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in _arrays(batch.column(ids))])]
+        coder, lists = vocabulary.coder(), _arrays(batch.column(ids))
+        return [pa.array([coder.decode(i) for i in lists], pa.binary()),
+                pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in lists])]
 
-    return append(df, [("ids_sha256", T.StringType())], columns)
+    return append(df, [("decoded", T.BinaryType()), ("ids_sha256", T.StringType())], columns)
