@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm import bpe, decontam, quality, simhash, substring
+from plinth.llm import bpe, decontam, langid, quality, simhash, substring, toxicity
 from plinth.llm.common import table
 
 
@@ -26,6 +26,17 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
 
 
+def _remainder(of: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(_remainder(4) != 2))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -39,6 +50,13 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(_remainder(3) != 1))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -50,8 +68,10 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_langid": op3_langid,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
+    "op7_toxicity": op7_toxicity,
     "op9_simhash": op9_simhash,
     "op10_substring": op10_substring,
 }
