@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm import bpe, decontam, langid, quality, simhash, substring, toxicity
+from plinth.llm import bpe, decontam, langid, quality, simhash, substring, toxicity, warc
 from plinth.llm.common import table
 
 
@@ -50,6 +50,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(_remainder(3) != 1))
@@ -71,9 +76,21 @@ QUERIES = {
     "op3_langid": op3_langid,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
+    "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
     "op9_simhash": op9_simhash,
     "op10_substring": op10_substring,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+             d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+                          sha1(encode(html)) AS payload_digest FROM p),
+             f AS (SELECT payload_digest, max(page_id) AS response FROM d
+                   WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN response IS NULL OR response = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN response <> page_id THEN response END AS refers_to
+        FROM d LEFT JOIN f USING (payload_digest)""",
+}

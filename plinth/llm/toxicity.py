@@ -163,12 +163,13 @@ def label_model(counts: dict[tuple[int, ...], int], steps: int = 300) -> dict[tu
 
 
 def _correlations(votes: np.ndarray, weight: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Correlations of the voters' votes given the class (zero on the diagonal)."""
+    """Correlations of the voters' votes given the class (zero on the diagonal); a variance of the
+    order of 0.001, of votes that the class all but fixes, counts as noise."""
     total = np.zeros((votes.shape[1],) * 2)
     for r in (weight * toxic, weight * (1 - toxic)):
         away = votes - (r @ votes) / max(r.sum(), 1e-9)
         total += (away * r[:, None]).T @ away
-    scale = np.sqrt(np.maximum(np.diag(total), 1e-9))
+    scale = np.sqrt(np.diag(total) + 0.001 * weight.sum())
     out = total / np.outer(scale, scale)
     np.fill_diagonal(out, 0)
     return out

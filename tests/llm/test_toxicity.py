@@ -34,7 +34,7 @@ def test_label_model_separates_and_discounts_copies():
     assert right > 0.97
     v = np.array(list(counts))
     near = toxicity._correlations(v, np.array(list(counts.values()), float), np.array(list(found.values())))
-    assert near[3, 4] > 0.95 and abs(near[0, 1]) < 0.2
+    assert near[3, 4] > 0.85 and abs(near[0, 1]) < 0.2
 
 
 def test_lexicon_hits():
