@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm import bpe, decontam, langid, quality, simhash, substring, toxicity, warc
+from plinth.llm import bpe, chat, decontam, langid, mlm, quality, simhash, substring, toxicity, warc
 from plinth.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.parse(chat.transcripts_of(table(spark, sf_dir, "conversations")))
+
+
 def _remainder(of: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
 
@@ -62,6 +66,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mlm.score(docs, mlm.fit(docs)).drop("text")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -73,11 +82,13 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_chat": op2_chat,
     "op3_langid": op3_langid,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
     "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
+    "op8_lm": op8_lm,
     "op9_simhash": op9_simhash,
     "op10_substring": op10_substring,
 }
