@@ -9,9 +9,9 @@ window.  Runs of hit words are the spans; a text is contaminated when they cover
 Before streaming, numpy finds the stretches in which every pair of neighbours is a pair of
 neighbours in some item; no window lies outside these, so only they go through the automaton.
 
-The items are a test set: their total is checked against ``MAX_ITEM_BYTES`` before they go to the
-driver; a larger set is split by rows into shards that are streamed one after another, and the
-shards' hits are merged inside each row.
+The items are a test set: their total is measured before they go to the driver.  Beyond
+``MAX_ITEM_BYTES`` they are split by a hash into shards of about that size, and the texts pass one
+shard's automaton after the other, which adds to the rows' hits.
 
 Defined results: null texts and null items have no words; rows are judged one by one, so repeated
 rows get equal results; rows that share an item_id are one item with the
@@ -21,6 +21,8 @@ without items nothing is hit; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.common import ALNUM, Words, append, chunks, raw_texts, ship
+from plinth.llm.common import ALNUM, Words, append, chunks, raw_texts, ship, written
 
 WINDOW = 13
 MAX_ITEM_BYTES = 1 << 23
@@ -199,48 +201,54 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def load_items(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> list[list[tuple[str, list[bytes]]]]:
-    """The items as shards of at most MAX_ITEM_BYTES each, in the order of their ids."""
+def item_shards(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> Iterator[list[tuple[str, list[bytes]]]]:
+    """The items in shards of about MAX_ITEM_BYTES, one at a time, in the order of their ids."""
     rows = benchmark.filter(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"))
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = max(1, -(-total // MAX_ITEM_BYTES))
-    out = []
     for part in range(parts):
-        some = rows.filter(F.pmod(F.xxhash64("k"), F.lit(parts)) == part).distinct().orderBy("k", "t").collect()
-        out.append([(r["k"], words_of((r["t"] or "").encode("utf-8", "replace"))) for r in some])
-    return out
+        some = rows.filter(F.pmod(F.xxhash64("k", "t"), F.lit(parts)) == part).distinct().orderBy("k", "t").collect()
+        yield [(r["k"], words_of((r["t"] or "").encode("utf-8", "replace"))) for r in some]
 
 
-def mark(df: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``df`` with n_words, n_hit, n_items, items (ids as strings, sorted), spans (word ranges),
-    longest (longest match), contaminated."""
-    ship(df.sparkSession)
-    shards = [Matcher(items, window) for items in load_items(benchmark)]
-    shared = df.sparkSession.sparkContext.broadcast(shards)
+_SPAN = pa.struct([("first", pa.int64()), ("stop", pa.int64())])
+_STATE = ["n_words", "longest", "items", "spans"]
+
+
+def _stream(df: DataFrame, items: list[tuple[str, list[bytes]]], text: str, window: int, later: bool) -> DataFrame:
+    """``df`` with _STATE; of a ``later`` shard, added to what the columns hold."""
+    shared = df.sparkSession.sparkContext.broadcast(Matcher(items, window))
+    if later:
+        df = df.withColumnsRenamed({c: f"__{c}" for c in _STATE})
 
     def columns(batch: pa.RecordBatch) -> list[pa.Array]:
-        texts = raw_texts(batch, text)
-        spans: list[list] = [[] for _ in texts]
-        names: list[set] = [set() for _ in texts]
-        words, most = [0] * len(texts), [0] * len(texts)
-        for matcher in shared.value:
-            for i, (n, found, items, longest) in enumerate(matcher.find(texts)):
-                words[i], most[i] = n, max(most[i], longest)
-                spans[i] += found
-                names[i] |= {matcher.auto.names[k] for k in items}
-        spans = [merge(s) for s in spans]
-        hit = [sum(b - a for a, b in s) for s in spans]
-        return [pa.array(words, pa.int64()), pa.array(hit, pa.int64()), pa.array([len(x) for x in names], pa.int64()),
-                pa.array([sorted(x) for x in names], pa.list_(pa.string())),
-                pa.array([[{"first": a, "stop": b} for a, b in s] for s in spans],
-                         pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))),
-                pa.array(most, pa.int64()),
-                pa.array([h > 0 and 20 * h >= n for h, n in zip(hit, words, strict=True)], pa.bool_())]
+        matcher = shared.value
+        found = matcher.find(raw_texts(batch, text))
+        words, spans = [f[0] for f in found], [f[1] for f in found]
+        names, most = [{matcher.auto.names[k] for k in f[2]} for f in found], [f[3] for f in found]
+        if later:
+            old = [batch.column(f"__{c}").to_pylist() for c in _STATE[1:]]
+            most = [max(x) for x in zip(most, old[0], strict=True)]
+            names = [x.union(y) for x, y in zip(names, old[1], strict=True)]
+            spans = [merge(x + [(s["first"], s["stop"]) for s in y]) for x, y in zip(spans, old[2], strict=True)]
+        return [pa.array(words, pa.int64()), pa.array(most, pa.int64()), pa.array([sorted(x) for x in names], pa.list_(pa.string())),
+                pa.array([[{"first": a, "stop": b} for a, b in s] for s in spans], pa.list_(_SPAN))]
 
     span = T.StructType([T.StructField("first", T.LongType()), T.StructField("stop", T.LongType())])
-    return append(df, [("n_words", T.LongType()), ("n_hit", T.LongType()), ("n_items", T.LongType()),
-                       ("items", T.ArrayType(T.StringType())), ("spans", T.ArrayType(span)),
-                       ("longest", T.LongType()), ("contaminated", T.BooleanType())], columns)
+    types = [T.LongType(), T.LongType(), T.ArrayType(T.StringType()), T.ArrayType(span)]
+    return append(df, list(zip(_STATE, types, strict=True)), columns).drop(*[f"__{c}" for c in _STATE])
+
+
+def mark(df: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+    """``df`` with n_words, longest (longest match), items (ids as strings, sorted), spans (word
+    ranges), n_hit, n_items, contaminated.  Between shards of items the rows are a written table."""
+    ship(df.sparkSession)
+    for number, items in enumerate(item_shards(benchmark)):
+        df = _stream(written(df, "marks") if number else df, items, text, window, number > 0)
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["first"])
+    df = df.select(*[f"`{c}`" for c in df.columns if c.lower() not in ("n_hit", "n_items", "contaminated")])
+    return (df.withColumn("n_hit", hit).withColumn("n_items", F.size("items").cast("long"))
+            .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))))
 
 
 def remove_spans(df: DataFrame, text: str = "text") -> DataFrame:
