@@ -152,7 +152,7 @@ class Merges(dict):
     the old one, out of which pieces that come again are taken over.
     """
 
-    LIMIT = 1 << 17
+    LIMIT = 1 << 16
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
@@ -224,7 +224,7 @@ class Coder:
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
         out = []
-        for _, some in chunks(texts):
+        for _, some in chunks(texts, 1 << 18):
             some = [t.decode("utf-8", "replace") for t in some]
             codes = [np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in some]
             end = np.array([_CODES], np.uint32)
@@ -288,23 +288,43 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
+_INTS = T.ArrayType(T.IntegerType(), False)
+_ENCODED = [("n_tokens", T.LongType()), ("ids", _INTS), ("offsets", _INTS)]
+_DECODED = [("decoded", T.BinaryType()), ("ids_sha256", T.StringType())]
+
+
+def _encoded(coder: Coder, ids: list[np.ndarray]) -> list[pa.Array]:
+    return [pa.array([len(i) for i in ids], pa.int64()), _lists(ids), _lists([coder.offsets(i) for i in ids])]
+
+
+def _decoded(coder: Coder, ids: list[np.ndarray]) -> list[pa.Array]:
+    return [pa.array([coder.decode(i) for i in ids], pa.binary()),
+            pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids], pa.string())]
+
+
 def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
     """``df`` with ``n_tokens``, ``ids`` and ``offsets`` (bytes before each token)."""
     def columns(batch: pa.RecordBatch) -> list[pa.Array]:
         coder = vocabulary.coder()
-        ids = coder.encode(raw_texts(batch, text))
-        return [pa.array([len(i) for i in ids], pa.int64()), _lists(ids), _lists([coder.offsets(i) for i in ids])]
+        return _encoded(coder, coder.encode(raw_texts(batch, text)))
 
-    ints = T.ArrayType(T.IntegerType(), False)
-    return append(df, [("n_tokens", T.LongType()), ("ids", ints), ("offsets", ints)], columns)
+    return append(df, _ENCODED, columns)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded``, the bytes of the ids (a null list is empty), and ``ids_sha256``, the
     digest of the ids as little-endian unsigned 32-bit integers."""
     def columns(batch: pa.RecordBatch) -> list[pa.Array]:
-        coder, lists = vocabulary.coder(), _arrays(batch.column(ids))
-        return [pa.array([coder.decode(i) for i in lists], pa.binary()),
-                pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in lists])]
+        return _decoded(vocabulary.coder(), _arrays(batch.column(ids)))
+
+    return append(df, _DECODED, columns)
+
+
+def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+    """What ``decode(encode(df))`` gives, in one Python step (so with one worker for each core)."""
+    def columns(batch: pa.RecordBatch) -> list[pa.Array]:
+        coder = vocabulary.coder()
+        ids = coder.encode(raw_texts(batch, text))
+        return _encoded(coder, ids) + _decoded(coder, ids)
 
-    return append(df, [("decoded", T.BinaryType()), ("ids_sha256", T.StringType())], columns)
+    return append(df, _ENCODED + _DECODED, columns)

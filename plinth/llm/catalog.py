@@ -21,8 +21,7 @@ def ranks_path() -> str:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary(spark, ranks_path())
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text", "offsets")
-    return (bpe.decode(encoded, vocabulary)
+    return (bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
             .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
 
 

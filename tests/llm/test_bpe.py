@@ -63,4 +63,6 @@ def test_edge_rows(spark, library):
     rows = bpe.decode(bpe.encode(docs, vocabulary), vocabulary).orderBy("n_chars").collect()
     assert sorted(r.n_tokens for r in rows) == sorted(len(library.encode_ordinary(t or "")) for t in texts)
     assert all(bytes(r.decoded) == (r.text or "").encode() for r in rows)
+    once = bpe.round_trip(docs, vocabulary).orderBy("n_chars").collect()
+    assert sorted(map(str, once)) == sorted(map(str, rows))
     assert bpe.decode(bpe.encode(docs.limit(0), vocabulary), vocabulary).count() == 0
