@@ -269,14 +269,17 @@ def fe_all(spark, sf):
 
 
 @register("feature_types", sql(" UNION ALL ".join(
-    f"(SELECT '{x}' AS column, CASE WHEN typeof({x}) IN ('TINYINT','SMALLINT','INTEGER','BIGINT','FLOAT','DOUBLE') "
-    f"OR typeof({x}) LIKE 'DECIMAL%' THEN 'numeric' ELSE 'categorical' END AS kind FROM train_fe LIMIT 1)"
+    f"SELECT '{x}' AS column, CASE WHEN any_value(typeof({x})) IN ('TINYINT','SMALLINT','INTEGER','BIGINT','FLOAT','DOUBLE') "
+    f"OR any_value(typeof({x})) LIKE 'DECIMAL%' THEN 'numeric' ELSE 'categorical' END AS kind, count({x}) AS n_values FROM train_fe"
     for x in FE_FEATURES)))
 def feature_types_q(spark, sf):
+    """Each feature's kind, with the number of values it has in the table."""
     train, _ = _fe(spark, sf)
     num, cat = feature_types(train, exclude=(ID, TARGET))
-    rows = [(x, "numeric") for x in num] + [(x, "categorical") for x in cat]
-    return spark.createDataFrame(rows, "column string, kind string")
+    kinds = [(x, "numeric") for x in num] + [(x, "categorical") for x in cat]
+    one = train.agg(*[F.count(c(x)).alias(x) for x, _ in kinds])
+    rows = F.array(*[F.struct(F.lit(x).alias("column"), F.lit(k).alias("kind"), c(x).alias("n_values")) for x, k in kinds])
+    return one.select(F.explode(rows).alias("r")).select("r.*")
 
 # ------------------------------------------------------------------ C: cleaning and clipping
 

@@ -1,26 +1,28 @@
 """Model registry: name + parameters -> an MLlib estimator.
 
-Penalties are mapped exactly onto MLlib's objective.  The normal-equation
-solver standardizes the label, so with s = population std of the
-(transformed) training target and n its row count:
+Penalties are mapped exactly onto MLlib's objective.  Both solvers
+standardize the label, so with n rows of the (transformed) training target
+and s its std:
 
   ridge(alpha)               regParam = alpha * s / n,             elasticNetParam = 0
   lasso(alpha)               regParam = alpha,                     elasticNetParam = 1
   elasticnet(alpha, r)       regParam = alpha*r + alpha*(1-r)*s,   elasticNetParam = alpha*r / regParam
 
 all with ``standardization=False`` (the features are scaled, if at all, by
-the recipe).  ``normal`` is limited to 4096 features; wider inputs use
-``l-bfgs`` whose label scaling gives: ridge regParam = alpha / n; lasso
-regParam = alpha / s; elastic net regParam = alpha*r/s + alpha*(1-r),
-elasticNetParam = (alpha*r/s) / regParam.
-
-Trees: ``max_depth=None`` becomes 30, MLlib's largest depth.  The vendor
-boosting libraries are re-aimed at ``GBTRegressor``.  Unknown parameter
-names are ignored (like filtering by the estimator's signature).
+the recipe).  The normal-equation solver (``normal``) takes the population
+std, ``l-bfgs`` the sample std (n - 1).  ``normal`` is limited to 4096
+features; wider inputs use ``l-bfgs``, which gives the same solution.  The
+parameter ``solver`` chooses one explicitly.
+
+Trees: ``max_depth=None`` becomes 30, MLlib's largest depth; a larger
+explicit depth is an error.  The vendor boosting libraries are re-aimed at
+``GBTRegressor``.  Parameters without a counterpart are logged as dropped.
 """
 
 from __future__ import annotations
 
+import logging
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model
@@ -67,35 +69,59 @@ def needs_scaling(model_name: str, scale_linear: bool = True, scale_knn: bool =
 
 
 def _depth(v) -> int:
-    return MAX_TREE_DEPTH if v is None else min(int(v), MAX_TREE_DEPTH)
+    if v is not None and int(v) > MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth={v} is above {MAX_TREE_DEPTH}, the deepest tree MLlib grows")
+    return MAX_TREE_DEPTH if v is None else int(v)
+
+
+_log = logging.getLogger(__name__)
+_KNOWN = {
+    "linear": {"alpha", "l1_ratio", "fit_intercept", "max_iter", "solver", "random_state"},
+    "decision_tree": {"max_depth", "min_samples_leaf", "random_state"},
+    "random_forest": {"max_depth", "min_samples_leaf", "n_estimators", "random_state", "bootstrap", "max_features"},
+    "xgboost": {"max_depth", "n_estimators", "learning_rate", "subsample", "colsample_bytree", "random_state"},
+    "lightgbm": {"max_depth", "num_leaves", "n_estimators", "learning_rate", "subsample", "colsample_bytree", "random_state"},
+    "catboost": {"depth", "iterations", "learning_rate", "random_state", "random_seed"},
+}
+
+
+def dropped_params(model_name: str, params: dict) -> list[str]:
+    """Names that have no counterpart in the MLlib estimator."""
+    known = _KNOWN.get("linear" if model_name in LINEAR else model_name, set(params))
+    return sorted(set(params) - known)
+
+
+def _subset(v) -> str:
+    """MLlib's feature subset of a tree for ``max_features``."""
+    if v is None or v in ("all", "auto") or (isinstance(v, float) and v == 1.0):
+        return "all"
+    return str(v)
 
 
 def linear_params(model_name: str, params: dict, ctx: FitContext) -> dict:
     """LinearRegression keyword arguments for a sklearn-style linear model."""
     s = ctx.target_std or 0.0
     n = max(ctx.n_rows, 1)
-    normal = ctx.n_features <= NORMAL_MAX_FEATURES
+    solver = params.get("solver", "auto")
+    if solver not in ("normal", "l-bfgs"):         # another library's solver names give the same solution
+        solver = "normal" if ctx.n_features <= NORMAL_MAX_FEATURES else "l-bfgs"
+    if solver == "l-bfgs" and n > 1:
+        s *= math.sqrt(n / (n - 1))
     kw = dict(standardization=False, fitIntercept=bool(params.get("fit_intercept", True)),
-              solver="normal" if normal else "l-bfgs", tol=TIGHT_TOL,
-              maxIter=int(params.get("max_iter", 1000) or 1000))
+              solver=solver, tol=TIGHT_TOL, maxIter=int(params.get("max_iter", 1000) or 1000))
     if model_name == "linear_regression":
         return {**kw, "regParam": 0.0, "elasticNetParam": 0.0}
     alpha = float(params.get("alpha", 1.0))
     if s == 0.0:
         return {**kw, "regParam": 0.0, "elasticNetParam": 0.0}   # constant target: intercept only
     if model_name == "ridge":
-        return {**kw, "regParam": alpha * s / n if normal else alpha / n, "elasticNetParam": 0.0}
+        return {**kw, "regParam": alpha * s / n, "elasticNetParam": 0.0}
     if model_name == "lasso":
-        return {**kw, "regParam": alpha if normal else alpha / s, "elasticNetParam": 1.0}
+        return {**kw, "regParam": alpha, "elasticNetParam": 1.0}
     if model_name == "elasticnet":
         r = float(params.get("l1_ratio", 0.5))
-        if normal:
-            reg = alpha * r + alpha * (1 - r) * s
-            enet = alpha * r / reg if reg > 0 else 0.0
-        else:
-            reg = alpha * r / s + alpha * (1 - r)
-            enet = (alpha * r / s) / reg if reg > 0 else 0.0
-        return {**kw, "regParam": reg, "elasticNetParam": enet}
+        reg = alpha * r + alpha * (1 - r) * s
+        return {**kw, "regParam": reg, "elasticNetParam": alpha * r / reg if reg > 0 else 0.0}
     raise ValueError(f"not a linear model: {model_name}")
 
 
@@ -106,7 +132,10 @@ def build_estimator(model_name: str, params: dict, ctx: FitContext, features_col
     # split statistics per task are bounded by maxMemoryInMB (more passes instead of more memory);
     # cached node ids spare re-walking the growing trees on every level (same model)
     bins = dict(maxBins=max(32, int(ctx.max_bins)), maxMemoryInMB=128, cacheNodeIds=True)
-    seed = int(params.get("random_state", params.get("random_seed", ctx.seed)) or ctx.seed)
+    given = params.get("random_state", params.get("random_seed"))
+    seed = int(ctx.seed if given is None else given)
+    if lost := dropped_params(model_name, params):
+        _log.warning("%s: no counterpart for %s", model_name, ", ".join(lost))
     if model_name in LINEAR:
         return LinearRegression(**io, **linear_params(model_name, params, ctx))
     if model_name == "decision_tree":
@@ -116,13 +145,16 @@ def build_estimator(model_name: str, params: dict, ctx: FitContext, features_col
         return RandomForestRegressor(**io, **bins, numTrees=int(params.get("n_estimators", 100)),
                                      maxDepth=_depth(params.get("max_depth")),
                                      minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
-                                     featureSubsetStrategy="all", bootstrap=True, seed=seed)
+                                     featureSubsetStrategy=_subset(params.get("max_features")),
+                                     bootstrap=bool(params.get("bootstrap", True)), seed=seed)
     if model_name in ("xgboost", "lightgbm"):
         depth = params.get("max_depth")
-        if depth is None and "num_leaves" in params:           # 31 leaves ~ a depth-5 tree
-            depth = max(1, int(params["num_leaves"]).bit_length() - 1)
+        if depth is not None and int(depth) <= 0:              # "no limit" in these libraries
+            depth = None
+        if depth is None and "num_leaves" in params:           # the depth that holds so many leaves
+            depth = max(1, math.ceil(math.log2(int(params["num_leaves"]))))
         return GBTRegressor(**io, **bins, maxIter=int(params.get("n_estimators", 100)),
-                            stepSize=float(params.get("learning_rate", 0.1)), maxDepth=_depth(depth or 3),
+                            stepSize=float(params.get("learning_rate", 0.1)), maxDepth=_depth(6 if depth is None else depth),
                             subsamplingRate=float(params.get("subsample", 1.0)),
                             featureSubsetStrategy=str(params.get("colsample_bytree", "all")), seed=seed)
     if model_name == "catboost":

@@ -21,10 +21,13 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             na_tokens: tuple = NA_TOKENS) -> DataFrame:
-    header = spark.read.option("header", True).csv(path).columns
+             na_tokens: tuple = NA_TOKENS, multiline: bool = False) -> DataFrame:
+    """A quote inside a quoted value is doubled.  ``multiline`` also reads line breaks inside
+    quotes; a file is then one task, so leave it off for large files without such values."""
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multiline}
+    header = spark.read.options(**options).csv(path).columns
     text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
-    raw = (spark.read.schema(text_schema).option("header", True)
+    raw = (spark.read.schema(text_schema).options(**options)
            .option("nullValue", "\u0000").option("emptyValue", "").csv(path))
     tokens = list(na_tokens)
     cleaned = raw.select([F.when(F.col(f"`{c}`").isin(tokens), None).otherwise(F.col(f"`{c}`")).alias(c)
@@ -61,7 +64,7 @@ def infer_schema(text_df: DataFrame) -> T.StructType:
 
 
 def write_csv(df: DataFrame, path: str, na_token: str = "") -> str:
-    """Header CSV folder (one file per task, no index column)."""
-    (df.write.mode("overwrite").option("header", True).option("nullValue", na_token)
+    """Header CSV folder (one file per task, no index column); inner quotes are doubled."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", na_token)
      .option("emptyValue", na_token).csv(path))
     return path

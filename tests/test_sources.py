@@ -17,6 +17,17 @@ def test_csv_missing_tokens(spark, tmp_path):
     assert [r["1stFlrSF"] for r in rows] == [856, None, 920]
 
 
+def test_csv_quotes_and_line_breaks(spark, tmp_path):
+    from plinth.sources.csv import scan_csv, write_csv
+    path = os.path.join(tmp_path, "q.csv")
+    with open(path, "w") as fh:
+        fh.write('id,note\n1,"a ""big"" one, yes"\n2,"two\nlines"\n')
+    rows = [tuple(r) for r in scan_csv(spark, path, multiline=True).orderBy("id").collect()]
+    assert rows == [(1, 'a "big" one, yes'), (2, "two\nlines")]
+    out = write_csv(scan_csv(spark, path, multiline=True), os.path.join(tmp_path, "out"))
+    assert [tuple(r) for r in scan_csv(spark, out, multiline=True).orderBy("id").collect()] == rows
+
+
 def test_fixture_rows_and_planted_columns(spark):
     from pyspark.sql import functions as F
     from conftest import SF
