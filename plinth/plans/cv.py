@@ -103,6 +103,14 @@ def make_folds(train: DataFrame, spec: Spec) -> DataFrame:
     return reliable_checkpoint(out.drop(d.target_col))
 
 
+def check_key(df: DataFrame, id_col: str) -> None:
+    """Joins by id need ids that are unique and not null: an error names one that isn't."""
+    n = F.count(F.lit(1))
+    bad = df.groupBy(c(id_col)).agg(n.alias("__n")).filter(c(id_col).isNull() | (F.col("__n") > 1)).limit(1).collect()
+    if bad:
+        raise ValueError(f"{id_col}={bad[0][0]!r} occurs in {bad[0][1]} rows; ids must be unique and not null")
+
+
 class CrossValidation:
     """Holds the checkpointed base table and fitted recipes of one training set."""
 
@@ -112,6 +120,7 @@ class CrossValidation:
         False = no folds (refits only)."""
         self.spark, self.spec, self.encode = spark, spec.validate(), encode
         d = spec.data
+        check_key(train, d.id_col)
         feat = add_features(train, spec.features)
         self.features = feature_columns(feat, spec)
         labelled = feat.withColumn(LABEL_COL, transform_target(c(d.target_col), d.target_transform))

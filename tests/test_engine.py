@@ -51,6 +51,14 @@ def test_solvers_agree(spark):
         assert all(math.isclose(x, y, rel_tol=1e-5, abs_tol=1e-7) for x, y in zip(*[[*m.coefficients, m.intercept] for m in found]))
 
 
+def test_ids_must_be_unique(spark):
+    from plinth.plans.cv import check_key
+    check_key(spark.range(5), "id")
+    for rows in ([(1,), (1,)], [(None,), (2,)]):
+        with pytest.raises(ValueError, match="must be unique"):
+            check_key(spark.createDataFrame(rows, "id long"), "id")
+
+
 def test_tree_parameters():
     from plinth.plans.models import build_estimator, dropped_params
     ctx = FitContext(10, 1.0)
