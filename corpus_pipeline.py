@@ -49,7 +49,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, with the digests of the ids and of the bytes they decode to."""
     vocabulary = bpe.Vocabulary(spark, ranks_path())
     keys = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
-    return (bpe.round_trip(docs.select(*keys, "text"), vocabulary)
+    return (bpe.round_trip(docs.select(*keys, "text"), vocabulary, keep_text=False)
             .select(*keys, "n_tokens", "ids", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
 
 

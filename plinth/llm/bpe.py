@@ -320,11 +320,12 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame
     return append(df, _DECODED, columns)
 
 
-def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
-    """What ``decode(encode(df))`` gives, in one Python step (so with one worker for each core)."""
+def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """What ``decode(encode(df))`` gives, in one Python step (so with one worker for each core);
+    without ``keep_text`` the text isn't sent back."""
     def columns(batch: pa.RecordBatch) -> list[pa.Array]:
         coder = vocabulary.coder()
         ids = coder.encode(raw_texts(batch, text))
         return _encoded(coder, ids) + _decoded(coder, ids)
 
-    return append(df, _ENCODED + _DECODED, columns)
+    return append(df, _ENCODED + _DECODED, columns, () if keep_text else (text,))

@@ -21,7 +21,7 @@ def ranks_path() -> str:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary(spark, ranks_path())
-    return (bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    return (bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, keep_text=False)
             .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
 
 

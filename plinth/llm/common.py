@@ -49,23 +49,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ROWS rows from now on in this session; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ROWS:
+        spark.conf.set(key, str(ROWS))
+
+
 def append(df: DataFrame, names_types: Sequence[tuple[str, T.DataType]],
-           fn: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
-    """``df`` with columns that ``fn`` computes for each Arrow batch.
+           fn: Callable[[pa.RecordBatch], list[pa.Array]], leave: Sequence[str] = ()) -> DataFrame:
+    """``df`` with columns that ``fn`` computes for each Arrow batch, without the columns ``leave``.
 
     An input column that has the name of a computed one is replaced.
     """
     ship(df.sparkSession)
-    new = {n.lower() for n, _ in names_types}
+    bound_batches(df.sparkSession)
+    new, gone = {n.lower() for n, _ in names_types}, {c.lower() for c in leave}
     df = df.select(*[f"`{c}`" for c in df.columns if c.lower() not in new])
-    schema = T.StructType([*df.schema.fields, *[T.StructField(n, t) for n, t in names_types]])
+    kept = [i for i, c in enumerate(df.columns) if c.lower() not in gone]
+    schema = T.StructType([*[df.schema.fields[i] for i in kept], *[T.StructField(n, t) for n, t in names_types]])
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                yield pa.RecordBatch.from_arrays([*part.columns, *fn(part)], names=names)
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], *fn(part)], names=names)
 
     return df.mapInArrow(run, schema)
 

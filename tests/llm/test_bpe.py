@@ -65,4 +65,7 @@ def test_edge_rows(spark, library):
     assert all(bytes(r.decoded) == (r.text or "").encode() for r in rows)
     once = bpe.round_trip(docs, vocabulary).orderBy("n_chars").collect()
     assert sorted(map(str, once)) == sorted(map(str, rows))
+    short = bpe.round_trip(docs, vocabulary, keep_text=False)
+    assert short.columns == [c for c in bpe.round_trip(docs, vocabulary).columns if c != "text"]
+    assert sorted(map(str, short.collect())) == sorted(map(str, bpe.round_trip(docs, vocabulary).drop("text").collect()))
     assert bpe.decode(bpe.encode(docs.limit(0), vocabulary), vocabulary).count() == 0
