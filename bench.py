@@ -60,7 +60,8 @@ def main() -> None:
     print(json.dumps({"metric": "end_to_end_run_sec", "value": round(total, 3), "unit": "sec",
                       "queries": timings, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                       "best": out.best.experiment_name, "best_score": round(out.best.primary_score, 6),
-                      "submission_rows": n_sub, "errors": len(out.errors)}))
+                      "submission_rows": n_sub, "errors": len(out.errors),
+                      "grid": "default, reduced forest (30 trees, depth 10)"}))
     spark.stop()
 
 

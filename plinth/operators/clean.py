@@ -3,8 +3,7 @@
 Fit (optionally per group, e.g. all folds in one pass):
   1. constant rule: ``nunique(dropna=False) <= threshold``.  With threshold
      <= 1 this needs only count/NULL count/min/max per column (one
-     aggregate, no shuffle of values); above 1 it uses HyperLogLog estimates
-     and exact distinct counts for the columns estimated small.
+     aggregate, no shuffle of values); above 1 it counts the distinct values.
   2. correlation rule on the numeric columns left: for every pair (a, b),
      a before b, drop b when |pearson(a, b)| > threshold on the rows where
      both are present.  NULL correlations (constant pair) never drop.
@@ -36,8 +35,7 @@ def constant_columns(df: DataFrame, cols: list[str], threshold: int = 1, group:
                     keep.append(name)
             out[g] = keep
     else:
-        # HLL estimates first: a column estimated at >= max(1000, 100 t) values cannot be <= t
-        for g, per_col in distinct_counts(df, cols, group, exact_below=max(1000, 100 * threshold)).items():
+        for g, per_col in distinct_counts(df, cols, group).items():
             out[g] = [name for name in cols if per_col.get(name, 0) <= threshold]
     return out
 

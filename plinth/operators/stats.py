@@ -44,32 +44,12 @@ def null_min_max(df: DataFrame, cols: list[str], group: str | None = None) -> di
     return out
 
 
-def distinct_counts(df: DataFrame, cols: list[str], group: str | None = None,
-                    exact_below: int | None = None) -> dict:
-    """{g: {col: number of distinct values, missing counted as one value}}.
+def distinct_counts(df: DataFrame, cols: list[str], group: str | None = None) -> dict:
+    """{g: {col: number of distinct values, missing counted as one value}}, exact at any size.
 
     Long form (group, column, value as text) -> distinct -> count: map-side
     partial aggregation collapses hot values before the shuffle.
-
-    Size switch: with ``exact_below`` set, one aggregate of HyperLogLog
-    estimates comes first; columns whose estimate (over every group) is at
-    least ``exact_below`` keep the estimate (+1 when a value is missing),
-    the rest are counted exactly.  ``None`` counts every column exactly.
     """
-    if exact_below is not None and cols:
-        gdf0, keys0 = _grouped(df, group)
-        est = gdf0.groupBy(*keys0).agg(*[F.approx_count_distinct(c(x), 0.01).alias(f"a{i}") for i, x in enumerate(cols)]
-                                       + [F.max(c(x).isNull().cast("int")).alias(f"z{i}") for i, x in enumerate(cols)]
-                                       ).collect()
-        big = [x for i, x in enumerate(cols) if any(r[f"a{i}"] >= exact_below for r in est)]
-        small = [x for x in cols if x not in big]
-        out = distinct_counts(df, small, group) if small else {}
-        for r in est:
-            g = _key(group, r[GROUP])
-            for i, x in enumerate(cols):
-                if x in big:
-                    out.setdefault(g, {})[x] = r[f"a{i}"] + (r[f"z{i}"] or 0)
-        return out
     gdf, keys = _grouped(df, group)
     types = dict(df.dtypes)
 

@@ -60,7 +60,7 @@ def family(model_name: str) -> str:
         return "dnn"
     if model_name in TREES:
         return "tree"
-    raise ValueError(f"Unsupported model: {model_name}")
+    raise ValueError(f"no estimator is registered for {model_name!r}")
 
 
 def needs_scaling(model_name: str, scale_linear: bool = True, scale_knn: bool = True) -> bool:
@@ -165,7 +165,7 @@ def build_estimator(model_name: str, params: dict, ctx: FitContext, features_col
         raise ImportError("the neural-net regressor is not available on Spark in this engine")
     if model_name == "knn":
         raise ImportError("k-nearest-neighbour regression is not built in this engine yet")
-    raise ValueError(f"Unsupported model: {model_name}")
+    raise ValueError(f"no estimator is registered for {model_name!r}")
 
 
 class TargetTransformModel(Model):

@@ -102,12 +102,13 @@ def test_fold_quantiles_without_explosion(spark):
                 assert math.isclose(got[f][col][p], tr[col].quantile(p), rel_tol=1e-12, abs_tol=1e-12)
 
 
-def test_distinct_counts_size_switch(spark):
+def test_distinct_counts_are_exact(spark):
+    from plinth.operators.clean import constant_columns
     from plinth.operators.stats import distinct_counts
     df = spark.range(5000).select(F.col("id").cast("double").alias("big"), (F.col("id") % 3).alias("small"),
                                   F.when(F.col("id") % 2 == 0, F.lit("a")).alias("gap"))
-    exact = distinct_counts(df, ["big", "small", "gap"])[None]
-    switched = distinct_counts(df, ["big", "small", "gap"], exact_below=1000)[None]
-    assert exact == {"big": 5000, "small": 3, "gap": 2}
-    assert switched["small"] == 3 and switched["gap"] == 2
-    assert abs(switched["big"] - 5000) / 5000 < 0.05
+    cols = ["big", "small", "gap"]
+    assert distinct_counts(df, cols)[None] == {"big": 5000, "small": 3, "gap": 2}
+    assert constant_columns(df, cols, 2)[None] == ["gap"]
+    assert constant_columns(df, cols, 4999)[None] == ["small", "gap"]
+    assert constant_columns(df, cols, 5000)[None] == cols
