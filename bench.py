@@ -24,7 +24,7 @@ def main() -> None:
     from plinth.session import get_spark
     from plinth.spec import DEFAULT_MODELS, ModelSpec, fixture_spec
     from plinth.plans.run import run
-    from plinth.session import reliable_checkpoint
+    from plinth.session import written_table
     from plinth.sources.fixture import ID, TARGET, fixture
     from pyspark.sql import functions as F
 
@@ -44,7 +44,7 @@ def main() -> None:
     timings = {}
     t_all = time.time()
     t0 = time.time()
-    fx = reliable_checkpoint(fixture(spark, sf_dir))            # sources scanned once
+    fx = written_table(fixture(spark, sf_dir), "fx")            # sources scanned once
     train = fx.filter(F.col(ID) % 5 != 0)
     test = fx.filter(F.col(ID) % 5 == 0).drop(TARGET)
     timings["inputs"] = round(time.time() - t0, 3)

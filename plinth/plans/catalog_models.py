@@ -4,8 +4,8 @@ Oracles are closed forms in SQL: one-feature (or two-feature) least squares,
 ridge, lasso and elastic net solutions per fold, computed from covariances
 of each fold's training rows.  The Spark side runs the real engine (recipe,
 MLlib fits, out-of-fold tables, blends, stack) on the same rows.
-Queries whose models have no closed form (trees, forests, boosting, the
-full recipe) are rows-only checks.
+Trees, forests, boosting and the recipes are checked in small closed forms
+(depth 1, two columns); on all features they are rows-only checks.
 """
 
 from __future__ import annotations
@@ -25,11 +25,11 @@ from plinth.functions.metrics import rmse, rmsle
 from plinth.functions.target import transform_target
 from plinth.operators import ensemble as ens
 from plinth.plans.catalog_data import SPEC, folds_sql, kfold_sql, r6, sql
-from plinth.plans.cv import LABEL_COL, CrossValidation, Experiment, make_folds
+from plinth.plans.cv import CrossValidation, Experiment, make_folds
 from plinth.plans.models import FitContext, TargetTransformRegressor, build_estimator
 from plinth.plans.notebook import evaluate_model, fold_mean_stack
 from plinth.plans.recipe import FEATURES, fit_recipe, recipe_stages
-from plinth.session import work_path
+from plinth.session import work_path, written_table
 from plinth.sources.fixture import ID, TARGET, test_truth, train_test
 from plinth.spec import FeatureSpec, ValidationSpec
 
@@ -148,12 +148,6 @@ MEMBERS = [("ridge", "overall_qual", (("alpha", 10.0),)),
            ("lasso", "area_living", (("alpha", 0.001), ("max_iter", 10000))),
            ("elasticnet", "year_built", (("alpha", 0.001), ("l1_ratio", 0.5), ("max_iter", 10000)))]
 _NO_FE = FeatureSpec(enabled=False)
-_CACHE: dict = {}
-
-
-def _session_key(spark) -> tuple:
-    """Cache key of a session (an id alone may be reused by a later session)."""
-    return (id(spark), spark.sparkContext.applicationId)
 
 
 def _member_name(model: str, params: tuple) -> str:
@@ -170,32 +164,27 @@ def _spec(splits=(5,), primary=5):
                                                                      primary_n_splits=primary))
 
 
-def run_members(spark, sf, members=MEMBERS, splits=(5,), primary=5):
-    """Per member: CV (OOF long table) and a full refit (test predictions); folds shared."""
-    key = (_session_key(spark), sf, tuple(members), tuple(splits), primary)
-    if key in _CACHE:
-        return _CACHE[key]
+def run_members(spark, sf, members=MEMBERS, splits=(5,), primary=5, refit=False):
+    """Per member: CV (OOF long table) and, with ``refit``, a full fit (test predictions, else None);
+    folds shared by the members."""
     train, test = _tt(spark, sf)
     spec = _spec(splits, primary)
     folds = make_folds(train, spec)
     oofs, tests, results = [], [], []
     for model, x, params in members:
-        cols = [ID, TARGET, x]
-        cv = CrossValidation(spark, train.select(*cols), spec, test.select(ID, x), folds=folds)
+        cv = CrossValidation(spark, train.select(ID, TARGET, x), spec, test.select(ID, x) if refit else None, folds=folds)
         exp = Experiment(model, params)
         res, oof, _ = cv.evaluate([exp])
         if cv.log.errors:
             raise RuntimeError(str(cv.log.errors))
-        _, tp = cv.fit_full(exp)
+        if refit:
+            tests.append(cv.fit_full(exp)[1])
+        cv.release()
         oofs.append(oof)
-        tests.append(tp)
         results += res
-        truth = cv.base.select(c(ID).cast("long").alias(ID), F.col(LABEL_COL).alias("label"))
-    path = work_path(spark, "member_test")
-    reduce(DataFrame.unionByName, tests).write.mode("overwrite").parquet(path)
-    out = (reduce(DataFrame.unionByName, oofs), spark.read.parquet(path), truth, results)
-    _CACHE[key] = out
-    return out
+        truth = cv.truth()
+    tp = written_table(reduce(DataFrame.unionByName, tests), "member_test") if refit else None
+    return reduce(DataFrame.unionByName, oofs), tp, truth, results
 
 
 _SLOPES = {
@@ -270,7 +259,7 @@ def cv_compare_splits(spark, sf):
 
 @register("full_fit_predict", sql(members_sql(MEMBERS[:1]) + " SELECT id, round(pred, 6) AS prediction FROM tp_m0"))
 def full_fit_predict(spark, sf):
-    _, tp, _, _ = run_members(spark, sf, MEMBERS[:1])
+    _, tp, _, _ = run_members(spark, sf, MEMBERS[:1], refit=True)
     return r6(tp.select(ID, "prediction"))
 
 
@@ -314,7 +303,7 @@ def members_bind(spark, sf):
     f"SELECT {_name_sql(m, p)} AS experiment FROM (SELECT 1) WHERE EXISTS (SELECT 1 FROM oof_m{i}) "
     f"AND EXISTS (SELECT 1 FROM tp_m{i})" for i, (m, _, p) in enumerate(MEMBERS))))
 def ensemble_members(spark, sf):
-    oof, tp, _, _ = run_members(spark, sf)
+    oof, tp, _, _ = run_members(spark, sf, refit=True)
     return spark.createDataFrame([(e,) for e in ens.usable_members(oof, tp, _NAMES)], "experiment string")
 
 
@@ -336,12 +325,10 @@ def ensemble_median(spark, sf):
     return r6(ens.blend(oof, ID, _NAMES, "median"))
 
 
-def _stack_sql(alpha: float = 1.0) -> str:
-    """Meta ridge on three member columns: 3x3 centred normal equations by Cramer's rule."""
+def _ridge3_sql(alpha: float) -> str:
+    """Ridge on w(y, p0, p1, p2): 3x3 centred normal equations by Cramer's rule, as ``coef``."""
     return f"""
-, w AS (SELECT o0.id, o0.y, o0.pred AS p0, o1.pred AS p1, o2.pred AS p2 FROM oof_m0 o0 JOIN oof_m1 o1 USING (id)
-        JOIN oof_m2 o2 USING (id)),
-m AS (SELECT count(*) AS n, avg(y) AS my, avg(p0) AS a0, avg(p1) AS a1, avg(p2) AS a2,
+, m AS (SELECT count(*) AS n, avg(y) AS my, avg(p0) AS a0, avg(p1) AS a1, avg(p2) AS a2,
              count(*) * var_pop(p0) + {alpha} AS s00, count(*) * var_pop(p1) + {alpha} AS s11,
              count(*) * var_pop(p2) + {alpha} AS s22, count(*) * covar_pop(p0, p1) AS s01,
              count(*) * covar_pop(p0, p2) AS s02, count(*) * covar_pop(p1, p2) AS s12,
@@ -352,7 +339,14 @@ d AS (SELECT *, s00 * (s11 * s22 - s12 * s12) - s01 * (s01 * s22 - s12 * s02) +
 coef AS (SELECT my, a0, a1, a2,
   (r0 * (s11 * s22 - s12 * s12) - s01 * (r1 * s22 - s12 * r2) + s02 * (r1 * s12 - s11 * r2)) / det AS w0,
   (s00 * (r1 * s22 - s12 * r2) - r0 * (s01 * s22 - s12 * s02) + s02 * (s01 * r2 - r1 * s02)) / det AS w1,
-  (s00 * (s11 * r2 - r1 * s12) - s01 * (s01 * r2 - r1 * s02) + r0 * (s01 * s12 - s11 * s02)) / det AS w2 FROM d),
+  (s00 * (s11 * r2 - r1 * s12) - s01 * (s01 * r2 - r1 * s02) + r0 * (s01 * s12 - s11 * s02)) / det AS w2 FROM d)"""
+
+
+def _stack_sql(alpha: float = 1.0) -> str:
+    """Meta ridge on the three member columns."""
+    return f"""
+, w AS (SELECT o0.id, o0.y, o0.pred AS p0, o1.pred AS p1, o2.pred AS p2 FROM oof_m0 o0 JOIN oof_m1 o1 USING (id)
+        JOIN oof_m2 o2 USING (id)){_ridge3_sql(alpha)},
 stack_oof AS (SELECT w.id, w.y, my + w0 * (p0 - a0) + w1 * (p1 - a1) + w2 * (p2 - a2) AS pred FROM w, coef),
 stack_tp AS (SELECT t0.id, my + w0 * (t0.pred - a0) + w1 * (t1.pred - a1) + w2 * (t2.pred - a2) AS pred
              FROM tp_m0 t0 JOIN tp_m1 t1 USING (id) JOIN tp_m2 t2 USING (id), coef)"""
@@ -363,7 +357,7 @@ stack_tp AS (SELECT t0.id, my + w0 * (t0.pred - a0) + w1 * (t1.pred - a1) + w2 *
 # compared at 5 decimals on the log scale and in whole currency units on prices.
 @register("ensemble_stacking", sql(members_sql() + _stack_sql() + " SELECT id, round(pred, 5) AS prediction FROM stack_oof"))
 def ensemble_stacking(spark, sf):
-    oof, tp, truth, _ = run_members(spark, sf)
+    oof, tp, truth, _ = run_members(spark, sf, refit=True)
     stacked_oof, _ = ens.stack(oof, tp, truth, ID, _NAMES, "ridge", {"alpha": 1.0})
     return r6(stacked_oof, 5)
 
@@ -383,10 +377,7 @@ UNION ALL SELECT 'ensemble_stacking_ridge', 'ensemble_stacking_ridge', (SELECT {
 
 def run_board(spark, sf):
     """Leaderboard rows (singles by mean fold RMSE, blends by pooled RMSE, stack in-sample) + test predictions."""
-    key = ("board", _session_key(spark), sf)
-    if key in _CACHE:
-        return _CACHE[key]
-    oof, tp, truth, results = run_members(spark, sf)
+    oof, tp, truth, results = run_members(spark, sf, refit=True)
     rows = [(r.experiment_name, r.model_name, r.primary_score) for r in results]
     test_by_name = {n: tp.filter(F.col("experiment") == n).select(ID, "prediction") for n in _NAMES}
     for name, how in (("ensemble_average", "mean"), ("ensemble_voting", "median")):
@@ -397,8 +388,7 @@ def run_board(spark, sf):
     rows.append(("ensemble_stacking_ridge", "ensemble_stacking_ridge", ens.pooled_score(s_oof, truth, ID)))
     test_by_name["ensemble_stacking_ridge"] = s_tp
     board = spark.createDataFrame(rows, "experiment_name string, model_name string, primary_score double")
-    _CACHE[key] = (board, test_by_name)
-    return _CACHE[key]
+    return board, test_by_name
 
 
 @register("leaderboard", sql(_board_sql() + " SELECT experiment_name, model_name, round(primary_score, 6) AS primary_score "
@@ -528,11 +518,8 @@ def cv_rmsle(spark, sf):
 
 
 def _nb_stack(spark, sf):
-    key = ("nbstack", _session_key(spark), sf)
-    if key not in _CACHE:
-        X, Xt = _nb_frames(spark, sf)
-        _CACHE[key] = fold_mean_stack(X, Xt, ["overall_qual"], ID, TARGET, _NB_MEMBERS, SPEC)
-    return _CACHE[key]
+    X, Xt = _nb_frames(spark, sf)
+    return fold_mean_stack(X, Xt, ["overall_qual"], ID, TARGET, _NB_MEMBERS, SPEC)
 
 
 @register("ensemble_fold_mean_stack", sql(_nb_sql() + " SELECT id, round(pred, 2) AS prediction FROM nbstack_tp"))
@@ -555,11 +542,11 @@ def choose_stack_or_single(spark, sf):
 # ------------------------------------------------------------------ rows-only: trees, full recipe, sinks
 
 
-def _full_recipe(spark, sf, model: str, params: dict, encode: bool = True, scale: bool = False):
+def _full_recipe(spark, sf, model: str, params: dict):
     from dataclasses import replace
     train, test = _tt(spark, sf)
     spec = replace(SPEC, validation=ValidationSpec(compare_n_splits=(5,)))
-    cv = CrossValidation(spark, train, spec, test, folds=False, encode=encode)
+    cv = CrossValidation(spark, train, spec, test, folds=False)
     _, preds = cv.fit_full(Experiment(model, tuple(sorted(params.items()))))
     return preds.select(ID, "prediction")
 
@@ -572,8 +559,8 @@ def recipe_ridge(spark, sf):
 
 @register("recipe_native_cat")
 def recipe_native_cat(spark, sf):
-    """Median and most-frequent fills, categories as nominal indices, boosted trees."""
-    return _full_recipe(spark, sf, "catboost", {"iterations": 30, "learning_rate": 0.1, "depth": 4}, encode=False)
+    """Median and "Missing" fills, categories as nominal indices, boosted trees."""
+    return _full_recipe(spark, sf, "catboost", {"iterations": 30, "learning_rate": 0.1, "depth": 4})
 
 
 @register("preprocess_vector")
@@ -604,20 +591,116 @@ def model_gbt(spark, sf):
                                                "subsample": 0.8, "colsample_bytree": 0.8, "random_state": 42})
 
 
-@register("sink_parquet_oof")
+@register("sink_parquet_oof", sql(members_sql() + " " + " UNION ALL ".join(
+    f"SELECT id, fold, round(pred, 6) AS prediction, {_name_sql(m, p)} AS experiment FROM oof_m{i}"
+    for i, (m, _, p) in enumerate(MEMBERS))))
 def sink_parquet_oof(spark, sf):
     """Out-of-fold predictions written partitioned by experiment, read back."""
     oof, _, _, _ = run_members(spark, sf)
     path = work_path(spark, "oof_sink")
     oof.write.mode("overwrite").partitionBy("experiment").parquet(path)
-    return spark.read.parquet(path)
+    return r6(spark.read.parquet(path))
 
 
-@register("best_result_json")
+@register("best_result_json", sql(_board_sql() + " SELECT experiment_name, model_name, round(primary_score, 6) AS "
+                                  "primary_score FROM board ORDER BY primary_score, experiment_name LIMIT 1"))
 def best_result_json(spark, sf):
+    """The best entry written as a JSON document and read back."""
     board, _ = run_board(spark, sf)
-    top = ens.best(board)
-    return top.select(F.to_json(F.struct("experiment_name", "model_name", "primary_score")).alias("json"))
+    path = work_path(spark, "best_json")
+    top = ens.best(board).select("experiment_name", "model_name", "primary_score")
+    top.write.json(path)
+    return r6(spark.read.schema(top.schema).json(path))
+
+# ------------------------------------------------------------------ closed forms: id as feature, trees of depth 1
+
+
+@register("cv_id_feature", sql(folds_sql(5) + member_sql("m0", "ridge", "id", MEMBERS[0][2], 5, "folds_5")
+                               + " SELECT id, fold, round(pred, 6) AS prediction FROM oof_m0"))
+def cv_id_feature(spark, sf):
+    """Ridge on the id alone: the feature is scaled, the row keys stay as they are."""
+    from dataclasses import replace
+    spec = _spec()
+    spec = replace(spec, data=replace(spec.data, id_as_feature=True))
+    train, _ = _tt(spark, sf)
+    cv = CrossValidation(spark, train.select(ID, TARGET), spec)
+    _, oof, _ = cv.evaluate([Experiment("ridge", MEMBERS[0][2])])
+    cv.release()
+    return r6(oof.select(ID, "fold", "prediction"))
+
+
+def _refit_on(spark, sf, cols: list[str], model: str, params: dict) -> DataFrame:
+    """Test predictions of one model fitted through the whole recipe on a few raw columns."""
+    train, test = _tt(spark, sf)
+    cv = CrossValidation(spark, train.select(ID, TARGET, *cols), _spec(), test.select(ID, *cols), folds=False)
+    _, preds = cv.fit_full(Experiment(model, tuple(sorted(params.items()))))
+    return r6(preds.select(ID, "prediction"))
+
+
+def _stump_sql(tag: str, source: str) -> str:
+    """stump_{tag}(cut, lo, hi): the best split of source(x, y) by squared error."""
+    return f"""
+, g_{tag} AS (SELECT x, count(*) AS n, sum(y) AS s FROM {source} GROUP BY x),
+c_{tag} AS (SELECT x, sum(n) OVER (ORDER BY x) AS nl, sum(s) OVER (ORDER BY x) AS sl, sum(n) OVER () AS n,
+                   sum(s) OVER () AS s FROM g_{tag}),
+stump_{tag} AS (SELECT x AS cut, sl / nl AS lo, (s - sl) / (n - nl) AS hi FROM c_{tag} WHERE nl < n
+                ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, x LIMIT 1)"""
+
+
+_QUAL = f", q AS (SELECT overall_qual AS x, {_Y} AS y FROM train)" + _stump_sql("a", "q")
+_STUMP = sql(_QUAL + """
+SELECT id, round(CASE WHEN overall_qual <= cut THEN lo ELSE hi END, 6) AS prediction FROM test, stump_a""")
+
+
+@register("tree_stump", _STUMP)
+def tree_stump(spark, sf):
+    """A decision tree of depth 1 on one feature."""
+    return _refit_on(spark, sf, ["overall_qual"], "decision_tree", {"max_depth": 1})
+
+
+@register("forest_stump", _STUMP)
+def forest_stump(spark, sf):
+    """A forest of one tree on all rows."""
+    return _refit_on(spark, sf, ["overall_qual"], "random_forest",
+                     {"n_estimators": 1, "max_depth": 1, "bootstrap": False, "random_state": 42})
+
+
+@register("boost_stumps", sql(_QUAL + """
+, f AS (SELECT x, 2 * (y - CASE WHEN x <= cut THEN lo ELSE hi END) AS y FROM q, stump_a)""" + _stump_sql("b", "f") + """
+SELECT id, round(CASE WHEN overall_qual <= a.cut THEN a.lo ELSE a.hi END
+                 + 0.1 * CASE WHEN overall_qual <= b.cut THEN b.lo ELSE b.hi END, 6) AS prediction
+FROM test, stump_a a, stump_b b"""))
+def boost_stumps(spark, sf):
+    """Two boosting rounds of depth 1; the second fits twice the residual (the loss gradient)."""
+    return _refit_on(spark, sf, ["overall_qual"], "xgboost",
+                     {"n_estimators": 2, "learning_rate": 0.1, "max_depth": 1, "random_state": 42})
+
+
+@register("native_cat_stump", sql(f"""
+, q AS (SELECT coalesce(alley, 'Missing') AS v, avg({_Y}) OVER (PARTITION BY coalesce(alley, 'Missing')) AS x, {_Y} AS y
+        FROM train)""" + _stump_sql("a", "q") + """
+, means AS (SELECT DISTINCT v, x FROM q)
+SELECT test.id, round(CASE WHEN means.x <= cut THEN lo ELSE hi END, 6) AS prediction
+FROM test LEFT JOIN means ON coalesce(alley, 'Missing') = v, stump_a"""))
+def native_cat_stump(spark, sf):
+    """The native-category recipe: gaps become a category of their own; one split of depth 1."""
+    return _refit_on(spark, sf, ["alley"], "catboost", {"iterations": 1, "learning_rate": 0.1, "depth": 1})
+
+
+_ONEHOT = """(CASE WHEN coalesce(alley, mode_a) = '{v}' THEN 1.0 ELSE 0.0 END)"""
+
+
+@register("ridge_onehot", sql(f"""
+, st AS (SELECT (SELECT alley FROM train WHERE alley IS NOT NULL GROUP BY alley ORDER BY count(*) DESC, alley LIMIT 1) AS mode_a,
+               (SELECT median(year_built) FROM train) AS med),
+sc AS (SELECT avg(coalesce(year_built, med)) AS mu, stddev_pop(coalesce(year_built, med)) AS sd FROM train, st),
+w AS (SELECT {_Y} AS y, (coalesce(year_built, med) - mu) / sd AS p0, {_ONEHOT.format(v='F')} AS p1,
+             {_ONEHOT.format(v='O')} AS p2 FROM train, st, sc){_ridge3_sql(10.0)}
+SELECT id, round(my + w0 * ((coalesce(year_built, med) - mu) / sd - a0) + w1 * ({_ONEHOT.format(v='F')} - a1)
+                 + w2 * ({_ONEHOT.format(v='O')} - a2), 6) AS prediction FROM test, st, sc, coef"""))
+def ridge_onehot(spark, sf):
+    """Median and mode fills, scaler, one-hot and ridge through the whole recipe on two columns."""
+    return _refit_on(spark, sf, ["year_built", "alley"], "ridge", {"alpha": 10.0})
 
 
 QUERIES, ORACLE = Q, O

@@ -1,8 +1,10 @@
 """Cross-validation of an experiment grid with out-of-fold predictions, and refits.
 
 Plan of one run:
-  * ``base``: features + transformed target + one fold column per fold count,
-    checkpointed (reliable) so fold ids and statistics never shift.
+  * ``base``: features + transformed target + one fold column per fold count, written once as
+    Parquet so fold ids and statistics never shift and a statistic reads only its columns.
+  * the row key travels in a reserved column, in its own type, that no stage touches; so the id
+    may be a feature as well.
   * per fold count and recipe kind (scaled / unscaled): every stage's
     statistics for all folds in one pass over the fold-stacked training rows.
   * per experiment and fold: ``Estimator.fit`` on the fold's training rows,
@@ -21,23 +23,24 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.functions.exprs import c
-from plinth.functions.hashing import experiment_name, params_json
+from plinth.functions.hashing import experiment_name
 from plinth.functions.metrics import rmse
 from plinth.functions.target import transform_target
 from plinth.operators.features import add_features
 from plinth.operators.split import FOLD, TRAIN_FOLD, assign_folds, fold_ids, fold_train, fold_valid, training_rows
-from plinth.operators.stats import moments
-from plinth.plans.models import FitContext, build_estimator, family, needs_scaling
+from plinth.operators.stats import fold_moments, moments
+from plinth.plans.models import FitContext, build_estimator, family, native_categories, needs_scaling
 from plinth.plans.recipe import (FEATURES, add_scaler, add_scaler_folds, fit_recipe, fit_recipe_folds,
                                  recipe_stages)
-from plinth.session import reliable_checkpoint, work_path
+from plinth.session import reliable_checkpoint, work_path, written_table
 from plinth.spec import Spec
 
 LABEL_COL, PRED = "label", "prediction"
+KEY = "__row_key"          # the id as given; stages only see feature columns
 
 
 @dataclass(frozen=True)
@@ -76,7 +79,7 @@ def iter_experiments(spec: Spec) -> list[Experiment]:
 
 
 def feature_columns(df: DataFrame, spec: Spec) -> list[str]:
-    skip = {spec.data.target_col, LABEL_COL}
+    skip = {spec.data.target_col, LABEL_COL, KEY}
     if not spec.data.id_as_feature:
         skip.add(spec.data.id_col)
     return [x for x in df.columns if x not in skip]
@@ -112,39 +115,49 @@ def check_key(df: DataFrame, id_col: str) -> None:
 
 
 class CrossValidation:
-    """Holds the checkpointed base table and fitted recipes of one training set."""
+    """Holds the written base table and fitted recipes of one training set."""
 
     def __init__(self, spark: SparkSession, train: DataFrame, spec: Spec, test: DataFrame | None = None,
-                 folds: DataFrame | None | bool = None, encode: bool = True, materialized: bool = False):
+                 folds: DataFrame | None | bool = None, encode: bool | None = None, materialized: bool = False):
         """``folds``: None = assign here; a frame (id, fold_k...) from ``make_folds`` = reuse it;
-        False = no folds (refits only)."""
+        False = no folds (refits only).  ``encode``: None = one-hot or nominal categories as the
+        model takes them; True or False = the same for every model."""
         self.spark, self.spec, self.encode = spark, spec.validate(), encode
         d = spec.data
-        check_key(train, d.id_col)
         feat = add_features(train, spec.features)
         self.features = feature_columns(feat, spec)
-        labelled = feat.withColumn(LABEL_COL, transform_target(c(d.target_col), d.target_transform))
-        # ML stages scan the base many times: spread it over every core before checkpointing
+        labelled = feat.withColumns({LABEL_COL: transform_target(c(d.target_col), d.target_transform),
+                                     KEY: c(d.id_col)})
+        if not materialized:
+            labelled = written_table(labelled, "labelled")    # one scan of the sources
+        check_key(labelled, d.id_col)
         if folds is None:
-            if not materialized:
-                labelled = reliable_checkpoint(labelled)    # one scan of the sources
-
             folds = make_folds(labelled, spec)
+        # ML stages scan the base many times: spread it over every core; both sides of the join
+        # come in the same partitioning, so the rows move once
         n_parts = training_partitions(spark, labelled)
+        rows = labelled.repartition(n_parts, c(d.id_col))
         if folds is not False:
-            labelled = labelled.join(folds, d.id_col)
-        self.base = reliable_checkpoint(labelled.repartition(n_parts, c(d.id_col)))
-        self.test = None if test is None else \
-            reliable_checkpoint(add_features(test, spec.features).repartition(n_parts, c(d.id_col)))
+            rows = rows.join(folds.repartition(n_parts, c(d.id_col)), d.id_col)
+        self.base = written_table(rows, "base")
+        self.test = None
+        if test is not None:
+            check_key(test, d.id_col)
+            self.test = written_table(add_features(test, spec.features).withColumn(KEY, c(d.id_col))
+                                      .repartition(n_parts, c(d.id_col)), "test")
         self._recipes: dict = {}
         self._targets: dict = {}
         self._prepared: dict = {}
         self._lock = threading.Lock()
+        self._fit_lock = threading.RLock()      # statistics are computed once, whoever asks first
         self.log = RunLog()
 
     # ------------------------------------------------------------ fitted state
-    def recipes(self, k: int | None, scale: bool, encode: bool | None = None) -> dict:
-        encode = self.encode if encode is None else encode
+    def recipes(self, k: int | None, scale: bool, encode: bool = True) -> dict:
+        with self._fit_lock:
+            return self._fit_recipes(k, scale, encode)
+
+    def _fit_recipes(self, k: int | None, scale: bool, encode: bool) -> dict:
         key = (k, scale, encode)
         if key not in self._recipes:
             prep = self.spec.prep
@@ -169,14 +182,12 @@ class CrossValidation:
 
     def target_stats(self, k: int | None) -> dict:
         """{fold: (n, mean, std_pop)} of the transformed target on each fold's training rows."""
-        if k not in self._targets:
-            if k is None:
-                m = moments(self.base, [LABEL_COL])
-            else:
-                stacked = training_rows(self.base.withColumnRenamed(fold_col(k), FOLD), k)
-                m = moments(stacked, [LABEL_COL], TRAIN_FOLD)
-            self._targets[k] = {g: (v[LABEL_COL][0], v[LABEL_COL][1], v[LABEL_COL][2]) for g, v in m.items()}
-        return self._targets[k]
+        with self._fit_lock:
+            if k not in self._targets:
+                m = moments(self.base, [LABEL_COL]) if k is None else \
+                    fold_moments(self.base, [LABEL_COL], fold_col(k), fold_ids(k))
+                self._targets[k] = {g: v[LABEL_COL][:3] for g, v in m.items()}
+            return self._targets[k]
 
     def _ctx(self, k: int | None, f, state) -> FitContext:
         n, _, s = self.target_stats(k)[f]
@@ -184,15 +195,15 @@ class CrossValidation:
                           max_bins=state.max_categories)
 
     # ------------------------------------------------------------------ fits
-    def prepared(self, k: int | None, f, scale: bool):
+    def prepared(self, k: int | None, f, scale: bool, encode: bool = True):
         """(state, prep model, prepared rows) of one fold and recipe kind, persisted once and
         shared by every experiment that uses it (released by ``release``)."""
-        key = (k, f, scale, self.encode)
+        key = (k, f, scale, encode)
         with self._lock:
             if key not in self._prepared:
-                state = self.recipes(k, scale)[f]
+                state = self.recipes(k, scale, encode)[f]
                 prep = PipelineModel(recipe_stages(state, self.base))
-                keep = [c(self.spec.data.id_col), F.col(LABEL_COL), F.col(FEATURES)] + \
+                keep = [F.col(KEY), F.col(LABEL_COL), F.col(FEATURES)] + \
                     [F.col(x) for x in self.base.columns if x.startswith(f"{FOLD}_")]
                 rows = prep.transform(self.base).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
                 self._prepared[key] = (state, prep, rows)
@@ -208,36 +219,41 @@ class CrossValidation:
         return needs_scaling(exp.model_name, self.spec.prep.scale_numeric_for_linear,
                              self.spec.prep.scale_numeric_for_knn)
 
+    def _encode(self, exp: Experiment) -> bool:
+        return not native_categories(exp.model_name) if self.encode is None else self.encode
+
+    def _key(self) -> Column:
+        return F.col(KEY).alias(self.spec.data.id_col)
+
     def fit_fold(self, exp: Experiment, k: int, f: int, with_test: bool = False):
         """(validation predictions, optional test predictions) of one experiment on one fold."""
-        state, prep, prepared = self.prepared(k, f, self._scale(exp))
+        state, prep, prepared = self.prepared(k, f, self._scale(exp), self._encode(exp))
         est = build_estimator(exp.model_name, exp.params_dict, self._ctx(k, f, state))
         model = est.fit(fold_train(prepared, f, k, fold_col(k)))
-        d = self.spec.data
         valid = (model.transform(fold_valid(prepared, f, fold_col(k)))
-                 .select(c(d.id_col).cast("long").alias(d.id_col), F.lit(exp.name).alias("experiment"),
-                         F.lit(f).alias(FOLD), F.col(PRED).alias(PRED)))
+                 .select(self._key(), F.lit(exp.name).alias("experiment"), F.lit(f).alias(FOLD), F.col(PRED)))
         test = None
         if with_test and self.test is not None:
             full = PipelineModel([prep, model])
-            test = (full.transform(self.test).select(c(d.id_col).cast("long").alias(d.id_col),
-                                                     F.lit(exp.name).alias("experiment"), F.lit(f).alias(FOLD),
-                                                     F.col(PRED).alias(PRED)))
+            test = (full.transform(self.test)
+                    .select(self._key(), F.lit(exp.name).alias("experiment"), F.lit(f).alias(FOLD), F.col(PRED)))
         return valid, test
 
     def fit_full(self, exp: Experiment) -> tuple[PipelineModel, DataFrame | None]:
         """Refit on all training rows; predictions for the test rows (id, experiment, prediction)."""
-        state, prep, prepared = self.prepared(None, None, self._scale(exp))
+        state, prep, prepared = self.prepared(None, None, self._scale(exp), self._encode(exp))
         est = build_estimator(exp.model_name, exp.params_dict, self._ctx(None, None, state))
         model = est.fit(prepared)
         full = PipelineModel([prep, model])
         preds = None
         if self.test is not None:
-            d = self.spec.data
-            preds = full.transform(self.test).select(c(d.id_col).cast("long").alias(d.id_col),
-                                                     F.lit(exp.name).alias("experiment"), F.col(PRED).alias(PRED))
+            preds = full.transform(self.test).select(self._key(), F.lit(exp.name).alias("experiment"), F.col(PRED))
         return full, preds
 
+    def truth(self) -> DataFrame:
+        """(id, label) of the training rows."""
+        return self.base.select(self._key(), F.col(LABEL_COL))
+
     # ------------------------------------------------------------- the grid
     def evaluate(self, experiments: list[Experiment], with_fold_test: bool = False):
         """Run every experiment x fold count x fold.
@@ -257,7 +273,7 @@ class CrossValidation:
         runnable = [e for e in experiments if not any(err[0] == e.name for err in self.log.errors)]
         for k in sorted(set(v.compare_n_splits)):     # statistics first, shared by all experiments
             for e in runnable:
-                self.recipes(k, self._scale(e))
+                self.recipes(k, self._scale(e), self._encode(e))
             self.target_stats(k)
         roots = {k: work_path(self.spark, f"oof_{k}") for k in v.compare_n_splits}
         test_root = work_path(self.spark, "fold_test")
@@ -265,13 +281,13 @@ class CrossValidation:
         jobs = [(e, k, f) for k in v.compare_n_splits for f in fold_ids(k) for e in runnable]
         pending: dict = {}
         for e, k, f in jobs:
-            key = (k, f, self._scale(e), self.encode)
+            key = (k, f, self._scale(e), self._encode(e))
             pending[key] = pending.get(key, 0) + 1
         d = self.spec.data
 
         def run(job):
             e, k, f = job
-            key = (k, f, self._scale(e), self.encode)
+            key = (k, f, self._scale(e), self._encode(e))
             err = None
             try:
                 valid, test = self.fit_fold(e, k, f, with_test=with_fold_test and k == v.primary_n_splits)
@@ -297,18 +313,18 @@ class CrossValidation:
                 self.log.errors.append((job[0].name, f"fold {job[1]}/{job[2]}", err))
         good = [e.name for e in runnable if e.name not in failed]
         results, oof, fold_test = [], None, None
-        truth = self.base.select(c(d.id_col).cast("long").alias(d.id_col), F.col(LABEL_COL))
+        truth = self.truth()
         per_k = {}
         for k in v.compare_n_splits:
             if good:
                 per_k[k] = (self.spark.read.parquet(roots[k]).filter(F.col("experiment").isin(good))
-                            .select(c(d.id_col).cast("long").alias(d.id_col), F.col("experiment"),
+                            .select(c(d.id_col), F.col("experiment"),
                                     F.col(FOLD).cast("int").alias(FOLD), F.col(PRED)))
         if v.primary_n_splits in per_k:
             oof = per_k[v.primary_n_splits]
         if with_fold_test and good:
             fold_test = (self.spark.read.parquet(test_root).filter(F.col("experiment").isin(good))
-                         .select(c(d.id_col).cast("long").alias(d.id_col), F.col("experiment"),
+                         .select(c(d.id_col), F.col("experiment"),
                                  F.col(FOLD).cast("int").alias(FOLD), F.col(PRED)))
         scores = {}
         for k, table in per_k.items():
@@ -326,7 +342,3 @@ def fold_scores(oof: DataFrame, truth: DataFrame, id_col: str) -> DataFrame:
     """(experiment, fold, rmse) of validation predictions against the transformed target."""
     return (oof.join(truth, id_col).groupBy("experiment", FOLD)
             .agg(rmse(F.col(LABEL_COL), F.col(PRED)).alias("rmse")))
-
-
-def describe_params(params: dict) -> str:
-    return params_json(params)

@@ -68,6 +68,11 @@ def needs_scaling(model_name: str, scale_linear: bool = True, scale_knn: bool =
     return {"linear": scale_linear, "knn": scale_knn, "dnn": True}.get(fam, False)
 
 
+def native_categories(model_name: str) -> bool:
+    """Whether the model takes categories as nominal indices instead of one-hot columns."""
+    return model_name == "catboost"
+
+
 def _depth(v) -> int:
     if v is not None and int(v) > MAX_TREE_DEPTH:
         raise ValueError(f"max_depth={v} is above {MAX_TREE_DEPTH}, the deepest tree MLlib grows")

@@ -11,7 +11,7 @@ vectors of different folds are never mixed - only predictions are.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -28,6 +28,15 @@ from plinth.operators.stats import categories
 from plinth.spec import PrepSpec
 
 FEATURES = "features"
+# The token for a missing category, one-hot recipe and native-category recipe.
+ONEHOT_TOKEN, NATIVE_TOKEN = "missing_value", "Missing"
+
+
+def _prep_for(prep: PrepSpec, encode: bool) -> tuple[PrepSpec, str]:
+    """The settings a recipe uses and its token: native categories always take the median and the token."""
+    if encode:
+        return prep, ONEHOT_TOKEN
+    return replace(prep, numeric_imputer_strategy="median", categorical_imputer_strategy="constant"), NATIVE_TOKEN
 
 
 @dataclass
@@ -54,6 +63,7 @@ class RecipeState:
 def fit_recipe(df: DataFrame, feature_cols: list[str], prep: PrepSpec, scale: bool, group: str | None = None,
                groups: list | None = None, encode: bool = True) -> dict:
     """{g: RecipeState} for every group of ``df[group]`` (or {None: ...})."""
+    prep, token = _prep_for(prep, encode)
     keys = groups if groups is not None else [None]
     gcol = None if group is None else F.col(group)
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -71,7 +81,7 @@ def fit_recipe(df: DataFrame, feature_cols: list[str], prep: PrepSpec, scale: bo
         work = clip_grouped(df, bounds, group)
     num_fill = fit_numeric_fill(work, num_union, prep.numeric_imputer_strategy, group, prep.exact_quantiles,
                                 prep.approx_accuracy, keys)
-    cat_fill = fit_categorical_fill(work, cat_union, prep.categorical_imputer_strategy, group, keys)
+    cat_fill = fit_categorical_fill(work, cat_union, prep.categorical_imputer_strategy, group, keys, token)
     scale_state = None
     if scale and num_union:
         live = [x for x in num_union if all(num_fill[g].get(x) is not None for g in keys)]
@@ -118,13 +128,8 @@ def recipe_stages(state: RecipeState, sample: DataFrame, features_col: str = FEA
     return stages
 
 
-def recipe_model(state: RecipeState, sample: DataFrame) -> PipelineModel:
-    return PipelineModel(recipe_stages(state, sample))
-
-
 def add_scaler(df: DataFrame, states: dict, group: str | None = None) -> dict:
     """Copies of fitted states with a standard scaler on their imputed numeric columns."""
-    from dataclasses import replace as _replace
     keys = list(states)
     gcol = None if group is None else F.col(group)
     work = df
@@ -133,10 +138,10 @@ def add_scaler(df: DataFrame, states: dict, group: str | None = None) -> dict:
         work = clip_grouped(df, {g: states[g].clip for g in keys}, group)
     live = [x for x in first.num_fill if all(states[g].num_fill.get(x) is not None for g in keys)]
     if not live:
-        return {g: _replace(states[g], scale={}) for g in keys}
+        return {g: replace(states[g], scale={}) for g in keys}
     imputed = impute_grouped(work, {g: {x: states[g].num_fill[x] for x in live} for g in keys}, group)
     fitted = fit_scaler(imputed, live, group)
-    return {g: _replace(states[g], scale={x: v for x, v in fitted[g].items() if x in states[g].numeric})
+    return {g: replace(states[g], scale={x: v for x, v in fitted[g].items() if x in states[g].numeric})
             for g in keys}
 
 
@@ -153,10 +158,11 @@ def fit_recipe_folds(df: DataFrame, feature_cols: list[str], prep: PrepSpec, fol
     from plinth.operators.split import FOLD as _FOLD, TRAIN_FOLD, training_rows
     from plinth.operators.stats import (fold_null_min_max, fold_pair_correlations, fold_value_counts, mode_of,
                                         training_counts)
+    given, (prep, token) = prep, _prep_for(prep, encode)
     n_splits = len(folds) if len(folds) > 1 else 1
     stacked = training_rows(df.withColumnRenamed(fold_col, _FOLD) if fold_col != _FOLD else df, n_splits)
     if prep.clip_outliers or prep.constant_threshold_unique > 1 or prep.numeric_imputer_strategy != "median":
-        return fit_recipe(stacked, feature_cols, prep, False, TRAIN_FOLD, folds, encode=encode)
+        return fit_recipe(stacked, feature_cols, given, False, TRAIN_FOLD, folds, encode=encode)
     types = {f.name: f.dataType for f in df.schema.fields}
     drops = {f: [] for f in folds}
     if prep.drop_constant_features:
@@ -200,7 +206,7 @@ def fit_recipe_folds(df: DataFrame, feature_cols: list[str], prep: PrepSpec, fol
                 if prep.categorical_imputer_strategy == "most_frequent":
                     fill = mode_of(counts[x])
                 else:
-                    fill = "missing_value"
+                    fill = token
                 cat_fill[f][x] = fill
                 values = {v for v, n in counts[x].items() if v is not None and n > 0}
                 if counts[x].get(None, 0) > 0 and fill is not None:
@@ -219,14 +225,13 @@ def fit_recipe_folds(df: DataFrame, feature_cols: list[str], prep: PrepSpec, fol
 
 def add_scaler_folds(df: DataFrame, states: dict, fold_col: str) -> dict:
     """Scaler per fold from per-fold moments, the missing cells counted at that fold's fill value."""
-    from dataclasses import replace as _replace
     from plinth.operators.stats import fold_moments
     folds = list(states)
     if any(states[f].clip for f in folds):
         raise ValueError("clipped recipes take the exploded path")
     live = [x for x in states[folds[0]].num_fill if all(states[f].num_fill.get(x) is not None for f in folds)]
     if not live:
-        return {f: _replace(states[f], scale={}) for f in folds}
+        return {f: replace(states[f], scale={}) for f in folds}
     mom = fold_moments(df, live, fold_col, folds, fills={f: states[f].num_fill for f in folds})
     out = {}
     for f in folds:
@@ -234,5 +239,5 @@ def add_scaler_folds(df: DataFrame, states: dict, fold_col: str) -> dict:
         for x in live:
             n, mu, sp, _ = mom[f][x]
             scale[x] = [mu if mu is not None else 0.0, sp if sp is not None and sp > 0 else 1.0]
-        out[f] = _replace(states[f], scale={x: v for x, v in scale.items() if x in states[f].numeric})
+        out[f] = replace(states[f], scale={x: v for x, v in scale.items() if x in states[f].numeric})
     return out

@@ -74,6 +74,14 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/plinth-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written_table(df, name: str):
+    """``df`` written as Parquet under the shared folder and read back: cuts the lineage like a
+    checkpoint, and later scans read only the columns and row groups they need."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def reliable_checkpoint(df):
     """``df.checkpoint(eager=True)`` into the shared folder (resolved first, so a session
     created elsewhere works too).  Never ``localCheckpoint``: executor-local blocks
