@@ -32,8 +32,9 @@ def stratify_labels(df: DataFrame, target: str, id_col: str, bins: int = 10) ->
     label = 0 for rank 1, else ceil((r - 1) q / (n - 1)) - 1, in integer
     arithmetic; q = min(max(2, bins), max(2, #distinct targets)).
     """
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(c(target)).alias("d")).first()
-    n, q = stats["n"], n_label_bins(stats["d"], bins)
+    n = df.count()
+    # only min(#distinct, bins) matters, so the search stops at ``bins`` different values
+    q = n_label_bins(df.select(c(target)).filter(c(target).isNotNull()).distinct().limit(max(2, bins)).count(), bins)
     ranked = global_rank(df, [c(target), c(id_col)], "__r")
     r = F.col("__r")
     if n <= 1:
@@ -43,12 +44,22 @@ def stratify_labels(df: DataFrame, target: str, id_col: str, bins: int = 10) ->
     return ranked.withColumn(LABEL, label.cast("int")).drop("__r")
 
 
-def stratified_kfold(df: DataFrame, id_col: str, k: int, seed: int, label: str = LABEL) -> DataFrame:
-    ranked = global_rank(df, [F.col(label), seeded_order(c(id_col), seed), c(id_col)], "__r")
+def stratified_kfold(df: DataFrame, id_col: str, k: int, seed: int, label: str = LABEL, shuffle: bool = True) -> DataFrame:
+    """Rows of a label are dealt round the folds in seeded order (without ``shuffle``: in id order)."""
+    mixed = [seeded_order(c(id_col), seed)] if shuffle else []
+    ranked = global_rank(df, [F.col(label), *mixed, c(id_col)], "__r")
     return ranked.withColumn(FOLD, ((F.col("__r") - 1) % k).cast("int")).drop("__r")
 
 
-def kfold(df: DataFrame, id_col: str, k: int, seed: int) -> DataFrame:
+def kfold(df: DataFrame, id_col: str, k: int, seed: int, shuffle: bool = True) -> DataFrame:
+    """Rows are dealt round the folds in seeded order; without ``shuffle`` folds are runs of ids,
+    the first ``n mod k`` of them one row longer."""
+    if not shuffle:
+        small, longer = divmod(df.count(), k)
+        at = F.col("__r") - 1
+        edge = longer * (small + 1)
+        fold = F.when(at < edge, F.floor(at / (small + 1))).otherwise(longer + F.floor((at - edge) / max(small, 1)))
+        return global_rank(df, [c(id_col)], "__r").withColumn(FOLD, fold.cast("int")).drop("__r")
     ranked = global_rank(df, [seeded_order(c(id_col), seed), c(id_col)], "__r")
     return ranked.withColumn(FOLD, ((F.col("__r") - 1) % k).cast("int")).drop("__r")
 
@@ -81,12 +92,17 @@ def stratified_holdout(df: DataFrame, id_col: str, valid_size: float, seed: int,
 
 
 def assign_folds(df: DataFrame, target: str, id_col: str, n_splits: int, seed: int, bins: int = 10,
-                 valid_size: float = 0.2) -> DataFrame:
+                 valid_size: float = 0.2, shuffle: bool = True) -> DataFrame:
     """Stratified k-fold, or a stratified holdout when ``n_splits <= 1`` (valid rows: fold 0)."""
-    labelled = stratify_labels(df, target, id_col, bins)
+    return split_labelled(stratify_labels(df, target, id_col, bins), id_col, n_splits, seed, valid_size, shuffle)
+
+
+def split_labelled(labelled: DataFrame, id_col: str, n_splits: int, seed: int, valid_size: float = 0.2,
+                   shuffle: bool = True) -> DataFrame:
+    """``assign_folds`` on rows that have their label; a holdout is always drawn in seeded order."""
     if n_splits <= 1:
         return stratified_holdout(labelled, id_col, valid_size, seed)
-    return stratified_kfold(labelled, id_col, n_splits, seed)
+    return stratified_kfold(labelled, id_col, n_splits, seed, shuffle=shuffle)
 
 
 def fold_ids(n_splits: int) -> list[int]:

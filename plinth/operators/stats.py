@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from plinth.functions.exprs import c, nan_to_null
 from plinth.operators.quantile import COLUMN, PROB, VALUE, quantile_dict
+from plinth.session import ship_package
 
 GROUP = "__group"
+SALT = 256                       # reducers a group's moment blocks are spread over before the last sum
 
 
 def _grouped(df: DataFrame, group: str | None) -> tuple[DataFrame, list]:
@@ -154,6 +156,22 @@ def _moment_blocks(batches, cols: list[str], shifts: dict):
         yield pd.DataFrame({GROUP: list(acc), "m": [v.ravel() for v in acc.values()]})
 
 
+def _summed_blocks(vals: DataFrame, names: list[str], shifts: dict) -> dict:
+    """{group: array (4, p, p)}: the tasks' blocks summed in two levels, by (group, task mod SALT) and
+    then by group, so that no reducer takes the blocks of all tasks."""
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    ship_package(vals.sparkSession)
+    p = len(names)
+    parts = (vals.mapInPandas(lambda it: _moment_blocks(it, names, shifts), f"{GROUP} long, m array<double>")
+             .select(GROUP, (F.spark_partition_id() % SALT).alias("__salt"), array_to_vector("m").alias("m")))
+    for level in ([GROUP, "__salt"], [GROUP]):
+        parts = parts.groupBy(*level).agg(Summarizer.sum(F.col("m")).alias("m"))
+    return {r[GROUP]: np.asarray(r["m"].toArray()).reshape(4, p, p) for r in parts.collect()}
+
+
 def pair_correlations(df: DataFrame, cols: list[str], group: str | None = None) -> dict:
     """{g: {(a, b): |pearson|}} for a before b in ``cols``, pairwise-complete rows.
 
@@ -164,8 +182,6 @@ def pair_correlations(df: DataFrame, cols: list[str], group: str | None = None)
     gives NULL (pandas gives NaN), never an error.
     """
     import numpy as np
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
 
     gdf, keys = _grouped(df, group)
     p = len(cols)
@@ -174,13 +190,9 @@ def pair_correlations(df: DataFrame, cols: list[str], group: str | None = None)
     names = [f"v{i}" for i in range(p)]
     mean_rows = vals.groupBy(GROUP).agg(*[F.avg(n).alias(n) for n in names]).collect()
     shifts = {r[GROUP]: np.array([0.0 if r[n] is None else r[n] for n in names]) for r in mean_rows}
-    parts = vals.mapInPandas(lambda it: _moment_blocks(it, names, shifts), f"{GROUP} long, m array<double>")
-    summed = (parts.select(GROUP, array_to_vector("m").alias("m")).groupBy(GROUP)
-              .agg(Summarizer.sum(F.col("m")).alias("s")).collect())
     out: dict = {}
-    for r in summed:
-        n, s, q, pp = np.asarray(r["s"].toArray()).reshape(4, p, p)
-        g = _key(group, r[GROUP])
+    for key, (n, s, q, pp) in _summed_blocks(vals, names, shifts).items():
+        g = _key(group, key)
         res = {}
         for i in range(p):
             for j in range(i + 1, p):
@@ -279,20 +291,14 @@ def fold_moments(df: DataFrame, cols: list[str], fold_col: str, folds: list, fil
 def fold_pair_correlations(df: DataFrame, cols: list[str], fold_col: str, folds: list) -> dict:
     """{f: {(a, b): |pearson|}} on fold f's training rows: blocks per fold, total minus own fold."""
     import numpy as np
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
 
-    p = len(cols)
-    names = [f"v{i}" for i in range(p)]
+    names = [f"v{i}" for i in range(len(cols))]
     vals = df.select(F.col(fold_col).cast("long").alias(GROUP),
                      *[nan_to_null(c(x).cast("double")).alias(f"v{i}") for i, x in enumerate(cols)])
     mean_row = vals.agg(*[F.avg(n).alias(n) for n in names]).first()
     shift = np.array([0.0 if mean_row[n] is None else mean_row[n] for n in names])
     shifts = _ShiftAll(shift)
-    parts = vals.mapInPandas(lambda it: _moment_blocks(it, names, shifts), f"{GROUP} long, m array<double>")
-    summed = {r[GROUP]: np.asarray(r["s"].toArray()).reshape(4, p, p) for r in
-              parts.select(GROUP, array_to_vector("m").alias("m")).groupBy(GROUP)
-              .agg(Summarizer.sum(F.col("m")).alias("s")).collect()}
+    summed = _summed_blocks(vals, names, shifts)
     total = sum(summed.values())
     return {f: _corr_from_blocks(total - summed.get(f, 0), cols) for f in folds}
 

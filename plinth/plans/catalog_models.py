@@ -11,6 +11,7 @@ Trees, forests, boosting and the recipes are checked in small closed forms
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline
@@ -170,21 +171,23 @@ def run_members(spark, sf, members=MEMBERS, splits=(5,), primary=5, refit=False)
     train, test = _tt(spark, sf)
     spec = _spec(splits, primary)
     folds = make_folds(train, spec)
-    oofs, tests, results = [], [], []
-    for model, x, params in members:
+
+    def member(job):
+        model, x, params = job
         cv = CrossValidation(spark, train.select(ID, TARGET, x), spec, test.select(ID, x) if refit else None, folds=folds)
         exp = Experiment(model, params)
         res, oof, _ = cv.evaluate([exp])
         if cv.log.errors:
             raise RuntimeError(str(cv.log.errors))
-        if refit:
-            tests.append(cv.fit_full(exp)[1])
-        cv.release()
-        oofs.append(oof)
-        results += res
-        truth = cv.truth()
+        full = cv.fit_full(exp)[1] if refit else None
+        return oof, full, res, cv
+
+    with ThreadPoolExecutor(max_workers=len(members)) as pool:       # independent distributed jobs
+        oofs, tests, results, cvs = zip(*pool.map(member, members), strict=True)
     tp = written_table(reduce(DataFrame.unionByName, tests), "member_test") if refit else None
-    return reduce(DataFrame.unionByName, oofs), tp, truth, results
+    for cv in cvs:
+        cv.release()
+    return reduce(DataFrame.unionByName, oofs), tp, cvs[0].truth(), [r for res in results for r in res]
 
 
 _SLOPES = {

@@ -31,12 +31,13 @@ from plinth.functions.hashing import experiment_name
 from plinth.functions.metrics import rmse
 from plinth.functions.target import transform_target
 from plinth.operators.features import add_features
-from plinth.operators.split import FOLD, TRAIN_FOLD, assign_folds, fold_ids, fold_train, fold_valid, training_rows
+from plinth.operators.split import (FOLD, LABEL, TRAIN_FOLD, fold_ids, fold_train, fold_valid, split_labelled,
+                                    stratify_labels, training_rows)
 from plinth.operators.stats import fold_moments, moments
 from plinth.plans.models import FitContext, build_estimator, family, native_categories, needs_scaling
 from plinth.plans.recipe import (FEATURES, add_scaler, add_scaler_folds, fit_recipe, fit_recipe_folds,
                                  recipe_stages)
-from plinth.session import reliable_checkpoint, work_path, written_table
+from plinth.session import work_path, written_table
 from plinth.spec import Spec
 
 LABEL_COL, PRED = "label", "prediction"
@@ -97,13 +98,13 @@ def training_partitions(spark: SparkSession, df: DataFrame) -> int:
 
 
 def make_folds(train: DataFrame, spec: Spec) -> DataFrame:
-    """(id, fold_k for every compared fold count), checkpointed."""
+    """(id, fold_k for every compared fold count), written once."""
     d, v = spec.data, spec.validation
-    out = train.select(d.id_col, d.target_col)
-    for k in v.compare_n_splits:
-        out = assign_folds(out, d.target_col, d.id_col, k, spec.seed, v.stratify_bins,
-                           v.single_split_valid_size).withColumnRenamed(FOLD, fold_col(k)).drop("stratum")
-    return reliable_checkpoint(out.drop(d.target_col))
+    out = stratify_labels(train.select(d.id_col, d.target_col), d.target_col, d.id_col, v.stratify_bins)
+    for k in v.compare_n_splits:                  # the labels don't depend on the fold count
+        out = split_labelled(out, d.id_col, k, spec.seed, v.single_split_valid_size,
+                             v.shuffle).withColumnRenamed(FOLD, fold_col(k))
+    return written_table(out.drop(LABEL, d.target_col), "folds")
 
 
 def check_key(df: DataFrame, id_col: str) -> None:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -82,6 +83,24 @@ def written_table(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, so that worker functions import there
+    wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_plinth_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="plinth-ship-"), "plinth-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._plinth_shipped = True
+
+
 def reliable_checkpoint(df):
     """``df.checkpoint(eager=True)`` into the shared folder (resolved first, so a session
     created elsewhere works too).  Never ``localCheckpoint``: executor-local blocks

@@ -59,6 +59,52 @@ def test_ids_must_be_unique(spark):
             check_key(spark.createDataFrame(rows, "id long"), "id")
 
 
+def _toy(spark, id_type: str):
+    rows = [(i, float(i % 5), None if i % 4 == 0 else "ab"[i % 2], 10.0 + 3 * (i % 5) + (i % 4 == 0)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, v double, s string, y double")
+    return df.withColumn("id", F.concat(F.lit("k"), F.col("id")) if id_type == "string" else F.col("id"))
+
+
+def _toy_spec(**data):
+    base = fixture_spec()
+    return replace(base, data=replace(base.data, target_col="y", id_col="id", **data),
+                   features=replace(base.features, enabled=False), models=(ModelSpec("ridge", True, ((("alpha", 1.0),),)),))
+
+
+@pytest.mark.parametrize("id_type,as_feature", [("string", False), ("long", True)])
+def test_row_key_keeps_type_and_values(spark, id_type, as_feature):
+    df = _toy(spark, id_type)
+    spec = _toy_spec(id_as_feature=as_feature)
+    cv = CrossValidation(spark, df, spec, df.drop("y"))
+    assert ("id" in cv.features) == as_feature
+    _, oof, _ = cv.evaluate(iter_experiments(spec))
+    _, preds = cv.fit_full(iter_experiments(spec)[0])
+    want = sorted(r[0] for r in df.select("id").collect())
+    for found in (oof, preds):
+        assert dict(found.dtypes)["id"] == {"long": "bigint"}.get(id_type, id_type)
+        assert sorted(r["id"] for r in found.select("id").collect()) == want
+
+
+def test_native_categories_are_chosen_by_model(spark):
+    """One run holds a one-hot and a native-category model; the latter's gaps are a category."""
+    df = _toy(spark, "long")
+    spec = replace(_toy_spec(), models=(ModelSpec("ridge", True, ((("alpha", 1.0),),)),
+                                        ModelSpec("catboost", True, ((("depth", 1), ("iterations", 1)),))))
+    cv = CrossValidation(spark, df, spec)
+    results, oof, _ = cv.evaluate(iter_experiments(spec))
+    assert len(results) == 2 and oof.count() == 80 and not cv.log.errors
+    native, onehot = cv.recipes(5, False, False)[0], cv.recipes(5, False, True)[0]
+    assert native.cats["s"] == ["Missing", "a", "b"] and native.cat_fill["s"] == "Missing" and not native.encode
+    assert onehot.cats["s"] == ["a", "b"] and onehot.encode
+    assert cv.recipes(None, False, False)[None].cats["s"] == ["Missing", "a", "b"]
+
+
+def test_base_scan_is_pruned_and_filtered(spark):
+    cv = CrossValidation(spark, _toy(spark, "long"), _toy_spec())
+    plan = cv.base.select("id", "v").filter("v > 2")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(v), GreaterThan(v,2.0)]" in plan and "ReadSchema: struct<id:bigint,v:double>" in plan
+
+
 def test_tree_parameters():
     from plinth.plans.models import build_estimator, dropped_params
     ctx = FitContext(10, 1.0)

@@ -39,3 +39,13 @@ def test_kfold_sizes(spark):
 def test_holdout_quotas_largest_remainder():
     q = holdout_quotas({0: 10, 1: 10, 2: 11}, 0.2)
     assert sum(q.values()) == 7 and max(q.values()) - min(q.values()) <= 1
+
+
+def test_folds_without_shuffle(spark):
+    df = spark.range(13).repartition(5)
+    got = {r["id"]: r["fold"] for r in kfold(df, "id", 5, 42, shuffle=False).collect()}
+    assert [got[i] for i in range(13)] == [0, 0, 0, 1, 1, 1, 2, 2, 2, 3, 3, 4, 4]
+    dealt = assign_folds(_frame(spark), "y", "id", 5, 42, shuffle=False).toPandas()
+    for _, part in dealt.sort_values("id").groupby("stratum"):
+        steps = part["fold"].diff().dropna() % 5
+        assert (steps == 1).all()
