@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.llm import bpe, chat, decontam, langid, mlm, quality, simhash, substring, toxicity, warc
-from plinth.llm.common import table
+from plinth.llm.common import table, written
 
 
 def ranks_path() -> str:
@@ -67,7 +67,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return mlm.score(docs, mlm.fit(docs)).drop("text")
+    counts = written(mlm.count_words(docs), "words")
+    return mlm.score_words(docs, mlm.fit(docs, counts=counts), counts)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

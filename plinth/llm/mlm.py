@@ -3,12 +3,15 @@
 A window network predicts each word from the WINDOW words on either side of it: the positions'
 embeddings are summed, squashed, and fed to a two-level softmax (a class of words, then the word in
 it), so a probability costs two short rows instead of one over the vocabulary.  A text's score is the
-sum of the log-probabilities of all its words, rare ones as one symbol.
+sum of the log-probabilities of all its words.
 
-The vocabulary is the most frequent words of the whole corpus, by hash.  Training goes over all
-texts: every task starts from the same weights, takes stochastic gradient steps (in numpy) on
+The network's symbols are the most frequent words of the whole corpus, by hash, and one for all
+others.  Which of the others a word is, has its probability from the table of all word counts, which
+grows with the corpus and is joined by word hash (never collected): (n + distinct * spelling) /
+(occurrences + distinct), so an unseen word (n = 0) gets the probability of its spelling, from counts
+of pairs of bytes in such words.  Training goes over all texts: every task starts from the same weights, takes stochastic gradient steps (in numpy) on
 one word in MASK of its texts, chosen by a hash, and gives its weights; their mean, weighted by
-words and summed in two levels of shuffles, is the model.  Its size is fixed by the parameters.
+words and summed in two levels of shuffles, is the network.
 
 Defined results: a null or blank text has no words and log-probability 0 (mean null); repeated
 rows get equal scores; an empty table gives an empty result.
@@ -24,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.common import Words, append, chunks, mix, raw_texts, ship
+from plinth.llm.common import SPACED, Words, append, chunks, mix, raw_texts, ship, written
 
 WINDOW, DIM, CLASSES, PER_CLASS, MASK = 2, 24, 32, 64, 7
 VOCABULARY = CLASSES * PER_CLASS
 #: Symbols: 0 a rare word, then words by rank; the last one stands beyond a text's ends.
 RARE, EDGE = 0, VOCABULARY - 1
 _BATCH, _FLUSH, _BLOCK, _SPREAD = 8192, 1 << 20, 1 << 14, 16
+#: Log-probabilities are summed as integers of this many parts, so the order of rows has no effect.
+_PARTS = 1 << 24
 _SHAPES = {"embed": (2 * WINDOW, VOCABULARY, DIM), "out": (DIM, CLASSES), "out_bias": (CLASSES,),
            "word": (CLASSES, DIM, PER_CLASS), "word_bias": (CLASSES, PER_CLASS)}
 
@@ -62,8 +67,9 @@ def count_words(df: DataFrame, text: str = "text") -> DataFrame:
 class Net:
     """The network's weights, its scores and its training steps."""
 
-    def __init__(self, words: np.ndarray, weights: dict[str, np.ndarray] | None = None):
+    def __init__(self, words: np.ndarray, weights: dict[str, np.ndarray] | None = None, pairs: np.ndarray | None = None):
         self.words = words                                         # hashes by rank
+        self.pairs = np.zeros((256, 256)) if pairs is None else pairs   # bytes of rare words; 32 for their ends
         order = np.argsort(words)
         self.known, self.symbol = words[order], order + 1
         if weights is None:
@@ -116,6 +122,22 @@ class Net:
             total.append(words.sums(logs))
         return (np.concatenate(counts), np.concatenate(total)) if counts else (np.zeros(0, np.int64), np.zeros(0))
 
+    def rare(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text its distinct rare words (hashes), their occurrences and log-probabilities of spelling."""
+        spell = np.log((self.pairs + 1 / 256) / (self.pairs.sum(1, keepdims=True) + 1)).ravel()
+        spell = np.round(spell * _PARTS).astype(np.int64)
+        out = []
+        for _, some in chunks(texts):
+            words = Words(some)
+            at = np.flatnonzero(self.symbols(words.hash) == RARE)
+            total = np.concatenate([[0], np.cumsum(spell[_pairs(words)])])
+            logs = (total[words.end[at] + 1] - total[words.start[at]]) / _PARTS
+            edges = np.searchsorted(at, np.append(words.first, len(words)))
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                key, first, times = np.unique(words.hash[at[a:b]], return_index=True, return_counts=True)
+                out.append((key.view(np.int64), times, logs[a:b][first]))
+        return out
+
     def step(self, around: np.ndarray, target: np.ndarray, pace: dict[str, np.ndarray], rate: float = 0.1) -> None:
         """One Adagrad step on the mean loss of a batch."""
         n, h = len(target), self.hidden(around)
@@ -153,6 +175,11 @@ class Net:
                 if not len(words):
                     continue
                 symbols, at = self.symbols(words.hash), np.arange(len(words))
+                inside = np.zeros(len(words.data) + 2, np.int64)
+                np.add.at(inside, words.start[symbols == RARE], 1)
+                np.add.at(inside, words.end[symbols == RARE] + 1, -1)
+                spelt = _pairs(words)[np.cumsum(inside)[:-1] > 0]
+                self.pairs += np.bincount(spelt, minlength=1 << 16).reshape(256, 256)
                 offset = (at - words.first[words.text]).astype(np.uint64)
                 at = at[mix(words.hash ^ (offset << np.uint64(40))) % np.uint64(MASK) == 0]
                 kept.append((self.contexts(words, symbols, at), symbols[at]))
@@ -173,13 +200,20 @@ class Net:
         return np.concatenate([self.w[k].ravel() for k in _SHAPES])
 
     @classmethod
-    def of(cls, words: np.ndarray, flat: np.ndarray) -> Net:
+    def of(cls, words: np.ndarray, flat: np.ndarray, pairs: np.ndarray) -> Net:
         weights, at = {}, 0
         for k, shape in _SHAPES.items():
             size = int(np.prod(shape))
             weights[k] = flat[at:at + size].reshape(shape).astype(np.float32)
             at += size
-        return cls(words, weights)
+        return cls(words, weights, pairs)
+
+
+def _pairs(words: Words) -> np.ndarray:
+    """For each byte of the data, and for the end, 256 * (the byte before it) + itself; white space is 32."""
+    data = np.full(len(words.data) + 2, 32, np.int64)
+    data[1:-1] = np.where(SPACED[words.data], words.data, 32)
+    return data[:-1] * 256 + data[1:]
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
@@ -215,9 +249,11 @@ def _block(block: int, part: int, n: int, values: np.ndarray) -> pa.RecordBatch:
                                        pa.array([values.tobytes()], pa.binary())], names=["block", "part", "n", "sums"])
 
 
-def fit(df: DataFrame, text: str = "text") -> Net:
+def fit(df: DataFrame, text: str = "text", counts: DataFrame | None = None) -> Net:
+    """The network; ``counts`` is the table of ``count_words``, if it is there already."""
     spark = df.sparkSession
-    top = count_words(df, text).orderBy(F.desc("n"), "word").limit(VOCABULARY - 2).collect()
+    counts = count_words(df, text) if counts is None else counts
+    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 2).collect()
     words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     shared = spark.sparkContext.broadcast(words)
 
@@ -226,7 +262,7 @@ def fit(df: DataFrame, text: str = "text") -> Net:
         net = Net(shared.value)
         seen = net.train(raw_texts(b, text) for b in batches)
         if seen:
-            flat = net.flat().astype(np.float64) * seen
+            flat = np.concatenate([net.flat().astype(np.float64) * seen, net.pairs.ravel()])
             for k in range(0, len(flat), _BLOCK):
                 yield _block(k // _BLOCK, TaskContext.get().partitionId() % _SPREAD, seen, flat[k:k + _BLOCK])
 
@@ -237,11 +273,13 @@ def fit(df: DataFrame, text: str = "text") -> Net:
     blocks = sorted((r["block"], r["n"], r["sums"]) for r in summed.collect())
     if not blocks:
         return Net(words)
-    return Net.of(words, np.concatenate([np.frombuffer(s, np.float64) / n for _, n, s in blocks]))
+    flat, size = np.concatenate([np.frombuffer(s, np.float64) for _, _, s in blocks]), 1 << 16
+    return Net.of(words, flat[:-size] / blocks[0][1], flat[-size:].reshape(256, 256))
 
 
 def score(df: DataFrame, net: Net, text: str = "text") -> DataFrame:
-    """``df`` with n_words, log_likelihood and mean_log (for each word; null without words)."""
+    """``df`` with n_words, log_likelihood and mean_log (for each word; null without words), by the
+    network alone: a rare word counts as the symbol of all of them."""
     shared = df.sparkSession.sparkContext.broadcast((net.words, net.w))
 
     def columns(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -250,3 +288,38 @@ def score(df: DataFrame, net: Net, text: str = "text") -> DataFrame:
         return [pa.array(n, pa.int64()), pa.array(total), pa.array(mean, mask=n == 0)]
 
     return append(df, [("n_words", T.LongType()), ("log_likelihood", T.DoubleType()), ("mean_log", T.DoubleType())], columns)
+
+
+def score_words(df: DataFrame, net: Net, counts: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` without ``text``, with the columns of ``score`` where each rare word has its own probability.
+
+    Only (row, word) pairs of rare words are shuffled, to the word's count and back to the row.
+    """
+    known = counts.filter(~F.col("word").isin(net.words.view(np.int64).tolist())) if len(net.words) else counts
+    tail = known.agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    kinds, total = max(tail["kinds"], 1), tail["n"]
+    shared = df.sparkSession.sparkContext.broadcast((net.words, net.w, net.pairs))
+    pair = T.StructType([T.StructField("word", T.LongType()), T.StructField("times", T.IntegerType()), T.StructField("spelling", T.DoubleType())])
+
+    def columns(batch: pa.RecordBatch) -> list[pa.Array]:
+        model, texts = Net(*shared.value), raw_texts(batch, text)
+        n, logs = model.score(texts)
+        found = model.rare(texts)
+        edges = np.cumsum([0] + [len(f[0]) for f in found])
+        flat = [np.concatenate([f[k] for f in found]) if found else np.zeros(0) for k in range(3)]
+        pairs = pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip(flat, (pa.int64(), pa.int32(), pa.float64()), strict=True)],
+                                           names=["word", "times", "spelling"])
+        return [pa.array(n, pa.int64()), pa.array(logs), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pairs)]
+
+    own = {"n_words", "log_likelihood", "mean_log", "__row", "__rare"}
+    rows = df.select(*[f"`{c}`" for c in df.columns if c.lower() not in own], F.monotonically_increasing_id().alias("__row"))
+    rows = written(append(rows, [("n_words", T.LongType()), ("log_likelihood", T.DoubleType()), ("__rare", T.ArrayType(pair))], columns, leave=[text]), "rare")
+    found = rows.select("__row", F.inline("__rare")).join(counts, "word", "left")
+    log = F.log((F.coalesce(F.col("n"), F.lit(0)) + kinds * F.exp("spelling")) / (total + kinds))
+    # a spelling so unlikely that its probability is 0 as a double
+    log = F.when(F.col("n").isNull(), F.col("spelling") + F.lit(float(np.log(kinds / (total + kinds))))).otherwise(log)
+    sums = found.groupBy("__row").agg(F.sum(F.round(log * _PARTS).cast("long") * F.col("times")).alias("__log"))
+    both = rows.drop("__rare").join(sums, "__row", "left")
+    both = both.withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce(F.col("__log"), F.lit(0)) / _PARTS)
+    mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
+    return both.drop("__row", "__log").withColumn("mean_log", mean)
