@@ -10,7 +10,9 @@
 4. A linear classifier is trained by gradient descent on the posteriors, and scores every text.
 
 The driver holds the lexicon (ENTRIES at most), one row for each vote pattern (at most
-2 ** LEXICON_VOTERS * 3 ** PATTERN_VOTERS) and a training sample of at most TRAIN rows.
+2 ** LEXICON_VOTERS * 3 ** PATTERN_VOTERS) and a training sample of at most about 2 * TRAIN rows:
+the TRAIN heaviest groups of rows with equal votes and counts, and of the others, by hash, about
+TRAIN that stand for all of them by weight.
 
 Defined results: a null or empty text has no hit and gets the score of such texts; repeated rows
 get equal results; without labelled rows the lexicon is empty and all texts score alike; an empty
@@ -24,13 +26,13 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plinth.llm.common import append, raw_texts, written
 
-#: Bounds: lexicon entries, labelled rows of each class for the lexicon, rows for the classifier.
+#: Bounds: lexicon entries, labelled rows of each class for the lexicon, half the rows for the classifier.
 ENTRIES, SAMPLE, TRAIN = 96, 3000, 20000
 LEXICON_VOTERS, PATTERN_VOTERS = 6, 4
 #: Lengths of word beginnings; hits per 100 words from which a lone hit makes its voter vote.
@@ -202,6 +204,30 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(inputs(counts, votes) @ self.weights + self.bias, -50, 50)))
 
 
+def training_groups(groups: DataFrame, rows: int = TRAIN) -> list[Row]:
+    """(votes, counts, weight): the ``rows`` groups of largest n as they are, and about as many of the
+    others by a hash, whose weights are scaled to the sum of n of all the others."""
+    spread = F.xxhash64("votes", "counts")
+    keyed = groups.select("votes", "counts", "n", spread.alias("spread"))
+    sizes = keyed.groupBy("n").agg(F.count("*").alias("groups")).orderBy(F.desc("n")).limit(rows + 1).collect()
+    # all groups of a size above `least` are heavy; those of that size too, where there is place
+    taken, least = 0, 0
+    for r in sizes:
+        if taken + r["groups"] > rows:
+            least = r["n"]
+            break
+        taken += r["groups"]
+    heavy = keyed.filter(F.col("n") > least).collect()
+    tail = keyed.filter(F.col("n") <= least)
+    total = tail.agg(F.count("*").alias("groups"), F.sum("n").alias("n")).first()
+    if not total["groups"]:
+        return [Row(votes=r["votes"], counts=r["counts"], weight=float(r["n"])) for r in heavy]
+    place = F.pmod("spread", F.lit(1_000_000))
+    light = tail.filter(place < int(1_000_000 * min(1.0, rows / total["groups"])) + 1).collect()
+    scale = total["n"] / max(sum(r["n"] for r in light), 1)
+    return [Row(votes=r["votes"], counts=r["counts"], weight=r["n"] * f) for some, f in ((heavy, 1.0), (light, scale)) for r in some]
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """Lexicon from the labelled rows; label model and classifier from the votes on all rows."""
     spark = docs.sparkSession
@@ -216,15 +242,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     groups = written(voted.groupBy("votes", "counts").agg(F.count("*").alias("n")), "votes")
     pattern = {tuple(r["votes"]): r["n"] for r in groups.groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()}
     posterior = label_model(pattern)
-    kinds = groups.count()
-    share = min(1.0, TRAIN / max(kinds, 1))
-    place = F.pmod(F.xxhash64("counts"), F.lit(1_000_000))
-    few = groups.filter((place < int(1_000_000 * share)) | (F.size(F.array_distinct("votes")) == 1)).limit(2 * TRAIN).collect()
+    few = training_groups(groups)
     few = sorted(few, key=lambda r: (r["votes"], r["counts"]))
     votes = np.array([r["votes"] for r in few]).reshape(len(few), LEXICON_VOTERS + PATTERN_VOTERS)
     x = inputs(np.array([r["counts"] for r in few], float).reshape(len(few), len(entries)), votes)
     y = np.array([posterior[tuple(r["votes"])] for r in few])
-    return Model(Lexicon(entries), *train(x, y, np.array([r["n"] for r in few], float)))
+    return Model(Lexicon(entries), *train(x, y, np.array([r["weight"] for r in few], float)))
 
 
 def score(df: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
