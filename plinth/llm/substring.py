@@ -1,8 +1,9 @@
 """Substring dedup over sliding runs of sentences.
 
 A text is cut into sentences at sentence marks and line ends; a sentence of more than
-``LONG`` words is cut further at commas, colons and semicolons, and then every ``LONG`` words.  At
-each sentence starts one run: the shortest one of at least two sentences and ``MIN_WORDS`` words.
+``LONG`` words is cut further at commas, colons and semicolons, and then after the word of smallest
+hash in any ``LONG`` words in a row (the last of equal ones), so that the same words are cut alike
+whatever stands before them and no piece has more than ``LONG`` words.  At each sentence starts one run: the shortest one of at least two sentences and ``MIN_WORDS`` words.
 Runs are compared by a 64-bit hash of their lower-cased words.  A run is a repeat if the same run
 occurs earlier: in a row of smaller id, or earlier in the same text.  Sentences that any repeat
 covers are removed; the first occurrence stays.
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.common import Words, append, chunks, raw_texts, run_hashes
+from plinth.llm.common import Words, append, chunks, mix, raw_texts, run_hashes
 
 LONG, MIN_WORDS = 12, 15
 #: Rows of null id are ordered after the others, by a hash of their text.
@@ -38,6 +39,19 @@ def _starts(flag_after: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(flag_after[:-1]) + 1]) if n else np.zeros(0, np.int64)
 
 
+def _low_words(hashes: np.ndarray, wide: np.ndarray, piece: np.ndarray, long: int) -> np.ndarray:
+    """Whether a word has the smallest hash (the last of equal ones) of some ``long`` words in a row
+    of its piece, where the piece is ``wide``."""
+    out = np.zeros(len(hashes), bool)
+    if wide.any():
+        at = np.flatnonzero(wide[:len(wide) - long + 1] & (piece[:len(piece) - long + 1] == piece[long - 1:]))
+        rows = np.lib.stride_tricks.sliding_window_view(mix(hashes), long)[:, ::-1]
+        for a in range(0, len(at), 1 << 16):
+            some = at[a:a + (1 << 16)]
+            out[some + long - 1 - rows[some].argmin(1)] = True
+    return out
+
+
 class Sentences:
     """The sentences of several texts as ranges of words, and the runs that start at them."""
 
@@ -55,8 +69,7 @@ class Sentences:
             size = np.diff(np.append(first, n))
             wide = np.repeat(size > long, size)
             if pause is None:
-                place = np.arange(n) - np.repeat(first, size)
-                pause = place % long == long - 1
+                pause = _low_words(w.hash, wide, np.repeat(np.arange(len(first)), size), long)
             stop = stop | (wide & pause)
         self.first = _starts(stop, n)                            # a sentence's first word
         self.stop = np.append(self.first[1:], n)
