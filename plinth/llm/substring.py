@@ -53,7 +53,7 @@ def _low_words(hashes: np.ndarray, wide: np.ndarray, piece: np.ndarray, long: in
 
 
 class Sentences:
-    """The sentences of several texts as ranges of words, and the runs that start at them."""
+    """The sentences of several texts as ranges of words, and the runs that start or end at them."""
 
     def __init__(self, texts: list[bytes], long: int = LONG, min_words: int = MIN_WORDS):
         self.words = w = Words(texts)
@@ -79,9 +79,12 @@ class Sentences:
         at = np.arange(m)
         # the run from sentence i ends with sentence `to[i]`
         to = np.maximum(np.searchsorted(self.stop, self.first + min_words), at + 1)
-        ok = to < m
-        ok[ok] = self.text[to[ok]] == self.text[ok]
-        self.run, self.run_to = at[ok], to[ok]
+        # and the one that ends with sentence i starts with sentence `since[i]`
+        since = np.minimum(np.searchsorted(self.first, self.stop - min_words, "right") - 1, at - 1)
+        both = np.unique(np.concatenate([at * m + to, since * m + at])[np.concatenate([to < m, since >= 0])])
+        start, to = both // max(m, 1), both % max(m, 1)
+        ok = self.text[start] == self.text[to]
+        self.run, self.run_to = start[ok], to[ok]
         self.hash = run_hashes(w.hash, self.first[self.run], self.stop[self.run_to]).view(np.int64)
         self.run_text = self.text[self.run]
 
