@@ -7,11 +7,12 @@ more than a chunk of an oversized payload.  Of records with equal payloads of at
 ``MIN_REVISIT`` bytes only the one of largest id is written in full; the others are ``revisit``
 records that name it.
 
-Archives are written and read by Spark's text source, with the line separator at record level:
-every record of a run starts with the same two header lines, the second of which holds a fresh
-random identifier, so the text between two records can't occur in a payload.
+Archives are written by Spark's text source, one value for each record from its version line to its
+payload, with the two line ends after a record as the separator; so every part file is a whole archive.
 
-Reading: a record's payload is checked against its Content-Length.  The digest of a record in one
+Reading: the lines of each file (gzip, so a task has whole files, in order) are joined again and cut
+into records by Content-Length, whatever the payloads hold; a worker holds one Arrow batch of lines
+and one record at a time.  The digest of a record in one
 chunk is taken in place; chunks of segmented records are dealt by record and sorted by number, and
 a running SHA-1 goes through them, so the payload is never joined.
 
@@ -23,18 +24,20 @@ id (then all of them are); an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import uuid
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm.common import ship
+from plinth.llm.common import bound_batches, ship
 from plinth.session import work_path
 
 CHUNK, MIN_REVISIT, SALTS = 1 << 16, 1000, 16
 _DATE = "2020-01-01T00:00:00Z"
+_VERSION, _END = "WARC/1.1", "\r\n\r\n"
+_SIZE = re.compile(rb"\r\nContent-Length:[ \t]*(\d+)[ \t]*\r\n", re.IGNORECASE)
 
 
 def _urn(key: Column) -> Column:
@@ -72,12 +75,8 @@ def chunk_table(records: DataFrame, chunk: int = CHUNK) -> DataFrame:
                         .otherwise(F.substr("body", (F.col("chunk_no") - 1) * chunk + 1, F.lit(chunk)))).drop("body"))
 
 
-def _head(run: str) -> str:
-    return f"WARC/1.1\r\nWARC-Warcinfo-ID: <urn:uuid:{run}>\r\n"
-
-
-def write(records: DataFrame, path: str, run: str, chunk: int = CHUNK) -> None:
-    """The archives of planned records, as text files whose records end in an empty line."""
+def write(records: DataFrame, path: str, chunk: int = CHUNK) -> None:
+    """The archives of planned records, one in each part file."""
     rows = chunk_table(records, chunk)
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n"))
     when = lambda cond, value: F.when(cond, value).otherwise("")
@@ -96,25 +95,53 @@ def write(records: DataFrame, path: str, run: str, chunk: int = CHUNK) -> None:
         when(segmented, F.concat(line("WARC-Segment-Number", F.col("chunk_no")), line("WARC-Segment-Total-Length", F.col("bytes")),
                                  line("WARC-Segment-Count", F.col("n_chunks")))),
         line("Content-Type", F.lit("text/html; charset=utf-8")), line("Content-Length", F.octet_length("chunk")))
-    # the writer adds the separator: the end of this record and the two first lines of the next
-    value = F.concat(header, F.lit("\r\n"), F.col("chunk"))
-    rows.select(value.alias("value")).write.option("lineSep", f"\r\n\r\n{_head(run)}").option("compression", "gzip").text(path)
-
-
-def read(spark: SparkSession, path: str, run: str) -> DataFrame:
+    value = F.concat(F.lit(f"{_VERSION}\r\n"), header, F.lit("\r\n"), F.col("chunk"))
+    # the writer adds the separator after each value, the last one, too
+    rows.select(value.alias("value")).write.option("lineSep", _END).option("compression", "gzip").text(path)
+
+
+def cut_records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(head, payload) of each record of archives given as their lines, without line ends, in order."""
+    kept, need = bytearray(), 0
+    for batch in batches:
+        kept += b"".join(x + b"\n" for x in batch.column(0).to_pylist())
+        heads, bodies, at = [], [], 0
+        while len(kept) >= at + need:
+            cut = kept.find(b"\r\n\r\n", at)
+            if cut < 0:
+                break
+            head = bytes(kept[at:cut + 2])
+            size = _SIZE.search(head)
+            if not head.startswith(b"WARC/") or size is None:
+                raise ValueError("no record starts where the one before has its end by Content-Length")
+            stop = cut + 4 + int(size[1])
+            need = stop + 4 - at                           # not looked at again before it is all there
+            if len(kept) < stop + 4:
+                break
+            if kept[stop:stop + 4] != b"\r\n\r\n":
+                raise ValueError("a record differs from its Content-Length")
+            heads.append(head)
+            bodies.append(bytes(kept[cut + 4:stop]))
+            at, need = stop + 4, 0
+        del kept[:at]
+        yield pa.RecordBatch.from_arrays([pa.array(heads, pa.binary()).cast(pa.string()), pa.array(bodies, pa.binary())], names=["head", "chunk"])
+    if kept:
+        raise ValueError("an archive ends inside a record")
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
     """The chunk table of archives: page_id, kind, refers_to, chunk_no, n_chunks, bytes, digest, chunk."""
-    lines = spark.read.option("lineSep", f"\r\n\r\n{_head(run)}").text(path)
-    cut = F.instr("value", "\r\n\r\n")
-    parts = lines.select(F.substr("value", F.lit(1), cut + 1).alias("head"), F.substr("value", cut + 4).alias("chunk"))
+    ship(spark)
+    bound_batches(spark)
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("value").cast("binary").alias("value"))
+    parts = lines.mapInArrow(cut_records, "head string, chunk binary")
     field = lambda name, kind="string": F.nullif(F.regexp_extract("head", rf"(?:^|\n){name}: ([^\r]*)\r", 1), F.lit("")).cast(kind)
-    found = parts.select(
+    return parts.select(
         field("WARC-Page-ID", "long").alias("page_id"), field("WARC-Type").alias("kind"), field("WARC-Refers-To", "long").alias("refers_to"),
         F.coalesce(field("WARC-Segment-Number", "int"), F.lit(1)).alias("chunk_no"),
         F.coalesce(field("WARC-Segment-Count", "int"), F.lit(1)).alias("n_chunks"),
         F.coalesce(field("WARC-Payload-Length", "long"), field("WARC-Segment-Total-Length", "long"), field("Content-Length", "long")).alias("bytes"),
-        F.substr(field("WARC-Payload-Digest"), F.lit(6)).alias("digest"), field("Content-Length", "long").alias("size"), "chunk")
-    whole = F.octet_length("chunk") == F.col("size")
-    return found.withColumn("chunk", F.when(whole, F.col("chunk")).otherwise(F.raise_error(F.lit("a record differs from its Content-Length")))).drop("size")
+        F.substr(field("WARC-Payload-Digest"), F.lit(6)).alias("digest"), "chunk")
 
 
 def digests(chunks: DataFrame) -> DataFrame:
@@ -124,7 +151,7 @@ def digests(chunks: DataFrame) -> DataFrame:
     short = chunks.filter("n_chunks = 1")
     revisit = F.col("kind") == "revisit"
     out = short.select("page_id", F.when(revisit, F.col("bytes")).otherwise(F.octet_length("chunk").cast("long")).alias("payload_bytes"),
-                       F.when(revisit, F.col("digest")).otherwise(F.sha1(F.encode("chunk", "utf-8"))).alias("payload_digest"),
+                       F.when(revisit, F.col("digest")).otherwise(F.sha1("chunk")).alias("payload_digest"),
                        F.col("kind").alias("record_type"), "refers_to")
     order = ["page_id", "digest", "chunk_no"]
     long = chunks.filter("n_chunks > 1").select(*order, "n_chunks", "chunk").repartition("page_id", "digest").sortWithinPartitions(*order)
@@ -155,7 +182,6 @@ def digests(chunks: DataFrame) -> DataFrame:
 
 def round_trip(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Writes the archives to the shared folder and gives the digests of what it reads back."""
-    spark, run = pages.sparkSession, str(uuid.uuid4())
-    path = work_path(spark, "warc")
-    write(plan_records(pages), path, run, chunk)
-    return digests(read(spark, path, run))
+    path = work_path(pages.sparkSession, "warc")
+    write(plan_records(pages), path, chunk)
+    return digests(read(pages.sparkSession, path))
