@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from plinth.llm.common import append, chunks, mix, raw_texts
 
 BUCKETS, DIM, SIZES = 1 << 16, 16, (2, 3)
-#: Bounds of the training sample: rows of each language, and UTF-8 bytes of a sample row's text.
+#: Bounds of the training sample, for each language: rows, and their texts' UTF-8 bytes for each of these rows.
 SAMPLE, SAMPLE_BYTES = 800, 8000
 UND = "und"
 
@@ -110,7 +110,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def train(rows: list[tuple[bytes, str]], epochs: int = 4, rate: float = 0.5, seed: int = 11) -> Model:
-    """Stochastic gradient descent over single rows; every tenth row calibrates instead."""
+    """Stochastic gradient descent over single rows; every tenth row of a language calibrates instead."""
     langs = sorted({lang for _, lang in rows})
     if not langs:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
@@ -119,7 +119,9 @@ def train(rows: list[tuple[bytes, str]], epochs: int = 4, rate: float = 0.5, see
     out, bias = np.zeros((DIM, len(langs))), np.zeros(len(langs))
     inputs = [np.unique(grams([t])[0], return_counts=True) for t, _ in rows]
     target = [langs.index(lang) for _, lang in rows]
-    held = np.arange(len(rows)) % 10 == 9
+    held = np.zeros(len(rows), bool)
+    for c in range(len(langs)):
+        held[np.flatnonzero(np.array(target) == c)[9::10]] = True
     steps, done = epochs * max(1, int((~held).sum())), 0
     for _ in range(epochs):
         for i in rng.permutation(np.flatnonzero(~held)):
@@ -146,14 +148,18 @@ def train(rows: list[tuple[bytes, str]], epochs: int = 4, rate: float = 0.5, see
 
 
 def sample(df: DataFrame, text: str, lang: str, key: str, rows: int = SAMPLE) -> list[tuple[bytes, str]]:
-    """About ``rows`` labelled rows of each language (at most 1.5 times as many), by a hash of the key."""
-    labelled = df.filter(F.col(lang).isNotNull() & F.octet_length(text).between(1, SAMPLE_BYTES))
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}
-    place = F.pmod(F.xxhash64(key, text), F.lit(1_000_000))
+    """About ``rows`` different labelled rows of each language by a hash of key and text, or fewer if they are
+    long: whole texts, of about ``rows`` * SAMPLE_BYTES bytes in all, and at least the row of smallest hash."""
+    size, order = F.octet_length(text), F.xxhash64(key, text)
+    labelled = df.filter(F.col(lang).isNotNull() & (size > 0))
+    kinds = labelled.select(F.col(lang).alias("lang"), order.alias("order"), size.cast("long").alias("size")).dropDuplicates()
+    counts = kinds.groupBy("lang").agg(F.count("*"), F.sum("size"), F.min("order")).collect()
+    place = F.pmod(order, F.lit(1_000_000))
     chosen: Column = F.lit(False)
-    for name, n in counts.items():
-        chosen = chosen | ((F.col(lang) == name) & (place < int(1_000_000 * min(1.0, rows / n))))
-    picked = labelled.filter(chosen).select(text, lang).limit(len(counts) * rows * 3 // 2).collect()
+    for name, n, total, least in counts:
+        share = min(1.0, rows / n, rows * SAMPLE_BYTES / total)
+        chosen = chosen | ((F.col(lang) == name) & ((place < int(1_000_000 * share)) | (order == least)))
+    picked = labelled.filter(chosen).select(key, text, lang).dropDuplicates().select(text, lang).collect()
     return sorted((r[0].encode("utf-8", "replace"), r[1]) for r in picked)
 
 
