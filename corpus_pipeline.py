@@ -21,18 +21,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group stays: that of the smallest doc_id (for rows that share it, one).
+    """One row of each group stays: that of the smallest doc_id, then of the smallest fingerprint, then the
+    smallest row by text and the other columns; ids are smaller than no id.
 
-    Of a group without any doc_id, one row stays, too.
+    Rows whose id no other row has are found by it; only for repeated and missing ids the fingerprint
+    is computed again, so unlike texts under one id stay, each in its group.
     """
     found = simhash.near_duplicates(docs, shingle=3, distance=3)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp", "group")
-    keep = keep.dropDuplicates(["group"]).select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp"))
-    named = keep.filter("__id IS NOT NULL").select("__id")
-    rows = docs.join(named, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    nameless = simhash.with_fingerprint(docs.filter("doc_id IS NULL"), name="__fp")
-    nameless = nameless.join(keep.filter("__id IS NULL").select("__fp"), "__fp", "left_semi").dropDuplicates(["__fp"])
-    return rows.unionByName(nameless.drop("__fp")).select(*docs.columns)
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("__id"), F.col("fp").alias("__fp")))
+    keep = written(found.groupBy("group").agg(first.alias("k")).select("k.__id", "k.__fp"), "keep")
+    shared = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 OR doc_id IS NULL")
+    shared = written(shared.select(F.col("doc_id").alias("__id")), "shared")
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    rows = docs.join(keep.join(shared, "__id", "left_anti").filter("__id IS NOT NULL"), F.col("doc_id") == F.col("__id"), "left_semi")
+    many = simhash.with_fingerprint(docs.join(shared, same, "left_semi"), name="__print")
+    many = many.join(keep, same & (F.col("__print") == F.col("__fp")), "left_semi")
+    row, order = F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text", F.to_json(F.struct("*")))
+    many = many.groupBy("doc_id", "__print").agg(F.min_by(row, order).alias("r")).select("r.*")
+    return rows.select(*[f"`{c}`" for c in docs.columns]).unionByName(many)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
