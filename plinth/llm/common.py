@@ -13,7 +13,8 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plinth.session import work_path
@@ -79,6 +80,13 @@ def append(df: DataFrame, names_types: Sequence[tuple[str, T.DataType]],
     return df.mapInArrow(run, schema)
 
 
+def in_share(hashed: Column, share: float) -> Column:
+    """Whether a 64-bit hash is in the lowest ``share`` of its range, however small that is."""
+    if share >= 1:
+        return F.lit(True)
+    return hashed < F.lit(int(share * 2.0**64) - 2**63).cast("long")
+
+
 #: Rows that a worker holds in expanded form at once, and bytes of text a kernel joins at once.
 ROWS, JOIN_BYTES = 1024, 1 << 20
 

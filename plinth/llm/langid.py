@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.common import append, chunks, mix, raw_texts
+from plinth.llm.common import append, chunks, in_share, mix, raw_texts
 
 BUCKETS, DIM, SIZES = 1 << 16, 16, (2, 3)
 #: Bounds of the training sample, for each language: rows, and their texts' UTF-8 bytes for each of these rows.
@@ -154,11 +154,10 @@ def sample(df: DataFrame, text: str, lang: str, key: str, rows: int = SAMPLE) ->
     labelled = df.filter(F.col(lang).isNotNull() & (size > 0))
     kinds = labelled.select(F.col(lang).alias("lang"), order.alias("order"), size.cast("long").alias("size")).dropDuplicates()
     counts = kinds.groupBy("lang").agg(F.count("*"), F.sum("size"), F.min("order")).collect()
-    place = F.pmod(order, F.lit(1_000_000))
     chosen: Column = F.lit(False)
     for name, n, total, least in counts:
         share = min(1.0, rows / n, rows * SAMPLE_BYTES / total)
-        chosen = chosen | ((F.col(lang) == name) & ((place < int(1_000_000 * share)) | (order == least)))
+        chosen = chosen | ((F.col(lang) == name) & (in_share(order, share) | (order == least)))
     picked = labelled.filter(chosen).select(key, text, lang).dropDuplicates().select(text, lang).collect()
     return sorted((r[0].encode("utf-8", "replace"), r[1]) for r in picked)
 

@@ -3,7 +3,8 @@
 A text is cut into sentences at sentence marks and line ends; a sentence of more than
 ``LONG`` words is cut further at commas, colons and semicolons, and then after the word of smallest
 hash in any ``LONG`` words in a row (the last of equal ones), so that the same words are cut alike
-whatever stands before them and no piece has more than ``LONG`` words.  At each sentence starts one run: the shortest one of at least two sentences and ``MIN_WORDS`` words.
+whatever stands before them and no piece has more than ``LONG`` words.  At each sentence starts one
+run and ends one: the shortest ones of at least two sentences and ``MIN_WORDS`` words.
 Runs are compared by a 64-bit hash of their lower-cased words.  A run is a repeat if the same run
 occurs earlier: in a row of smaller id, or earlier in the same text.  Sentences that any repeat
 covers are removed; the first occurrence stays.

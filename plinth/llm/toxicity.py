@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.common import append, raw_texts, written
+from plinth.llm.common import append, in_share, raw_texts, written
 
 #: Bounds: lexicon entries, labelled rows of each class for the lexicon, half the rows for the classifier.
 ENTRIES, SAMPLE, TRAIN = 96, 3000, 20000
@@ -56,9 +56,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     counts = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     if len(counts) < 2:
         return []
-    place = F.pmod(F.xxhash64("key"), F.lit(1_000_000))
-    share = [F.col("label").eqNullSafe(c) & (place < int(1_000_000 * min(1.0, rows / n))) for c, n in counts.items()]
-    few = known.filter(share[0] | share[1]).dropDuplicates(["key"]).limit(4 * rows)
+    share = [F.col("label").eqNullSafe(c) & in_share(F.xxhash64("key"), rows / n) for c, n in counts.items()]
+    few = known.filter(share[0] | share[1]).groupBy("key").agg(F.min("label").alias("label")).orderBy(F.xxhash64("key"), "key").limit(4 * rows)
     picked = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.length("text") > 0)
     picked = picked.join(F.broadcast(few), "key").select("text", "label")
 
@@ -69,7 +68,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         return [pa.array(low, pa.int64()), pa.array([sorted(_entries(set(w))) for w in words], pa.list_(pa.string()))]
 
     found = append(picked, [("low", T.LongType()), ("entries", T.ArrayType(T.StringType()))], columns).drop("text")
-    unique = found.groupBy("low", "label").agg(F.first("entries").alias("entries"))
+    unique = found.groupBy("low", "label").agg(F.min("entries").alias("entries"))
     unique = unique.select("label", F.explode("entries").alias("entry"))
     sizes = found.groupBy("label").agg(F.count_distinct("low")).collect()
     n = {r[0]: r[1] for r in sizes}

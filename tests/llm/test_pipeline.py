@@ -3,7 +3,7 @@ import sys
 import pytest
 
 import corpus_pipeline
-from plinth.llm import bpe
+from plinth.llm import bpe, simhash
 from plinth.llm.catalog import ranks_path
 from plinth.llm.common import table
 from tests.llm.conftest import LONG, frame
@@ -61,3 +61,18 @@ def test_edge_rows_of_each_stage(spark):
     nameless = corpus_pipeline.simhash_near_dedup(spark, docs.filter("doc_id IS NULL"), D).collect()
     assert 1 <= len(nameless) <= 2 and all(r.text.startswith(prose) for r in nameless)
     assert corpus_pipeline.byte_bpe(spark, docs, D).count() == 7
+
+
+def test_unlike_texts_under_one_id_stay(spark):
+    """One row of each group, also where ids are repeated or missing."""
+    prose = [" ".join(f"{w} day {a} walks to {b}{k} and comes home." for a, b in zip("abcdefghij", "qrstuvwxyz", strict=True))
+             for k, w in enumerate(["Every", "No", "Some"])]
+    texts = [prose[0], prose[1], prose[1], prose[2], prose[2], prose[0], prose[0], prose[2] + " More.", prose[2]]
+    ids = [1, 1, 1, 2, None, 3, 1, None, 9]
+    prints = simhash.with_fingerprint(frame(spark, texts, ids)).collect()
+    group = brute_groups({r.fp for r in prints})
+    want = {}
+    for r in sorted(prints, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.fp, r.text)):
+        want.setdefault(group[r.fp], (r.doc_id, r.text))
+    got = corpus_pipeline.simhash_near_dedup(spark, frame(spark, texts, ids), D).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(want.values()) and {prose[0], prose[1]} <= {r.text for r in got if r.doc_id == 1}

@@ -1,5 +1,8 @@
+import functools
+
 from plinth.llm import substring
 from plinth.llm.catalog import op10_substring
+from plinth.llm.common import Words, mix
 from tests.llm.conftest import LONG, frame
 
 _PASSAGE = ("The quick brown fox jumps over the lazy dog near the river bank. Then it walks home in the rain, "
@@ -33,20 +36,44 @@ def sentences(text):
                     parts.append(now)
                     now = []
         for part in parts:
-            out += [part[k:k + substring.LONG] for k in range(0, len(part), substring.LONG)]
+            ends = {part[-1]}
+            for k in range(len(part) - substring.LONG + 1) if len(part) > substring.LONG else ():
+                window = part[k:k + substring.LONG]
+                ends.add(min(window, key=lambda i: (word_hash(words[i][0]), -i)))
+            now = []
+            for i in part:
+                now.append(i)
+                if i in ends:
+                    out.append(now)
+                    now = []
     return words, out
 
 
+@functools.cache
+def word_hash(word):
+    """The order of words, the one thing taken from the code under test."""
+    return int(mix(Words([word]).hash)[0])
+
+
 def runs(text):
+    """(its words, first sentence, last sentence) of the shortest runs of two sentences and MIN_WORDS words or
+    more that start with a sentence, and of those that end with one."""
     words, pieces = sentences(text)
-    out = []
-    for i in range(len(pieces)):
-        j = i + 1
-        while j < len(pieces) and sum(map(len, pieces[i:j + 1])) < substring.MIN_WORDS:
+    spans, n = set(), len(pieces)
+    for i in range(n):
+        j, size = i + 1, len(pieces[i]) + (len(pieces[i + 1]) if i + 1 < n else 0)
+        while j < n and size < substring.MIN_WORDS:
             j += 1
-        if j < len(pieces):
-            out.append((tuple(words[k][0] for p in pieces[i:j + 1] for k in p), i, j))
-    return words, pieces, out
+            size += len(pieces[j]) if j < n else 0
+        if j < n:
+            spans.add((i, j))
+        j, size = i - 1, len(pieces[i]) + (len(pieces[i - 1]) if i else 0)
+        while j >= 0 and size < substring.MIN_WORDS:
+            j -= 1
+            size += len(pieces[j]) if j >= 0 else 0
+        if j >= 0:
+            spans.add((j, i))
+    return words, pieces, [(tuple(words[k][0] for p in pieces[i:j + 1] for k in p), i, j) for i, j in sorted(spans)]
 
 
 def brute(docs):
