@@ -123,6 +123,25 @@ def model_elasticnet(spark, sf):
                                      {"alpha": 1.0, "l1_ratio": 0.5, "max_iter": 10000}), ["area_living"])
 
 
+_KNN_D = " + ".join(f"(s.{x} - t.{x}) * (s.{x} - t.{x})" for x in ("area_living", "overall_qual", "garage", "mo_sold"))
+_KNN_SQL = sql(f"""
+, t AS (SELECT id, {_Y} AS y, area_living, overall_qual, coalesce(area_garage, 0) AS garage, mo_sold FROM train),
+s AS (SELECT id, area_living, overall_qual, coalesce(area_garage, 0) AS garage, mo_sold FROM test),
+n AS (SELECT s.id, min_by(t.y, CAST({_KNN_D} AS BIGINT) * 1000000000000 + t.id, 5) AS ys FROM s, t GROUP BY s.id)
+SELECT id, round(list_avg(ys), 6) AS prediction FROM n""")
+
+
+@register("model_knn", _KNN_SQL)
+def model_knn(spark, sf):
+    """Mean log target of the 5 nearest training rows of every test row (raw features, ties by id)."""
+    train, test = _tt(spark, sf)
+    xs = ["area_living", "overall_qual", "area_garage", "mo_sold"]
+    vector = VectorAssembler(inputCols=xs, outputCol=FEATURES)
+    rows = [vector.transform(df.fillna(0.0, subset=["area_garage"])) for df in (_log_y(train), test)]
+    est = build_estimator("knn", {"n_neighbors": 5}, FitContext(n_rows=0, target_std=0.0), label_col="y", id_col=ID)
+    return r6(est.fit(rows[0]).transform(rows[1]).select(ID, "prediction"))
+
+
 def _lbfgs(model: str, xs: list[str], params: dict):
     """The same closed form through the solver of wide inputs."""
     def run(spark, sf):

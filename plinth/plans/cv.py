@@ -229,7 +229,7 @@ class CrossValidation:
     def fit_fold(self, exp: Experiment, k: int, f: int, with_test: bool = False):
         """(validation predictions, optional test predictions) of one experiment on one fold."""
         state, prep, prepared = self.prepared(k, f, self._scale(exp), self._encode(exp))
-        est = build_estimator(exp.model_name, exp.params_dict, self._ctx(k, f, state))
+        est = build_estimator(exp.model_name, exp.params_dict, self._ctx(k, f, state), id_col=KEY)
         model = est.fit(fold_train(prepared, f, k, fold_col(k)))
         valid = (model.transform(fold_valid(prepared, f, fold_col(k)))
                  .select(self._key(), F.lit(exp.name).alias("experiment"), F.lit(f).alias(FOLD), F.col(PRED)))
@@ -243,7 +243,7 @@ class CrossValidation:
     def fit_full(self, exp: Experiment) -> tuple[PipelineModel, DataFrame | None]:
         """Refit on all training rows; predictions for the test rows (id, experiment, prediction)."""
         state, prep, prepared = self.prepared(None, None, self._scale(exp), self._encode(exp))
-        est = build_estimator(exp.model_name, exp.params_dict, self._ctx(None, None, state))
+        est = build_estimator(exp.model_name, exp.params_dict, self._ctx(None, None, state), id_col=KEY)
         model = est.fit(prepared)
         full = PipelineModel([prep, model])
         preds = None

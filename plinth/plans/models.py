@@ -26,16 +26,19 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions.target import inverse_target, transform_target
+from plinth.operators.neighbours import NeighbourIndex
+from plinth.session import written_table
 
 LINEAR = {"linear_regression", "ridge", "lasso", "elasticnet"}
 TREES = {"decision_tree", "random_forest", "xgboost", "lightgbm", "catboost"}
-SUPPORTED = LINEAR | TREES
+SUPPORTED = LINEAR | TREES | {"knn"}
 NORMAL_MAX_FEATURES = 4096
 MAX_TREE_DEPTH = 30
 TIGHT_TOL = 1e-12
@@ -82,6 +85,7 @@ def _depth(v) -> int:
 _log = logging.getLogger(__name__)
 _KNOWN = {
     "linear": {"alpha", "l1_ratio", "fit_intercept", "max_iter", "solver", "random_state"},
+    "knn": {"n_neighbors", "weights"},
     "decision_tree": {"max_depth", "min_samples_leaf", "random_state"},
     "random_forest": {"max_depth", "min_samples_leaf", "n_estimators", "random_state", "bootstrap", "max_features"},
     "xgboost": {"max_depth", "n_estimators", "learning_rate", "subsample", "colsample_bytree", "random_state"},
@@ -131,8 +135,8 @@ def linear_params(model_name: str, params: dict, ctx: FitContext) -> dict:
 
 
 def build_estimator(model_name: str, params: dict, ctx: FitContext, features_col: str = "features",
-                    label_col: str = "label"):
-    """The MLlib estimator for one experiment on one set of training rows."""
+                    label_col: str = "label", id_col: str | None = None):
+    """The MLlib estimator (or, for knn, the exact neighbour join) for one experiment on one set of training rows."""
     io = dict(featuresCol=features_col, labelCol=label_col, predictionCol="prediction")
     # split statistics per task are bounded by maxMemoryInMB (more passes instead of more memory);
     # cached node ids spare re-walking the growing trees on every level (same model)
@@ -169,7 +173,8 @@ def build_estimator(model_name: str, params: dict, ctx: FitContext, features_col
     if model_name == "dnn":
         raise ImportError("the neural-net regressor is not available on Spark in this engine")
     if model_name == "knn":
-        raise ImportError("k-nearest-neighbour regression is not built in this engine yet")
+        return NearestNeighboursRegressor(params.get("n_neighbors", 5), params.get("weights", "uniform"), features_col, label_col,
+                                          id_col=id_col)
     raise ValueError(f"no estimator is registered for {model_name!r}")
 
 
@@ -193,3 +198,41 @@ class TargetTransformRegressor(Estimator):
     def _fit(self, dataset: DataFrame) -> TargetTransformModel:
         moved = dataset.withColumn(self.label_col, transform_target(F.col(self.label_col), self.mode))
         return TargetTransformModel(self.estimator.fit(moved), self.mode)
+
+
+class NearestNeighboursModel(Model):
+    """Mean label of the nearest training rows; ``weights="distance"`` weighs them by 1 / distance
+    (rows at distance 0 alone, if there are any)."""
+
+    def __init__(self, index: NeighbourIndex, weights: str, features_col: str, prediction_col: str = "prediction"):
+        super().__init__()
+        self.index, self.weights = index, weights
+        self.features_col, self.prediction_col = features_col, prediction_col
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        rows = written_table(dataset.withColumn("__row", F.monotonically_increasing_id()), "scored")
+        vectors = rows.select("__row", vector_to_array(F.col(self.features_col)).alias("vec"))
+        found = self.index.search(vectors, "__row", "vec")
+        label = F.avg("y")
+        if self.weights == "distance":
+            far = F.when(F.col("d2") > 0, 1 / F.sqrt("d2"))
+            label = F.coalesce(F.avg(F.when(F.col("d2") == 0, F.col("y"))), F.sum(F.col("y") * far) / F.sum(far))
+        means = found.groupBy("row").agg(label.alias(self.prediction_col)).withColumnRenamed("row", "__row")
+        return rows.join(means, "__row", "left").drop("__row")
+
+
+class NearestNeighboursRegressor(Estimator):
+    """k-nearest-neighbour regression over Euclidean distance, exact; ties go to the smaller id, and to the
+    smaller label where the rows have no id column."""
+
+    def __init__(self, k: int = 5, weights: str = "uniform", features_col: str = "features", label_col: str = "label",
+                 id_col: str | None = None):
+        super().__init__()
+        if weights not in ("uniform", "distance"):
+            raise ValueError(f"unknown weights {weights!r}")
+        self.k, self.weights, self.features_col, self.label_col, self.id_col = int(k), weights, features_col, label_col, id_col
+
+    def _fit(self, dataset: DataFrame) -> NearestNeighboursModel:
+        key = F.lit(0).cast("long") if self.id_col is None or self.id_col not in dataset.columns else F.col(self.id_col)
+        rows = dataset.select(key.alias("id"), vector_to_array(F.col(self.features_col)).alias("vec"), F.col(self.label_col).alias("y"))
+        return NearestNeighboursModel(NeighbourIndex(rows, self.k, "id", "vec", "y"), self.weights, self.features_col)
