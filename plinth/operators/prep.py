@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions.exprs import c, nan_to_null
+from plinth.operators.categories import categories, index_models, small
 from plinth.operators.state import StateModel, by_group
-from plinth.operators.stats import categories, modes, moments, quantiles_by_group
+from plinth.operators.stats import modes, moments, quantiles_by_group
 
 # ---------------------------------------------------------------- clipping
 
@@ -161,50 +162,60 @@ class NominalSizeModel(StateModel):
             for x, n in sizes.items()})
 
 
-def onehot_stages(df: DataFrame, cats: dict[str, list[str]], suffix: str = "__oh") -> tuple[list, list[str]]:
-    """StringIndexer (fitted labels, unknown kept) + OneHotEncoder(dropLast).
+def _indexed(cats: dict, cols: list[str]) -> list:
+    """Stages that give each column its index column: literals where the values are a list, a join where
+    they are a table."""
+    listed = [x for x in cols if small(cats[x])]
+    stages = [StringIndexerModel.from_arrays_of_labels([cats[x] for x in listed], inputCols=listed,
+                                                       outputCols=[f"{x}__idx" for x in listed], handleInvalid="keep")] if listed else []
+    return stages + index_models({x: cats[x] for x in cols})
 
-    The indexer sends unknown and missing values to index n; the encoder,
+
+def onehot_stages(df: DataFrame, cats: dict, suffix: str = "__oh") -> tuple[list, list[str]]:
+    """Indexers (fitted values, unknown kept) + OneHotEncoder(dropLast).
+
+    The indexers send unknown and missing values to index n; the encoder,
     told there are n known values, treats n as invalid, keeps it as an extra
     slot and dropLast removes that slot: unknowns encode as all zeros and
     known values keep all n slots.
     The encoder's width comes from metadata, so fitting it runs no job.
     """
-    cols = [x for x in cats if cats[x]]
+    cols = [x for x in cats if len(cats[x])]
     if not cols:
         return [], []
     idx_cols = [f"{x}__idx" for x in cols]
     oh_cols = [f"{x}{suffix}" for x in cols]
-    indexer = StringIndexerModel.from_arrays_of_labels([cats[x] for x in cols], inputCols=cols,
-                                                      outputCols=idx_cols, handleInvalid="keep")
     sizes = NominalSizeModel.of(sizes={i: len(cats[x]) for x, i in zip(cols, idx_cols)})
     encoder = OneHotEncoder(inputCols=idx_cols, outputCols=oh_cols, dropLast=True, handleInvalid="keep")
-    probe = sizes.transform(indexer.transform(df.limit(0)))
-    return [indexer, sizes, encoder.fit(probe)], oh_cols
+    probe = sizes.transform(df.limit(0).withColumns({i: F.lit(0.0) for i in idx_cols}))
+    return [*_indexed(cats, cols), sizes, encoder.fit(probe)], oh_cols
 
 
-def index_stages(cats: dict[str, list[str]], suffix: str = "__idx") -> tuple[list, list[str]]:
+def index_stages(cats: dict, suffix: str = "__idx") -> tuple[list, list[str]]:
     """Categories as nominal indices (for trees with native categorical splits); unknown -> index n."""
-    cols = [x for x in cats if cats[x]]
+    cols = [x for x in cats if len(cats[x])]
     if not cols:
         return [], []
     idx_cols = [f"{x}{suffix}" for x in cols]
-    indexer = StringIndexerModel.from_arrays_of_labels([cats[x] for x in cols], inputCols=cols,
-                                                      outputCols=idx_cols, handleInvalid="keep")
     sizes = NominalSizeModel.of(sizes={i: len(cats[x]) + 1 for x, i in zip(cols, idx_cols)})
-    return [indexer, sizes], idx_cols
+    return [*_indexed(cats, cols), sizes], idx_cols
 
 
-def dummies(df: DataFrame, cols: list[str], token: str = "Missing", max_categories: int = 100_000):
+def dummies(df: DataFrame, cols: list[str], token: str = "Missing"):
     """Wide 0/1 double columns ``{col}_{value}`` for every value (gaps filled with ``token``).
 
-    Returns (frame without the source columns, dummy names).  Categories are
-    collected to the driver, so the width is capped by ``max_categories``.
+    Returns (frame without the source columns, dummy names).  A column whose values are a table
+    (``categories.SMALL``), or differ in case alone and so can't name columns, becomes one sparse
+    vector column ``{col}__oh`` of the same slots instead.
     """
     filled = df.fillna(token, subset=cols)
-    cats = categories(filled, cols, max_categories=max_categories).get(None, {})
-    exprs = {}
+    cats = categories(filled, cols).get(None, {})
+    exprs, wide = {}, {x: v for x, v in cats.items() if not small(v) or len({n.lower() for n in v}) < len(v)}
     for x in cols:
-        for v in cats.get(x, []):
+        for v in cats.get(x, []) if x not in wide else ():
             exprs[f"{x}_{v}"] = (c(x) == F.lit(v)).cast("double")
-    return filled.withColumns(exprs).drop(*cols), list(exprs)
+    out = filled.withColumns(exprs)
+    stages, vectors = onehot_stages(out, wide)
+    for stage in stages:
+        out = stage.transform(out)
+    return out.drop(*cols, *[f"{x}__idx" for x in wide]), [*exprs, *vectors]

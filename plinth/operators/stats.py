@@ -112,28 +112,6 @@ def modes(df: DataFrame, cols: list[str], group: str | None = None, as_text: boo
     return out
 
 
-def categories(df: DataFrame, cols: list[str], group: str | None = None, max_categories: int = 100_000) -> dict:
-    """{g: {col: sorted distinct non-missing values}}; errors above ``max_categories``."""
-    if not cols:
-        return {}
-    gdf, keys = _grouped(df, group)
-    cells = F.explode(F.array(*[F.struct(F.lit(n).alias(COLUMN), c(n).cast("string").alias(VALUE)) for n in cols]))
-    long = gdf.select(*keys, cells.alias("cell")).select(*keys, "cell.*").filter(F.col(VALUE).isNotNull())
-    distinct = long.select(*keys, COLUMN, VALUE).distinct()
-    sizes = distinct.groupBy(*keys, COLUMN).count().filter(F.col("count") > max_categories).limit(1).collect()
-    if sizes:
-        r = sizes[0]
-        raise ValueError(f"column {r[COLUMN]!r} has more than {max_categories} categories; "
-                         "raise PrepSpec.max_categories or drop the column")
-    out: dict = {}
-    for r in distinct.collect():
-        out.setdefault(_key(group, r[GROUP]), {}).setdefault(r[COLUMN], []).append(r[VALUE])
-    for g in out:
-        for col in out[g]:
-            out[g][col].sort()
-    return out
-
-
 def _moment_blocks(batches, cols: list[str], shifts: dict):
     """Per partition: for every group, the pairwise-complete sums as one flat array.
 
@@ -209,7 +187,7 @@ def pair_correlations(df: DataFrame, cols: list[str], group: str | None = None)
     return out
 
 
-__all__ = ["GROUP", "null_min_max", "distinct_counts", "moments", "quantiles_by_group", "modes", "categories",
+__all__ = ["GROUP", "null_min_max", "distinct_counts", "moments", "quantiles_by_group", "modes",
            "pair_correlations", "PROB", "VALUE", "COLUMN"]
 
 
@@ -331,41 +309,3 @@ def _corr_from_blocks(blocks, cols: list[str]) -> dict:
             den = va * vb
             res[(cols[i], cols[j])] = None if den <= 0 else float(abs(cov) / np.sqrt(den))
     return res
-
-
-def fold_value_counts(df: DataFrame, cols: list[str], fold_col: str, max_categories: int = 100_000,
-                      fills: dict | None = None, folds: list | None = None) -> dict:
-    """{fold: {col: {value: count}}} of the non-missing text values per fold (checked size).
-
-    With ``fills`` ({f: {col: value}}), the missing count of each fold is kept
-    under the key None so callers can add it to a fill value.
-    """
-    cells = F.explode(F.array(*[F.struct(F.lit(n).alias(COLUMN), c(n).cast("string").alias(VALUE)) for n in cols]))
-    long = df.select(F.col(fold_col).alias(GROUP), cells.alias("cell")).select(GROUP, "cell.*")
-    counts = long.groupBy(GROUP, COLUMN, VALUE).agg(F.count(F.lit(1)).alias("cnt"))
-    big = counts.groupBy(GROUP, COLUMN).count().filter(F.col("count") > max_categories + 1).limit(1).collect()
-    if big:
-        raise ValueError(f"column {big[0][COLUMN]!r} has more than {max_categories} categories; "
-                         "raise PrepSpec.max_categories or drop the column")
-    out: dict = {}
-    for r in counts.collect():
-        out.setdefault(r[GROUP], {}).setdefault(r[COLUMN], {})[r[VALUE]] = r["cnt"]
-    return out
-
-
-def training_counts(per_fold: dict, f, cols: list[str]) -> dict:
-    """{col: {value: count}} over all folds but f (None = missing)."""
-    out = {x: {} for x in cols}
-    for g, per_col in per_fold.items():
-        if g == f:
-            continue
-        for x, counts in per_col.items():
-            acc = out.setdefault(x, {})
-            for v, n in counts.items():
-                acc[v] = acc.get(v, 0) + n
-    return out
-
-
-def mode_of(counts: dict):
-    present = [(v, n) for v, n in counts.items() if v is not None]
-    return min(present, key=lambda vn: (-vn[1], vn[0]))[0] if present else None

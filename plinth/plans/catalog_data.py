@@ -447,7 +447,7 @@ SELECT t.id, t.column, coalesce(cats.slot, -1) AS slot
 FROM t LEFT JOIN cats ON t.column = cats.column AND t.value = cats.value"""))
 def onehot_fit_transform(spark, sf):
     """Categories fitted on train; test rows encoded; slot -1 = all zeros (unknown or missing)."""
-    from plinth.operators.stats import categories
+    from plinth.operators.categories import categories
     train, test = _fe(spark, sf)
     cats = categories(train, CATEGORICAL)[None]
     stages, oh_cols = onehot_stages(test, cats)
@@ -472,7 +472,7 @@ def dummies_wide(spark, sf):
     from plinth.operators.prep import dummies
     train, test = _fe(spark, sf)
     both = train.drop(TARGET).unionByName(test)
-    wide, names = dummies(both, CATEGORICAL, SPEC.prep.missing_token, SPEC.prep.max_categories)
+    wide, names = dummies(both, CATEGORICAL, SPEC.prep.missing_token)
     cells = F.explode(F.array(*[F.struct(F.lit(n).alias("dummy"), c(n).alias("value")) for n in names]))
     return wide.select(c(ID), cells.alias("cell")).select(ID, "cell.dummy", "cell.value")
 

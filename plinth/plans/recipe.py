@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions.exprs import c, is_numeric
+from plinth.operators.categories import categories, fold_categories
 from plinth.operators.clean import FeatureCleanerModel, fit_cleaner
 from plinth.operators.prep import (ClipModel, ImputeModel, ScaleModel, clip_grouped, fit_categorical_fill,
                                    fit_clip_bounds, fit_numeric_fill, fit_scaler, impute_grouped, index_stages,
                                    onehot_stages)
 from plinth.operators.state import by_group
-from plinth.operators.stats import categories
 from plinth.spec import PrepSpec
 
 FEATURES = "features"
@@ -92,7 +92,7 @@ def fit_recipe(df: DataFrame, feature_cols: list[str], prep: PrepSpec, scale: bo
         filled = work.withColumns({x: F.coalesce(c(x).cast("string"),
                                                  by_group(gcol, {g: cat_fill[g].get(x) for g in keys}, "string"))
                                    for x in cat_union})
-        cats = categories(filled, cat_union, group, prep.max_categories)
+        cats = categories(filled, cat_union, group)
     out = {}
     for g in keys:
         numeric = [x for x in num_union if x in kept[g] and num_fill[g].get(x) is not None]
@@ -150,14 +150,13 @@ def fit_recipe_folds(df: DataFrame, feature_cols: list[str], prep: PrepSpec, fol
     """{f: RecipeState} fitted on each fold's training rows (all rows whose fold is not f).
 
     Additive statistics (constant test, correlations, value counts for modes
-    and categories) are aggregated once per fold and combined on the driver;
-    only the exact medians use the exploded (row x training fold) rows.
-    Clipping, a distinct-count threshold above 1 or a non-median numeric
-    strategy fall back to the exploded form for every stage.
+    and categories) are aggregated once per fold and combined; the exact medians
+    come from per-fold counts.  Clipping, a distinct-count threshold above 1 or a
+    non-median numeric strategy fall back to copied (row x training fold) rows
+    for every stage.
     """
     from plinth.operators.split import FOLD as _FOLD, TRAIN_FOLD, training_rows
-    from plinth.operators.stats import (fold_null_min_max, fold_pair_correlations, fold_value_counts, mode_of,
-                                        training_counts)
+    from plinth.operators.stats import fold_null_min_max, fold_pair_correlations
     given, (prep, token) = prep, _prep_for(prep, encode)
     n_splits = len(folds) if len(folds) > 1 else 1
     stacked = training_rows(df.withColumnRenamed(fold_col, _FOLD) if fold_col != _FOLD else df, n_splits)
@@ -199,19 +198,10 @@ def fit_recipe_folds(df: DataFrame, feature_cols: list[str], prep: PrepSpec, fol
     cat_fill = {f: {} for f in folds}
     cats = {f: {} for f in folds}
     if cat_union:
-        per_fold = fold_value_counts(df, cat_union, fold_col, prep.max_categories)
-        for f in folds:
-            counts = training_counts(per_fold, f, cat_union)
-            for x in cat_union:
-                if prep.categorical_imputer_strategy == "most_frequent":
-                    fill = mode_of(counts[x])
-                else:
-                    fill = token
-                cat_fill[f][x] = fill
-                values = {v for v, n in counts[x].items() if v is not None and n > 0}
-                if counts[x].get(None, 0) > 0 and fill is not None:
-                    values.add(fill)
-                cats[f][x] = sorted(values)
+        frequent = prep.categorical_imputer_strategy == "most_frequent"
+        for f, found in fold_categories(df, cat_union, fold_col, folds, None if frequent else token).items():
+            cat_fill[f] = {x: fill for x, (fill, _) in found.items()}
+            cats[f] = {x: values for x, (_, values) in found.items()}
     out = {}
     for f in folds:
         numeric = [x for x in num_union if x in kept[f] and num_fill[f].get(x) is not None]

@@ -70,7 +70,6 @@ class PrepSpec:
     outlier_upper_quantile: float = 0.99
     exact_quantiles: bool = True        # False: percentile_approx (opt-in for size)
     approx_accuracy: int = 100_000
-    max_categories: int = 10_000        # categories per column kept on the driver (one-hot width)
     missing_token: str = "Missing"
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from plinth.operators.prep import ClipModel, fit_numeric_fill, fit_scaler, onehot_stages
 from plinth.operators.quantile import quantile_dict
 from plinth.operators.rank import global_rank, prefix_sums
-from plinth.operators.stats import categories, modes, pair_correlations
+from plinth.operators.categories import categories
+from plinth.operators.stats import modes, pair_correlations
 
 
 def test_median_is_interpolated(spark):
