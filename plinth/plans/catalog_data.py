@@ -22,11 +22,11 @@ from plinth.operators.clean import constant_columns, fit_cleaner
 from plinth.operators.features import add_features, derived_columns, feature_types
 from plinth.operators.prep import (ClipModel, ImputeModel, fit_categorical_fill, fit_clip_bounds, fit_numeric_fill,
                                    fit_scaler, onehot_stages)
-from plinth.operators.quantile import COLUMN, VALUE, quantiles
+from plinth.operators.quantile import COLUMN, fold_quantiles
 from plinth.operators.rank import global_rank
-from plinth.operators.split import FOLD, LABEL, TRAIN_FOLD, assign_folds, kfold, stratify_labels, training_rows
-from plinth.operators.stats import distinct_counts, moments, pair_correlations
-from plinth.session import work_path
+from plinth.operators.split import FOLD, LABEL, assign_folds, kfold, stratify_labels
+from plinth.operators.stats import distinct_counts, fold_moments, pair_correlations
+from plinth.session import work_path, written_table
 from plinth.sources.csv import scan_csv, write_csv
 from plinth.sources.fixture import FX_SQL, ID, TARGET, train_test
 from plinth.spec import fixture_spec
@@ -574,15 +574,14 @@ _W7_COLS = NUMERIC_FE_ORDERED
 SELECT train_fold, unnest([{', '.join("{'column': '" + x + "', 'n': count(" + x + "), 'mean': round(avg(" + x + "::DOUBLE), 6), 'median': round(median(" + x + "::DOUBLE), 6)}" for x in _W7_COLS)}], recursive := true)
 FROM stacked GROUP BY train_fold"""))
 def fold_train_stats(spark, sf):
-    """Per fold, count / mean / median of every numeric feature on that fold's training rows, all folds in one pass."""
+    """Per fold, count / mean / median of every numeric feature on that fold's training rows, no row copied."""
     train, _ = _fe(spark, sf)
-    folded = assign_folds(train, TARGET, ID, 5, SEED, SPEC.validation.stratify_bins)
-    stacked = training_rows(folded, 5)
-    mom = moments(stacked, _W7_COLS, TRAIN_FOLD)
-    med = quantiles(stacked, _W7_COLS, [0.5], [TRAIN_FOLD]).select(TRAIN_FOLD, COLUMN, F.col(VALUE).alias("median"))
-    rows = [(int(g), x, int(v[x][0]), v[x][1]) for g, v in mom.items() for x in _W7_COLS]
-    base = spark.createDataFrame(rows, "train_fold int, column string, n long, mean double")
-    return r6(base.join(med.withColumn(TRAIN_FOLD, F.col(TRAIN_FOLD).cast("int")), [TRAIN_FOLD, COLUMN], "left"))
+    folded = written_table(assign_folds(train, TARGET, ID, 5, SEED, SPEC.validation.stratify_bins).select(FOLD, *_W7_COLS), "folded")
+    folds = list(range(5))
+    mom = fold_moments(folded, _W7_COLS, FOLD, folds)
+    med = fold_quantiles(folded, _W7_COLS, [0.5], FOLD, folds, folds)
+    rows = [(f, x, int(mom[f][x][0]), mom[f][x][1], med[f].get(x, {}).get(0.5)) for f in folds for x in _W7_COLS]
+    return r6(spark.createDataFrame(rows, "train_fold int, column string, n long, mean double, median double"))
 
 # ------------------------------------------------------------------ U: unions
 

@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from plinth.operators.prep import ClipModel, fit_numeric_fill, fit_scaler, onehot_stages
+from plinth.operators import quantile
 from plinth.operators.quantile import quantile_dict
 from plinth.operators.rank import global_rank, prefix_sums
 from plinth.operators.categories import categories
@@ -39,6 +40,35 @@ def test_quantiles_with_a_hot_value(spark):
     assert [got[("x", p)] for p in (0.25, 0.5, 0.75)] == exp
 
 
+def test_brackets_at_any_size(spark, monkeypatch):
+    """Sketches, brackets that miss and the distributed selection give the same quantiles."""
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"g": rng.integers(0, 2, 4000), "x": rng.normal(size=4000), "y": rng.integers(0, 3, 4000).astype(float),
+                        "z": np.where(rng.random(4000) < 0.5, 7.0, rng.random(4000)), "n": np.full(4000, np.nan)})
+    pdf.loc[::7, "x"] = np.nan
+    df, probs = spark.createDataFrame(pdf).repartition(6), [0.0, 0.01, 0.5, 0.75, 1.0]
+    want = {(g, c, p): pdf[pdf.g == g][c].quantile(p) for g in (0, 1) for c in "xyz" for p in probs}
+    monkeypatch.setattr(quantile, "KEEP_ALL", 10)
+    kept = []
+    inside = quantile._inside
+    monkeypatch.setattr(quantile, "_inside", lambda *a: kept.append(inside(*a)) or kept[-1])
+    for rows in (100_000, 0):
+        monkeypatch.setattr(quantile, "DRIVER_ROWS", rows)
+        got = quantile_dict(df, ["x", "y", "z", "n"], probs, ["g"])
+        assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-12, abs_tol=1e-12) for k in want)
+        assert kept[-1].filter("column = 'x' AND prob = 0.5 AND value IS NOT NULL").count() < 60      # of 3,400 values
+    monkeypatch.setattr(quantile, "_bracket", lambda n, found, i: (50.0, 60.0))                       # no bracket holds its rank
+    assert quantile_dict(df, ["x", "y", "z"], probs, ["g"]).keys() == want.keys()
+    monkeypatch.undo()
+    monkeypatch.setattr(quantile, "KEEP_ALL", 10)
+    folds = quantile.fold_quantiles(df, ["x", "z"], [0.5], "g", [0, 1], [0, 1])
+    assert all(math.isclose(folds[f][c][0.5], want[1 - f, c, 0.5], rel_tol=1e-12) for f in (0, 1) for c in "xz")
+    n, v = 1000, np.sort(rng.normal(size=1000))
+    grid = np.array([0.0, 0.25, 0.5, 0.75, 1.0])
+    lo, hi = quantile._added([(n, v[(grid * 999).astype(int)]), (n, v[(grid * 999).astype(int)])], grid, 999, 1000)
+    assert v[0] <= lo < v[499] < hi < v[-1]
+
+
 def test_mode_ties_go_to_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("a",), ("b",), (None,)], "x string")
     assert modes(df, ["x"])[None]["x"] == "a"
