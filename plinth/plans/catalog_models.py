@@ -250,6 +250,48 @@ def cv_evaluate(spark, sf):
                                     "experiment_name string, model_name string, primary_score double"))
 
 
+_ALL_X, _ALL_GRID = ["overall_qual", "area_living", "mo_sold", "yr_sold"], [("ridge", (("alpha", 1.0),)), ("ridge", (("alpha", 10.0),)), ("linear_regression", ())]
+
+
+def _normal_equations_sql(alpha: float, tag: str) -> str:
+    """CTE oof_{tag}: per fold the scaled ridge of all of _ALL_X by Gaussian elimination."""
+    p = range(len(_ALL_X))
+    low = ", ".join([f"avg(x{i}) AS m{i}, stddev_pop(x{i}) AS s{i}, covar_pop(x{i}, y) AS cy{i}" for i in p]
+                    + [f"covar_pop(x{i}, x{j}) AS c{i}_{j}" for i in p for j in p if j >= i])
+    cells = ", ".join([f"n * c{min(i, j)}_{max(i, j)} / (s{i} * s{j}) + {alpha if i == j else 0.0} AS a{i}_{j}" for i in p for j in p]
+                      + [f"n * cy{i} / s{i} AS b{i}" for i in p])
+    keep = "fold, my, " + ", ".join(f"m{i}, s{i}" for i in p)
+    out = f""", st_{tag} AS (SELECT g.tf AS fold, count(*) AS n, avg(y) AS my, {low}
+        FROM tr_all JOIN (SELECT CAST(unnest(range(0, 5)) AS INTEGER) AS tf) g ON tr_all.fold <> g.tf GROUP BY g.tf),
+e0_{tag} AS (SELECT {keep}, {cells} FROM st_{tag})"""
+    for k in p:
+        rows = ", ".join([f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS a{i}_{j}" if i > k else f"a{i}_{j}" for i in p for j in p]
+                         + [f"b{i} - a{i}_{k} * b{k} / a{k}_{k} AS b{i}" if i > k else f"b{i}" for i in p])
+        out += f", e{k + 1}_{tag} AS (SELECT {keep}, {rows} FROM e{k}_{tag})"
+    last = f"e{len(_ALL_X)}_{tag}"
+    for i in reversed(p):
+        done = "".join(f" - a{i}_{j} * w{j}" for j in p if j > i)
+        out += f", w{i}_{tag} AS (SELECT *, (b{i}{done}) / a{i}_{i} AS w{i} FROM {last})"
+        last = f"w{i}_{tag}"
+    terms = " + ".join(f"w.w{i} * (t.x{i} - w.m{i}) / w.s{i}" for i in p)
+    return out + f", oof_{tag} AS (SELECT t.fold, t.y, w.my + {terms} AS pred FROM tr_all t JOIN {last} w USING (fold))"
+
+
+@register("cv_all_features", sql(
+    folds_sql(5) + f""", tr_all AS (SELECT {_Y} AS y, f.fold, {', '.join(f'CAST(t.{x} AS DOUBLE) AS x{i}' for i, x in enumerate(_ALL_X))}
+        FROM train t JOIN folds_5 f USING (id))""" + "".join(
+        _normal_equations_sql(dict(params).get("alpha", 0.0), f"g{i}") for i, (_, params) in enumerate(_ALL_GRID))
+    + " UNION ALL ".join(f" SELECT {_name_sql(m, params)} AS experiment_name, round({_score_sql(f'g{i}')}, 6) AS primary_score"
+                         for i, (m, params) in enumerate(_ALL_GRID))))
+def cv_all_features(spark, sf):
+    """A linear grid on several scaled features, every fold solved from one Gram matrix."""
+    train, _ = _tt(spark, sf)
+    cv = CrossValidation(spark, train.select(ID, TARGET, *_ALL_X), _spec((5,), 5))
+    results, _, _ = cv.evaluate([Experiment(m, params) for m, params in _ALL_GRID])
+    cv.release()
+    return r6(spark.createDataFrame([(r.experiment_name, r.primary_score) for r in results], "experiment_name string, primary_score double"))
+
+
 @register("metric_fold_mean_std", sql(members_sql(MEMBERS[:1]) + """
 SELECT round(avg(r), 6) AS mean_rmse, round(stddev_pop(r), 6) AS std_rmse
 FROM (SELECT sqrt(avg((y - pred) * (y - pred))) AS r FROM oof_m0 GROUP BY fold)"""))

@@ -7,9 +7,9 @@ Plan of one run:
     may be a feature as well.
   * per fold count and recipe kind (scaled / unscaled): every stage's
     statistics for all folds in one pass over the fold-stacked training rows.
-  * per experiment and fold: ``Estimator.fit`` on the fold's training rows,
-    predictions on its validation rows.  Fits are submitted from a small
-    driver thread pool; each is a distributed MLlib job.
+  * per fold, the linear experiments of a recipe are solved from one Gram matrix of the fold's
+    training rows (``gram``); per other experiment and fold: ``Estimator.fit`` on those rows.
+    Jobs are submitted from a small driver thread pool.
   * all predictions are unioned into one long table (id, experiment, fold,
     prediction) and written once under the shared work folder.
   * scores are one aggregate over that table.
@@ -17,6 +17,7 @@ Plan of one run:
 
 from __future__ import annotations
 
+import logging
 import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -34,12 +35,14 @@ from plinth.operators.features import add_features
 from plinth.operators.split import (FOLD, LABEL, TRAIN_FOLD, fold_ids, fold_train, fold_valid, split_labelled,
                                     stratify_labels, training_rows)
 from plinth.operators.stats import fold_moments, moments
-from plinth.plans.models import FitContext, build_estimator, family, native_categories, needs_scaling
+from plinth.plans import gram
+from plinth.plans.models import FitContext, build_estimator, dropped_params, family, native_categories, needs_scaling
 from plinth.plans.recipe import (FEATURES, add_scaler, add_scaler_folds, fit_recipe, fit_recipe_folds,
                                  recipe_stages)
 from plinth.session import work_path, written_table
 from plinth.spec import Spec
 
+_log = logging.getLogger(__name__)
 LABEL_COL, PRED = "label", "prediction"
 KEY = "__row_key"          # the id as given; stages only see feature columns
 
@@ -240,6 +243,28 @@ class CrossValidation:
                     .select(self._key(), F.lit(exp.name).alias("experiment"), F.lit(f).alias(FOLD), F.col(PRED)))
         return valid, test
 
+    def fit_fold_linear(self, exps: list[Experiment], k: int, f: int, with_test: bool = False):
+        """As ``fit_fold`` for linear experiments of one recipe, from one pass over the training rows;
+        also {name: error} of those that can't be solved."""
+        state, prep, prepared = self.prepared(k, f, self._scale(exps[0]), self._encode(exps[0]))
+        products = gram.moments_of(fold_train(prepared, f, k, fold_col(k)), FEATURES, LABEL_COL, state.n_features)
+        models, errors = {}, {}
+        for e in exps:
+            try:
+                models[e.name] = gram.solve(products, e.model_name, e.params_dict)
+            except Exception as exc:  # one failing experiment does not stop the others
+                errors[e.name] = f"{type(exc).__name__}: {exc}"
+            if lost := dropped_params(e.model_name, e.params_dict):
+                _log.warning("%s: no counterpart for %s", e.model_name, ", ".join(lost))
+        if not models:
+            return None, None, errors
+        sides = [fold_valid(prepared, f, fold_col(k))]
+        if with_test and self.test is not None:
+            sides.append(prep.transform(self.test))
+        valid, *test = [gram.predict(x, FEATURES, KEY, models, PRED).select(self._key(), "experiment", F.lit(f).alias(FOLD), F.col(PRED))
+                        for x in sides]
+        return valid, test[0] if test else None, errors
+
     def fit_full(self, exp: Experiment) -> tuple[PipelineModel, DataFrame | None]:
         """Refit on all training rows; predictions for the test rows (id, experiment, prediction)."""
         state, prep, prepared = self.prepared(None, None, self._scale(exp), self._encode(exp))
@@ -259,6 +284,7 @@ class CrossValidation:
     def evaluate(self, experiments: list[Experiment], with_fold_test: bool = False):
         """Run every experiment x fold count x fold.
 
+        Linear experiments are solved together from Gram matrices, the others fitted one by one.
         Returns (results, oof, fold_test): ``oof`` is the written long table
         (id, prediction, experiment, fold) of the primary fold count;
         ``fold_test`` the fold models' test predictions (or None).  Each fit
@@ -278,40 +304,51 @@ class CrossValidation:
             self.target_stats(k)
         roots = {k: work_path(self.spark, f"oof_{k}") for k in v.compare_n_splits}
         test_root = work_path(self.spark, "fold_test")
-        # fold-major order: the prepared rows of a fold are released once its last fit is done
-        jobs = [(e, k, f) for k in v.compare_n_splits for f in fold_ids(k) for e in runnable]
+        # fold-major order: the prepared rows of a fold are released once its last fit is done; the
+        # linear experiments of a fold and recipe are one job
+        jobs = []
+        for k in v.compare_n_splits:
+            for f in fold_ids(k):
+                together: dict = {}
+                for e in runnable:
+                    recipe = (self._scale(e), self._encode(e))
+                    linear = gram.eligible(e.model_name, e.params_dict, self.recipes(k, *recipe)[f].n_features)
+                    together.setdefault(recipe if linear else e.name, []).append(e)
+                jobs += [(exps, k, f, isinstance(at, tuple)) for at, exps in together.items()]
         pending: dict = {}
-        for e, k, f in jobs:
-            key = (k, f, self._scale(e), self._encode(e))
+        for exps, k, f, _ in jobs:
+            key = (k, f, self._scale(exps[0]), self._encode(exps[0]))
             pending[key] = pending.get(key, 0) + 1
         d = self.spec.data
 
         def run(job):
-            e, k, f = job
+            exps, k, f, linear = job
+            e = exps[0]
             key = (k, f, self._scale(e), self._encode(e))
-            err = None
+            folder, errors = f"linear_{int(key[2])}{int(key[3])}" if linear else e.name, {}
             try:
-                valid, test = self.fit_fold(e, k, f, with_test=with_fold_test and k == v.primary_n_splits)
-                valid.select(d.id_col, PRED).write.mode("overwrite").parquet(
-                    f"{roots[k]}/experiment={e.name}/{FOLD}={f}")
-                if test is not None:
-                    test.select(d.id_col, PRED).write.mode("overwrite").parquet(
-                        f"{test_root}/experiment={e.name}/{FOLD}={f}")
+                tests = with_fold_test and k == v.primary_n_splits
+                if linear:
+                    valid, test, errors = self.fit_fold_linear(exps, k, f, with_test=tests)
+                else:
+                    valid, test = self.fit_fold(e, k, f, with_test=tests)
+                for side, root in ((valid, roots[k]), (test, test_root)):
+                    if side is not None:
+                        side.select(d.id_col, "experiment", PRED).write.mode("overwrite").parquet(f"{root}/job={folder}/{FOLD}={f}")
             except Exception as exc:  # one failing experiment does not stop the grid
-                err = f"{type(exc).__name__}: {exc}"
+                errors = {x.name: f"{type(exc).__name__}: {exc}" for x in exps}
             with self._lock:
                 pending[key] -= 1
                 last = pending[key] == 0
             if last:
                 self.release(key)
-            return job, err
+            return [(name, k, f, err) for name, err in errors.items()]
 
         with ThreadPoolExecutor(max_workers=max(1, self.spec.parallelism)) as pool:
             done = list(pool.map(run, jobs))
-        failed = {job[0].name for job, err in done if err}
-        for job, err in done:
-            if err:
-                self.log.errors.append((job[0].name, f"fold {job[1]}/{job[2]}", err))
+        failed = {name for errors in done for name, *_ in errors}
+        for name, k, f, err in (x for errors in done for x in errors):
+            self.log.errors.append((name, f"fold {k}/{f}", err))
         good = [e.name for e in runnable if e.name not in failed]
         results, oof, fold_test = [], None, None
         truth = self.truth()
