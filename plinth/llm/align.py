@@ -10,9 +10,10 @@ to that one, and groups that run across pieces are stitched from the overlaps in
 whose two tokens end together are links; they end the groups.
 
 The texts of a batch are merged as one pair of lists, so pieces are equal whatever the lengths of
-texts are.  A long text is tokenised in parts cut at single spaces between word characters, where
-neither tokenizer has a token that goes across (checked for B's vocabulary when it is loaded);
-one stretch without such a space is a part of its own.
+texts are.  A text is tokenised in parts cut at single spaces between word characters, where
+neither tokenizer has a token that goes across (checked for B's vocabulary when it is loaded), so
+equal parts of a batch are read once, many at a time; one stretch without such a space is a part
+of its own.
 
 A linked pair's bytes end together, so one is a suffix of the other: their number is bounded by
 the two vocabularies (``Pair.bound``), not by the corpus, and the table of their counts over all
@@ -31,6 +32,7 @@ import json
 import os
 import re
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,10 @@ from pyspark.sql import types as T
 
 from plinth.llm.common import append, chunks, raw_texts, written
 
-#: Merge steps of a piece; bytes of a part that is tokenised at once.
-PIECE, PART_BYTES = 1 << 16, 1 << 16
+#: Merge steps of a piece; characters of a long text that are split into words at once; words read together.
+PIECE, BLOCK_CHARS, SENTENCE = 1 << 16, 1 << 20, 512
+#: Bytes of texts that are read and aligned together.
+CHUNK_BYTES = 2 << 20
 _CUT = re.compile(r"(?<=\w) (?=\w)")
 
 
@@ -59,11 +63,8 @@ class Pair:
     def __init__(self, a_json: bytes, b_model: bytes):
         self.a_json, self.b_model = a_json, b_model
 
-    def __getstate__(self):
-        return {"a_json": self.a_json, "b_model": self.b_model}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
+    def __reduce__(self):
+        return Pair, (self.a_json, self.b_model)
 
     @cached_property
     def a(self):
@@ -117,26 +118,73 @@ class Pair:
             return sum(held.get(t[i:], 0) for t in those for i in range(len(t)))
         return of(self.a_bytes, self.b_bytes) + of(self.b_bytes, self.a_bytes)
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """A's and B's ids of each text, of space + text."""
-        parts, owner = [], []
-        for k, t in enumerate(texts):
-            some = list(_parts(t)) if t else []
-            parts += some
-            owner += [k] * len(some)
-        out: list[tuple[list[int], list[int]]] = [([], []) for _ in texts]
-        found_a = self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)
-        for k, a, b in zip(owner, found_a, self.b.encode(parts, num_threads=1), strict=True):
-            out[k][0].extend(a.ids)
-            out[k][1].extend(b)
-        return out
-
-
-def _parts(text: str):
-    """The text cut at some single spaces, which are left out."""
+    def tokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(A's ids, how many of each word, B's ids, how many of each word, whether the bytes are those of
+        space + word) for words that no token joins with a neighbour."""
+        found_a = [x.ids for x in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+        found_b = self.b.encode(words, num_threads=1)
+        out = []
+        for ids in (found_a, found_b):
+            out += [np.fromiter(chain.from_iterable(ids), np.int32), np.array([len(x) for x in ids], np.int64)]
+        same = [_joined(self.a_bytes, a) == _joined(self.b_bytes, b) == b" " + w.encode()
+                for w, a, b in zip(words, found_a, found_b, strict=True)]
+        return *out, np.array(same, bool)
+
+    def sentence_tokens(self, words: list[str]):
+        """As ``tokens``, for words with word characters at both ends: read as sentences of them."""
+        lists = [words[i:i + SENTENCE] for i in range(0, len(words), SENTENCE)]
+        a_ids, a_counts, b_ids, b_counts, same = self.tokens([" ".join(x) for x in lists])
+        if not same.all():                                                 # a byte differs somewhere: word by word
+            return self.tokens(words)
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        out = []
+        for ids, size in ((a_ids, self.sizes[0]), (b_ids, self.sizes[1])):
+            out += [ids, np.diff(np.searchsorted(np.cumsum(size[ids]), ends) + 1, prepend=0)]
+        return *out, np.ones(len(words), bool)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A's and B's ids of space + text for the texts one after the other, and their numbers for each text;
+        none where the bytes of one differ from it.  Equal words of the texts are read once."""
+        parts = [_CUT.split(t) if t else [] for t in texts]
+        flat = list(chain.from_iterable(parts))
+        index = {w: i for i, w in enumerate(dict.fromkeys(flat))}
+        order = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
+        # only the first and the last part of a text can begin or end without a word character
+        ends = {w for some, t in zip(parts, texts, strict=True) if some for w in (some if "▁" in t else (some[0], some[-1]))}
+        other = [w for w in index if w in ends and not _plain(w)]
+        plain = [w for w in index if w not in ends or _plain(w)]
+        found = [self.sentence_tokens(plain), self.tokens(other)]
+        place = np.empty(len(index), np.int64)
+        place[np.fromiter(map(index.__getitem__, chain(plain, other)), np.int64, len(index))] = np.arange(len(index))
+        order = place[order]
+        a_ids, a_counts, b_ids, b_counts, same = (np.concatenate(x) for x in zip(*found, strict=True))
+        text = np.repeat(np.arange(len(texts)), [len(x) for x in parts])
+        bad = np.zeros(len(texts), bool)
+        bad[text[~same[order]]] = True
+        order, text = order[~bad[text]], text[~bad[text]]
+        out, counts = [], np.zeros((len(texts), 2), np.int64)
+        for side, (ids, n) in enumerate(((a_ids, a_counts), (b_ids, b_counts))):
+            take = n[order]
+            first = (np.cumsum(n) - n)[order] - (np.cumsum(take) - take)
+            out.append(ids[np.repeat(first, take) + np.arange(take.sum())])
+            counts[:, side] = np.bincount(text, take, len(texts))
+        return *out, counts
+
+
+def _joined(table: list[bytes], ids: list[int]) -> bytes:
+    return b"".join(map(table.__getitem__, ids))
+
+
+def _plain(word: str) -> bool:
+    """Whether the word has word characters at both ends (and no mark that B reads as a space)."""
+    return (word[0].isalnum() or word[0] == "_") and (word[-1].isalnum() or word[-1] == "_") and "▁" not in word
+
+
+def _blocks(text: str):
+    """A long text cut at some single spaces between word characters, which are left out."""
     at = 0
-    while len(text) - at > PART_BYTES:
-        cut = _CUT.search(text, at + PART_BYTES)
+    while len(text) - at > BLOCK_CHARS:
+        cut = _CUT.search(text, at + BLOCK_CHARS)
         if not cut:
             break
         yield text[at:cut.start()]
@@ -186,15 +234,14 @@ class Aligned:
     """The alignment of several texts: their tokens one after the other, overlaps, groups and links."""
 
     def __init__(self, pair: Pair, texts: list[bytes]):
-        a_bytes, b_bytes = pair.a_bytes, pair.b_bytes
-        some_a, some_b, self.counts = [], [], np.zeros((len(texts), 2), np.int64)
-        for k, (ids, (a, b)) in enumerate(zip(texts, pair.encode([t.decode("utf-8", "replace") for t in texts]), strict=True)):
-            whole = b" " + ids
-            if ids and b"".join(map(a_bytes.__getitem__, a)) == whole == b"".join(map(b_bytes.__getitem__, b)):
-                some_a += a
-                some_b += b
-                self.counts[k] = len(a), len(b)
-        self.a, self.b = np.array(some_a, np.int64), np.array(some_b, np.int64)
+        some = [t.decode("utf-8", "replace") for t in texts]
+        if len(some) == 1 and len(some[0]) > BLOCK_CHARS:                  # a long text, block by block
+            found = [pair.encode([x]) for x in _blocks(some[0])]
+            whole = all(x[2].any() for x in found)
+            self.a, self.b = (np.concatenate([x[w] for x in found] if whole else [found[0][w][:0]]) for w in (0, 1))
+            self.counts = np.array([[len(self.a), len(self.b)]], np.int64)
+        else:
+            self.a, self.b, self.counts = pair.encode(some)
         a_end, b_end = np.cumsum(pair.sizes[0][self.a]), np.cumsum(pair.sizes[1][self.b])
         self.over_a, self.over_b = overlaps(a_end, b_end)
         ends = np.flatnonzero(a_end[self.over_a] == b_end[self.over_b])
@@ -212,7 +259,7 @@ class Aligned:
         group_a = np.repeat(np.arange(len(self.a_sizes)), self.a_sizes)
         group_b = np.repeat(np.arange(len(self.b_sizes)), self.b_sizes)
         line = np.empty(len(self.a) + len(self.b), np.int64)
-        a, b = self.a.copy(), self.b + 2 * n_a
+        a, b = self.a.astype(np.int64), self.b.astype(np.int64) + 2 * n_a
         a[self.link_a] += n_a
         b[self.link_b] += n_b
         line[np.arange(len(a)) + (np.cumsum(self.b_sizes) - self.b_sizes)[group_a]] = a
@@ -253,7 +300,7 @@ def align(df: DataFrame, pair: Pair, add: tuple[str, ...] = tuple(COLUMNS), text
             "a_sizes": lambda: (found.a_sizes, links), "b_sizes": lambda: (found.b_sizes, links),
             "overlap_a": lambda: (found.over_a - np.repeat(starts[0], over), over),
             "overlap_b": lambda: (found.over_b - np.repeat(starts[1], over), over),
-            "links": lambda: (found.a[found.link_a] * len(p.b_bytes) + found.b[found.link_b], links),
+            "links": lambda: (found.a[found.link_a].astype(np.int64) * len(p.b_bytes) + found.b[found.link_b], links),
             "n_a": lambda: found.counts[:, 0], "n_b": lambda: found.counts[:, 1], "n_groups": lambda: links,
             "groups_sha256": lambda: found.digests(p)}
         out = []
@@ -266,7 +313,7 @@ def align(df: DataFrame, pair: Pair, add: tuple[str, ...] = tuple(COLUMNS), text
         return out
 
     def columns(batch: pa.RecordBatch) -> list[pa.Array]:
-        parts = [some(texts) for _, texts in chunks(raw_texts(batch, text))]
+        parts = [some(texts) for _, texts in chunks(raw_texts(batch, text), CHUNK_BYTES)]
         return [pa.concat_arrays(p) for p in zip(*parts, strict=True)]
 
     return append(df, [(c, COLUMNS[c]) for c in add], columns, leave=() if keep_text else [text])

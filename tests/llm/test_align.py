@@ -104,13 +104,24 @@ def test_odd_texts_and_edge_rows(spark, pair, tools):
     assert align.aligned_scores(frame(spark, []), pair).count() == 0
 
 
-def test_long_texts_are_cut_without_a_trace(pair, monkeypatch):
+def test_long_texts_are_cut_without_a_trace(pair, tools, monkeypatch):
     rng = random.Random(3)
     words = ["alpha", "Übung", "it's", "42", "x.", "(y", "東京", "don't", "  ", "\n", "under_score", "ing", "a"]
     texts = [" ".join(rng.choices(words, k=400)) for _ in range(20)]
-    whole = pair.encode(texts)
-    monkeypatch.setattr(align, "PART_BYTES", 40)
-    assert pair.encode(texts) == whole and len(list(align._parts(texts[0]))) > 10
+    a_tool, b_tool = tools
+    texts += [*ODD, "x▁y z", "", "one"]
+    whole = [(a_tool.encode(" " + t, add_special_tokens=False).ids, b_tool.encode(t)) if t and "▁" not in t else ([], [])
+             for t in texts]
+    monkeypatch.setattr(align, "SENTENCE", 3)
+    a, b, counts = pair.encode(texts)
+    assert counts.tolist() == [[len(x), len(y)] for x, y in whole]
+    assert a.tolist() == [i for x, _ in whole for i in x] and b.tolist() == [i for _, x in whole for i in x]
+    monkeypatch.setattr(align, "BLOCK_CHARS", 40)
+    for t, want in zip(texts, whole, strict=True):
+        found = align.Aligned(pair, [t.encode()])
+        assert (found.a.tolist(), found.b.tolist()) == want
+    found = align.Aligned(pair, [("word " * 100 + "x▁y " + "word " * 100).encode()])
+    assert not len(found.a) and not found.counts.any() and found.digests(pair) == [""]
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
