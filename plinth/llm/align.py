@@ -12,8 +12,8 @@ whose two tokens end together are links; they end the groups.
 The texts of a batch are merged as one pair of lists, so pieces are equal whatever the lengths of
 texts are.  A text is tokenised in parts cut at single spaces between word characters, where
 neither tokenizer has a token that goes across (checked for B's vocabulary when it is loaded), so
-equal parts of a batch are read once, many at a time; one stretch without such a space is a part
-of its own.
+a worker reads equal parts once, many at a time; one stretch without such a space is a part of its
+own.
 
 A linked pair's bytes end together, so one is a suffix of the other: their number is bounded by
 the two vocabularies (``Pair.bound``), not by the corpus, and the table of their counts over all
@@ -44,8 +44,8 @@ from plinth.llm.common import append, chunks, raw_texts, written
 
 #: Merge steps of a piece; characters of a long text that are split into words at once; words read together.
 PIECE, BLOCK_CHARS, SENTENCE = 1 << 16, 1 << 20, 512
-#: Bytes of texts that are read and aligned together.
-CHUNK_BYTES = 2 << 20
+#: Bytes of texts that are read and aligned together, and words whose tokens a worker keeps between them.
+CHUNK_BYTES, KEPT_WORDS = 1 << 20, 300_000
 _CUT = re.compile(r"(?<=\w) (?=\w)")
 
 
@@ -62,6 +62,13 @@ class Pair:
 
     def __init__(self, a_json: bytes, b_model: bytes):
         self.a_json, self.b_model = a_json, b_model
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the words read so far: their numbers, and by number A's and B's ids, counts, equality."""
+        self.known: dict[str, int] = {}
+        none = np.zeros(0, np.int64)
+        self.read = [none.astype(np.int32), none, none.astype(np.int32), none, none.astype(bool)]
 
     def __reduce__(self):
         return Pair, (self.a_json, self.b_model)
@@ -144,20 +151,23 @@ class Pair:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A's and B's ids of space + text for the texts one after the other, and their numbers for each text;
-        none where the bytes of one differ from it.  Equal words of the texts are read once."""
+        none where the bytes of one differ from it.  Words that the worker has read before aren't read again."""
         parts = [_CUT.split(t) if t else [] for t in texts]
         flat = list(chain.from_iterable(parts))
-        index = {w: i for i, w in enumerate(dict.fromkeys(flat))}
-        order = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
+        if len(self.known) > KEPT_WORDS or len(self.read[0]) > 8 * KEPT_WORDS:
+            self.forget()
+        known = self.known
+        new = [w for w in dict.fromkeys(flat) if w not in known]
         # only the first and the last part of a text can begin or end without a word character
         ends = {w for some, t in zip(parts, texts, strict=True) if some for w in (some if "▁" in t else (some[0], some[-1]))}
-        other = [w for w in index if w in ends and not _plain(w)]
-        plain = [w for w in index if w not in ends or _plain(w)]
-        found = [self.sentence_tokens(plain), self.tokens(other)]
-        place = np.empty(len(index), np.int64)
-        place[np.fromiter(map(index.__getitem__, chain(plain, other)), np.int64, len(index))] = np.arange(len(index))
-        order = place[order]
-        a_ids, a_counts, b_ids, b_counts, same = (np.concatenate(x) for x in zip(*found, strict=True))
+        other = [w for w in new if w in ends and not _plain(w)]
+        plain = [w for w in new if w not in ends or _plain(w)]
+        if new:
+            found = [self.sentence_tokens(plain), self.tokens(other)]
+            self.read = [np.concatenate(x) for x in zip(self.read, *found, strict=True)]
+            known.update(zip(chain(plain, other), range(len(known), len(known) + len(new)), strict=True))
+        order = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
+        a_ids, a_counts, b_ids, b_counts, same = self.read
         text = np.repeat(np.arange(len(texts)), [len(x) for x in parts])
         bad = np.zeros(len(texts), bool)
         bad[text[~same[order]]] = True

@@ -116,6 +116,9 @@ def test_long_texts_are_cut_without_a_trace(pair, tools, monkeypatch):
     a, b, counts = pair.encode(texts)
     assert counts.tolist() == [[len(x), len(y)] for x, y in whole]
     assert a.tolist() == [i for x, _ in whole for i in x] and b.tolist() == [i for _, x in whole for i in x]
+    monkeypatch.setattr(align, "KEPT_WORDS", 5)                           # words are forgotten again and again
+    again = [pair.encode([t]) for t in texts]
+    assert np.concatenate([x[0] for x in again]).tolist() == a.tolist() and np.concatenate([x[1] for x in again]).tolist() == b.tolist()
     monkeypatch.setattr(align, "BLOCK_CHARS", 40)
     for t, want in zip(texts, whole, strict=True):
         found = align.Aligned(pair, [t.encode()])
