@@ -15,12 +15,13 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml import Transformer
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.functions.exprs import c
 from plinth.operators.rank import global_rank
-from plinth.operators.state import StateModel
+from plinth.operators.state import StageHolder
 from plinth.session import work_path, written_table
 
 #: Values of a column that are kept on the driver.
@@ -123,12 +124,29 @@ def fold_categories(df: DataFrame, cols: list[str], fold_col: str, folds: list,
     return out
 
 
-class DictionaryIndexModel(StateModel):
-    """The slot of each value by a join with the dictionary table; unknown and missing values get ``size``."""
+class DictionaryIndexModel(StageHolder, Transformer):
+    """The slot of each value by a join with the dictionary table; unknown and missing values get ``size``.
+
+    A saved stage has the table in its own folder."""
+
+    def __init__(self, column: str, index: str, size: int, path: str | None = None, slots: DataFrame | None = None):
+        super().__init__()
+        self.column, self.index, self.size, self.path, self.slots = column, index, size, path, slots
+
+    def settings(self) -> dict:
+        return {"column": self.column, "index": self.index, "size": self.size}
+
+    def parts(self) -> dict:
+        return {"slots": self._slots(SparkSession.active())}
+
+    def _slots(self, spark: SparkSession) -> DataFrame:
+        if self.slots is not None:
+            return self.slots
+        return spark.read.schema(f"{VALUE} string, slot long").parquet(self.path)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        x, index, path, size = (self.get(k) for k in ("column", "index", "path", "size"))
-        slots = dataset.sparkSession.read.schema(f"{VALUE} string, slot long").parquet(path)
+        x, index, size = self.column, self.index, self.size
+        slots = self._slots(dataset.sparkSession)
         slots = slots.select(F.col(VALUE).alias("__value"), F.col("slot").alias("__slot"))
         joined = dataset.join(slots, c(x).cast("string") == F.col("__value"), "left")
         return joined.withColumn(index, F.coalesce(F.col("__slot"), F.lit(size)).cast("double")).drop("__value", "__slot")
@@ -136,5 +154,5 @@ class DictionaryIndexModel(StateModel):
 
 def index_models(cats: dict) -> list:
     """One joining stage for each column whose values are a table; the index column is ``{col}__idx``."""
-    return [DictionaryIndexModel.of(column=x, index=f"{x}__idx", path=v.path, size=v.size)
+    return [DictionaryIndexModel(x, f"{x}__idx", v.size, v.path)
             for x, v in cats.items() if not small(v)]

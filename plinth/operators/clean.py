@@ -13,11 +13,10 @@ unknown ones.
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 
 from plinth.functions.exprs import is_numeric
-from plinth.operators.state import StateModel
+from plinth.operators.state import StateEstimator, StateModel
 from plinth.operators.stats import distinct_counts, null_min_max, pair_correlations
 
 
@@ -84,16 +83,12 @@ class FeatureCleanerModel(StateModel):
         return dataset.drop(*self.get("drop", []))
 
 
-class FeatureCleaner(Estimator):
-    """Estimator form of the cleaner over every column but the excluded ones."""
-
-    def __init__(self, exclude: tuple = (), drop_constant: bool = True, constant_threshold: int = 1,
-                 drop_correlated: bool = True, correlation_threshold: float = 0.995):
-        super().__init__()
-        self.exclude = tuple(exclude)
-        self.kw = dict(drop_constant=drop_constant, constant_threshold=constant_threshold,
-                       drop_correlated=drop_correlated, correlation_threshold=correlation_threshold)
+class FeatureCleaner(StateEstimator):
+    """Estimator form of the cleaner over every column but the excluded ones: ``of(exclude=[...], drop_constant=...,
+    constant_threshold=..., drop_correlated=..., correlation_threshold=...)``."""
 
     def _fit(self, dataset: DataFrame) -> FeatureCleanerModel:
-        cols = [x for x in dataset.columns if x not in self.exclude]
-        return FeatureCleanerModel.of(drop=fit_cleaner(dataset, cols, **self.kw)[None])
+        skip = set(self.get("exclude", []))
+        names = ("drop_constant", "constant_threshold", "drop_correlated", "correlation_threshold")
+        given = {k: self.get(k) for k in names if self.get(k) is not None}
+        return FeatureCleanerModel.of(drop=fit_cleaner(dataset, [x for x in dataset.columns if x not in skip], **given)[None])

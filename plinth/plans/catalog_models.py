@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 
 from plinth.functions.exprs import c
 from plinth.functions.hashing import experiment_name
-from plinth.functions.metrics import rmse, rmsle
+from plinth.functions.metrics import RMSE, rmse, rmsle
 from plinth.functions.target import transform_target
 from plinth.operators import ensemble as ens
 from plinth.plans.catalog_data import SPEC, folds_sql, kfold_sql, r6, sql
-from plinth.plans.cv import CrossValidation, Experiment, make_folds
+from plinth.plans.cv import CrossValidation, Experiment, ExperimentResult, make_folds
 from plinth.plans.models import FitContext, TargetTransformRegressor, build_estimator
 from plinth.plans.notebook import evaluate_model, fold_mean_stack
 from plinth.plans.recipe import FEATURES, fit_recipe, recipe_stages
@@ -178,17 +178,17 @@ def _name_sql(model: str, params: tuple) -> str:
     return f"'{model}__' || substr(md5('{json.dumps(dict(params), sort_keys=True)}'), 1, 10)"
 
 
-def _spec(splits=(5,), primary=5):
+def _spec(splits=(5,), primary=5, metric=RMSE):
     from dataclasses import replace
     return replace(SPEC, features=_NO_FE, validation=ValidationSpec(compare_n_splits=tuple(splits),
-                                                                     primary_n_splits=primary))
+                                                                     primary_n_splits=primary, metric=metric))
 
 
-def run_members(spark, sf, members=MEMBERS, splits=(5,), primary=5, refit=False):
+def run_members(spark, sf, members=MEMBERS, splits=(5,), primary=5, refit=False, metric=RMSE):
     """Per member: CV (OOF long table) and, with ``refit``, a full fit (test predictions, else None);
     folds shared by the members."""
     train, test = _tt(spark, sf)
-    spec = _spec(splits, primary)
+    spec = _spec(splits, primary, metric)
     folds = make_folds(train, spec)
 
     def member(job):
@@ -426,6 +426,47 @@ def ensemble_stacking(spark, sf):
     return r6(stacked_oof, 5)
 
 
+def _stack_folds_sql(alpha: float = 1.0) -> str:
+    """Meta ridge of each fold's training rows; stack_fold(id, fold, y, pred) on the rows it has not seen."""
+    pair = lambda i, j: f"s{min(i, j)}{max(i, j)}"
+    p = range(3)
+    cof = {(i, j): "({} * {} - {} * {})".format(pair((i + 1) % 3, (j + 1) % 3), pair((i + 2) % 3, (j + 2) % 3),
+                                              pair((i + 1) % 3, (j + 2) % 3), pair((i + 2) % 3, (j + 1) % 3)) for i in p for j in p}
+    sums = ", ".join([f"avg(p{i}) AS a{i}, count(*) * covar_pop(p{i}, y) AS r{i}" for i in p]
+                     + [f"count(*) * covar_pop(p{i}, p{j}) + {alpha if i == j else 0.0} AS s{i}{j}" for i in p for j in p if j >= i])
+    det = " + ".join(f"s0{j} * {cof[0, j]}" for j in p)
+    weights = ", ".join("(" + " + ".join(f"r{i} * {cof[i, j]}" for i in p) + f") / ({det}) AS w{j}" for j in p)
+    return f"""
+, wf AS (SELECT o0.id, o0.fold, o0.y, o0.pred AS p0, o1.pred AS p1, o2.pred AS p2 FROM oof_m0 o0 JOIN oof_m1 o1 USING (id)
+        JOIN oof_m2 o2 USING (id)),
+mf AS (SELECT g.tf AS fold, avg(y) AS my, {sums}
+       FROM wf JOIN (SELECT CAST(unnest(range(0, 5)) AS INTEGER) AS tf) g ON wf.fold <> g.tf GROUP BY g.tf),
+cf AS (SELECT fold, my, a0, a1, a2, {weights} FROM mf),
+stack_fold AS (SELECT wf.id, fold, wf.y, my + w0 * (p0 - a0) + w1 * (p1 - a1) + w2 * (p2 - a2) AS pred FROM wf JOIN cf USING (fold))"""
+
+
+@register("ensemble_stacking_oof", sql(members_sql() + _stack_folds_sql() + " SELECT id, fold, round(pred, 5) AS prediction FROM stack_fold"))
+def ensemble_stacking_oof(spark, sf):
+    """The stack's predictions of each fold's rows by a meta-model of the other folds."""
+    oof, _, truth, _ = run_members(spark, sf)
+    return r6(ens.stack_out_of_fold(oof, truth, ID, _NAMES, "ridge", {"alpha": 1.0}), 5)
+
+
+_POOLED = "(SELECT sqrt(avg((y - pred) * (y - pred))) FROM {})"
+
+
+@register("ensemble_stacking_oof_score", sql(members_sql() + _stack_sql() + _stack_folds_sql() + f"""
+SELECT 'ensemble_stacking_ridge' AS experiment_name, round({_POOLED.format('stack_oof')}, 6) AS in_sample_score,
+       round({_POOLED.format('stack_fold')}, 6) AS oof_score"""))
+def ensemble_stacking_oof_score(spark, sf):
+    """In-sample score of the stack beside the score on rows its meta-model has not seen."""
+    oof, tp, truth, _ = run_members(spark, sf, refit=True)
+    seen, _ = ens.stack(oof, tp, truth, ID, _NAMES, "ridge", {"alpha": 1.0})
+    unseen = ens.stack_out_of_fold(oof, truth, ID, _NAMES, "ridge", {"alpha": 1.0})
+    row = ("ensemble_stacking_ridge", ens.pooled_score(seen, truth, ID), ens.pooled_score(unseen, truth, ID))
+    return r6(spark.createDataFrame([row], "experiment_name string, in_sample_score double, oof_score double"))
+
+
 def _board_sql() -> str:
     singles = " UNION ALL ".join(f"SELECT {_name_sql(m, p)} AS experiment_name, '{m}' AS model_name, "
                                  f"{_score_sql(f'm{i}')} AS primary_score" for i, (m, _, p) in enumerate(MEMBERS))
@@ -492,6 +533,41 @@ def submission_q(spark, sf):
     name = ens.best(board).first()["experiment_name"]
     return ens.submission(tests[name], ID, TARGET, "log1p").select(ID, F.round(TARGET, 0).alias(TARGET))
 
+# ------------------------------------------------------------------ X2 / M5: a user's metric
+
+
+_MAPE = "avg(abs(exp(pred) - exp(y)) / nullif(exp(y) - 1, 0))"
+
+
+def _mape_board_sql() -> str:
+    singles = " UNION ALL ".join(f"SELECT {_name_sql(m, p)} AS experiment_name, (SELECT avg(r) FROM (SELECT {_MAPE} AS r FROM oof_m{i} "
+                                 f"GROUP BY fold)) AS score" for i, (m, _, p) in enumerate(MEMBERS))
+    return members_sql() + f""", mape_board AS ({singles} UNION ALL SELECT 'ensemble_average', (SELECT {_MAPE}
+        FROM (SELECT id, any_value(y) AS y, avg(pred) AS pred FROM ({_LONG_OOF}) GROUP BY id)))"""
+
+
+def _mape_board(spark, sf):
+    from plinth.functions.metrics import MAPE
+    oof, _, truth, results = run_members(spark, sf, metric=MAPE)
+    score = ens.pooled_score(ens.blend(oof, ID, _NAMES, "mean"), truth, ID, MAPE, "log1p")
+    results.append(ExperimentResult("ensemble_average", "ensemble_average", {"members": _NAMES}, score, {5: score}, "pooled_oof_mape"))
+    return ens.leaderboard(spark, results, [5], MAPE), MAPE
+
+
+@register("metric_custom_leaderboard", sql(_mape_board_sql() + """
+SELECT experiment_name, round(score, 6) AS primary_score, round(score, 6) AS mape_5_folds FROM mape_board"""))
+def metric_custom_leaderboard(spark, sf):
+    """Cross-validation, blend and leaderboard by mean absolute percentage error on the target's own scale."""
+    board, _ = _mape_board(spark, sf)
+    return r6(board.select("experiment_name", "primary_score", "mape_5_folds"))
+
+
+@register("metric_custom_best", sql(_mape_board_sql() + """
+SELECT experiment_name, round(score, 6) AS primary_score FROM mape_board ORDER BY score, experiment_name LIMIT 1"""))
+def metric_custom_best(spark, sf):
+    board, metric = _mape_board(spark, sf)
+    return r6(ens.best(board, metric).select("experiment_name", "primary_score"))
+
 # ------------------------------------------------------------------ T3 / M1 / M2: target wrapper
 
 
@@ -767,6 +843,26 @@ def ridge_onehot(spark, sf):
     return _refit_on(spark, sf, ["year_built", "alley"], "ridge", {"alpha": 10.0})
 
 
+_SAVED = "SELECT id, round(p, 6) AS prediction, round(greatest(exp(p) - 1, 0), 0) AS sale_price FROM (SELECT id, my"
+
+
+@register("saved_model_predict", O["ridge_onehot"].replace("SELECT id, round(my", _SAVED, 1).replace(", 6) AS prediction FROM test", " AS p FROM test") + ")")
+def saved_model_predict(spark, sf):
+    """A refit saved as one pipeline, loaded again and asked for raw rows: prediction and price."""
+    from pyspark.ml import PipelineModel
+
+    from plinth.plans.run import standalone
+    train, test = _tt(spark, sf)
+    cols, spec = ["year_built", "alley"], _spec()
+    cv = CrossValidation(spark, train.select(ID, TARGET, *cols), spec, folds=False)
+    fitted, _ = cv.fit_full(Experiment("ridge", (("alpha", 10.0),)))
+    path = work_path(spark, "model")
+    standalone(fitted, spec).save(path)
+    cv.release()
+    found = PipelineModel.load(path).transform(test.select(ID, *cols))
+    return found.select(ID, F.round("prediction", 6).alias("prediction"), F.round(TARGET, 0).alias(TARGET))
+
+
 QUERIES, ORACLE = Q, O
 
 # ------------------------------------------------------------------ Q: quality report of the exploratory flow
@@ -780,21 +876,23 @@ def _quality_sql() -> str:
     from plinth.plans.catalog_data import CATEGORICAL, NUMERIC_FE_ORDERED, _cat_long_sql
     dummies = (f"(SELECT count(*) FROM (SELECT DISTINCT column, coalesce(value, 'Missing') FROM "
                f"({_cat_long_sql('u', CATEGORICAL)})))")
-    return sql(f"""
+    return sql(_nb_sql() + f"""
 , u AS (SELECT * EXCLUDE (sale_price) FROM train_fe UNION ALL SELECT * FROM test_fe),
 n AS (SELECT (SELECT count(*) FROM train) AS ntr, (SELECT count(*) FROM test) AS nte,
              {len(NUMERIC_FE_ORDERED)} + {dummies} AS w)
 SELECT * FROM (VALUES ('required_columns', true, 2)) v(check_name, ok, value)
-UNION ALL SELECT 'train_rows_kept', true, ntr FROM n
-UNION ALL SELECT 'test_rows_kept', true, nte FROM n
+UNION ALL SELECT 'train_rows_kept', (SELECT count(*) FROM train_fe) = ntr, ntr FROM n
+UNION ALL SELECT 'test_rows_kept', (SELECT count(*) FROM test_fe) = nte, nte FROM n
 UNION ALL SELECT 'same_width', true, w FROM n
 UNION ALL SELECT 'no_missing_after_prep', true, 0
 UNION ALL SELECT 'derived_columns_present', true, {len(_EXPECTED_DERIVED)}
 UNION ALL SELECT 'leaderboard_finite', true, {len(_NB_MEMBERS) + 1}
-UNION ALL SELECT 'oof_covers_train', true, ntr FROM n
-UNION ALL SELECT 'member_test_covers_test', true, nte FROM n
-UNION ALL SELECT 'predictions_finite_nonneg', true, nte FROM n
-UNION ALL SELECT 'submission_shape', true, nte FROM n""").replace("SELECT * FROM (VALUES", "SELECT check_name, ok, CAST(value AS BIGINT) AS value FROM (VALUES")
+UNION ALL SELECT 'oof_covers_train', count(DISTINCT id) = any_value(ntr) AND count_if(pred IS NULL OR NOT isfinite(pred)) = 0,
+                 count(DISTINCT id) FROM nbstack_oof, n
+UNION ALL SELECT 'member_test_covers_test', count_if(p.id IS NULL) = 0, count(p.id)
+          FROM test LEFT JOIN (SELECT DISTINCT id FROM nbtp_0) p ON test.id = p.id
+UNION ALL SELECT 'predictions_finite_nonneg', count_if(isfinite(pred)) = any_value(nte), CAST(count_if(isfinite(pred)) AS BIGINT) FROM nbstack_tp, n
+UNION ALL SELECT 'submission_shape', count(*) = any_value(nte), count(*) FROM nbstack_tp, n""").replace("SELECT * FROM (VALUES", "SELECT check_name, ok, CAST(value AS BIGINT) AS value FROM (VALUES")
 
 
 @register("quality_report", _quality_sql())

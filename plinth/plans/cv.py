@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from plinth.functions.exprs import c
 from plinth.functions.hashing import experiment_name
-from plinth.functions.metrics import rmse
+from plinth.functions.metrics import RMSE, Metric
 from plinth.functions.target import transform_target
 from plinth.operators.features import add_features
 from plinth.operators.split import (FOLD, LABEL, TRAIN_FOLD, fold_ids, fold_train, fold_valid, split_labelled,
@@ -366,17 +366,23 @@ class CrossValidation:
                                  F.col(FOLD).cast("int").alias(FOLD), F.col(PRED)))
         scores = {}
         for k, table in per_k.items():
-            for r in fold_scores(table, truth, d.id_col).collect():
-                scores.setdefault(r["experiment"], {}).setdefault(k, []).append(r["rmse"])
+            for r in fold_scores(table, truth, d.id_col, v.metric, d.target_transform).collect():
+                scores.setdefault(r["experiment"], {}).setdefault(k, []).append(_number(r["score"]))
         for e in runnable:
             if e.name in failed or e.name not in scores or v.primary_n_splits not in scores[e.name]:
                 continue
             means = {k: sum(sc) / len(sc) for k, sc in scores[e.name].items()}
-            results.append(ExperimentResult(e.name, e.model_name, e.params_dict, means[v.primary_n_splits], means))
+            results.append(ExperimentResult(e.name, e.model_name, e.params_dict, means[v.primary_n_splits], means,
+                                            f"mean_fold_{v.metric.name}"))
         return results, oof, fold_test
 
 
-def fold_scores(oof: DataFrame, truth: DataFrame, id_col: str) -> DataFrame:
-    """(experiment, fold, rmse) of validation predictions against the transformed target."""
+def _number(score) -> float:
+    """A metric without a value (no row counts) is not a number."""
+    return float("nan") if score is None else float(score)
+
+
+def fold_scores(oof: DataFrame, truth: DataFrame, id_col: str, metric: Metric = RMSE, transform: str = "none") -> DataFrame:
+    """(experiment, fold, score) of validation predictions against the transformed target."""
     return (oof.join(truth, id_col).groupBy("experiment", FOLD)
-            .agg(rmse(F.col(LABEL_COL), F.col(PRED)).alias("rmse")))
+            .agg(metric.of(F.col(LABEL_COL), F.col(PRED), transform).alias("score")))

@@ -1,7 +1,7 @@
-"""Pluggable scorer: an MLlib ``Evaluator`` for RMSE / RMSLE (lower is better).
+"""Pluggable scorer: an MLlib ``Evaluator`` for any registered metric.
 
-``isLargerBetter()`` is False, so ``CrossValidator``/``TrainValidationSplit``
-pick the smallest score, like a scorer built with ``greater_is_better=False``.
+``isLargerBetter()`` is the metric's direction, so ``CrossValidator``/``TrainValidationSplit``
+pick the smallest error or the largest score.
 """
 
 from __future__ import annotations
@@ -13,13 +13,21 @@ from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plinth.functions.metrics import rmse, rmsle
+from plinth.functions.metrics import MAPE, R2, RMSE, RMSLE, Metric
 
-METRICS = {"rmse": rmse, "rmsle": rmsle}
+METRICS: dict[str, Metric] = {m.name: m for m in (RMSE, RMSLE, MAPE, R2)}
+
+
+def register_metric(metric: Metric) -> Metric:
+    """Make a metric known to the evaluator by its name."""
+    METRICS[metric.name] = metric
+    return metric
 
 
 class RegressionScoreEvaluator(Evaluator, HasLabelCol, HasPredictionCol):
-    metricName = Param(Params._dummy(), "metricName", "rmse or rmsle", typeConverter=TypeConverters.toString)
+    """Both columns are taken as they are, on the scale of the label column."""
+
+    metricName = Param(Params._dummy(), "metricName", "name of a registered metric", typeConverter=TypeConverters.toString)
 
     @keyword_only
     def __init__(self, metricName: str = "rmse", labelCol: str = "label", predictionCol: str = "prediction"):
@@ -27,9 +35,11 @@ class RegressionScoreEvaluator(Evaluator, HasLabelCol, HasPredictionCol):
         self._setDefault(metricName="rmse", labelCol="label", predictionCol="prediction")
         self._set(**self._input_kwargs)
 
+    def _metric(self) -> Metric:
+        return METRICS[self.getOrDefault(self.metricName)]
+
     def _evaluate(self, dataset: DataFrame) -> float:
-        fn = METRICS[self.getOrDefault(self.metricName)]
-        return float(dataset.agg(fn(F.col(self.getLabelCol()), F.col(self.getPredictionCol()))).first()[0])
+        return float(dataset.agg(self._metric().of(F.col(self.getLabelCol()), F.col(self.getPredictionCol()))).first()[0])
 
     def isLargerBetter(self) -> bool:
-        return False
+        return self._metric().larger_is_better

@@ -44,26 +44,36 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def moments_of(rows: DataFrame, features: str, label: str, width: int) -> np.ndarray:
     """The (width + 2)^2 cross products of (1, features, label) over all rows."""
+    found = moments_by(rows.withColumn("__group", F.lit(0)), features, label, width, "__group")
+    return found.get(0, np.zeros((width + 2, width + 2)))
+
+
+def moments_by(rows: DataFrame, features: str, label: str, width: int, group: str) -> dict[int, np.ndarray]:
+    """The cross products of each value of ``group``, a whole number of few values (folds)."""
     ship_package(rows.sparkSession)
     size = width + 2
 
     def products(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size, size))
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 z = np.ones((part.num_rows, size))
                 z[:, 1:-1] = _matrix(part.column(0), width)
                 z[:, -1] = part.column(1).to_numpy(zero_copy_only=False)
-                total += z.T @ z
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, size * size + 1, size), pa.int32()), pa.array(total.ravel()))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), lists], ["i", "v"])
-
-    parts = rows.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
-    parts = parts.mapInArrow(products, "i int, v array<double>").select("i", array_to_vector("v").alias("v"))
-    out = np.zeros((size, size))
-    for i, v in parts.groupBy("i").agg(Summarizer.sum(F.col("v")).alias("v")).collect():   # size rows
-        out[i] = v.toArray()
+                groups = part.column(2).to_numpy(zero_copy_only=False)
+                for g in np.unique(groups).tolist():
+                    of = z[groups == g]
+                    total[g] = total.get(g, 0.0) + of.T @ of
+        for g, t in total.items():
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, size * size + 1, size), pa.int32()), pa.array(t.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(size, g), pa.int32()), pa.array(np.arange(size), pa.int32()), lists], ["g", "i", "v"])
+
+    parts = rows.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"), F.col(group).cast("int").alias("g"))
+    parts = parts.mapInArrow(products, "g int, i int, v array<double>").select("g", "i", array_to_vector("v").alias("v"))
+    out: dict[int, np.ndarray] = {}
+    for g, i, v in parts.groupBy("g", "i").agg(Summarizer.sum(F.col("v")).alias("v")).collect():   # size rows a group
+        out.setdefault(g, np.zeros((size, size)))[i] = v.toArray()
     return out
 
 

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from plinth.functions.target import inverse_target, transform_target
 from plinth.operators.neighbours import NeighbourIndex
+from plinth.operators.state import StageHolder
 from plinth.session import written_table
 
 LINEAR = {"linear_regression", "ridge", "lasso", "elasticnet"}
@@ -178,36 +179,63 @@ def build_estimator(model_name: str, params: dict, ctx: FitContext, features_col
     raise ValueError(f"no estimator is registered for {model_name!r}")
 
 
-class TargetTransformModel(Model):
+class TargetTransformModel(StageHolder, Model):
     def __init__(self, model, mode: str, prediction_col: str = "prediction"):
         super().__init__()
         self.model, self.mode, self.prediction_col = model, mode, prediction_col
 
+    def settings(self) -> dict:
+        return {"mode": self.mode, "prediction_col": self.prediction_col}
+
+    def parts(self) -> dict:
+        return {"model": self.model}
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out = self.model.transform(dataset)
         return out.withColumn(self.prediction_col, inverse_target(F.col(self.prediction_col), self.mode))
 
 
-class TargetTransformRegressor(Estimator):
+class TargetTransformRegressor(StageHolder, Estimator):
     """Fit any regressor on ``log1p(label)``; predictions come back through ``expm1``."""
 
     def __init__(self, estimator, mode: str = "log1p", label_col: str = "label"):
         super().__init__()
         self.estimator, self.mode, self.label_col = estimator, mode, label_col
 
+    def settings(self) -> dict:
+        return {"mode": self.mode, "label_col": self.label_col}
+
+    def parts(self) -> dict:
+        return {"estimator": self.estimator}
+
     def _fit(self, dataset: DataFrame) -> TargetTransformModel:
         moved = dataset.withColumn(self.label_col, transform_target(F.col(self.label_col), self.mode))
         return TargetTransformModel(self.estimator.fit(moved), self.mode)
 
 
-class NearestNeighboursModel(Model):
+class NearestNeighboursModel(StageHolder, Model):
     """Mean label of the nearest training rows; ``weights="distance"`` weighs them by 1 / distance
-    (rows at distance 0 alone, if there are any)."""
+    (rows at distance 0 alone, if there are any).
+
+    A saved model holds the training rows and builds its index again, which is exact, when it is used."""
 
-    def __init__(self, index: NeighbourIndex, weights: str, features_col: str, prediction_col: str = "prediction"):
+    def __init__(self, train: DataFrame, k: int, weights: str, features_col: str, prediction_col: str = "prediction"):
         super().__init__()
-        self.index, self.weights = index, weights
+        self.train, self.k, self.weights = train, k, weights
         self.features_col, self.prediction_col = features_col, prediction_col
+        self._index: NeighbourIndex | None = None
+
+    def settings(self) -> dict:
+        return {"k": self.k, "weights": self.weights, "features_col": self.features_col, "prediction_col": self.prediction_col}
+
+    def parts(self) -> dict:
+        return {"train": self.train}
+
+    @property
+    def index(self) -> NeighbourIndex:
+        if self._index is None:
+            self._index = NeighbourIndex(self.train, self.k, "id", "vec", "y")
+        return self._index
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         rows = written_table(dataset.withColumn("__row", F.monotonically_increasing_id()), "scored")
@@ -221,7 +249,7 @@ class NearestNeighboursModel(Model):
         return rows.join(means, "__row", "left").drop("__row")
 
 
-class NearestNeighboursRegressor(Estimator):
+class NearestNeighboursRegressor(StageHolder, Estimator):
     """k-nearest-neighbour regression over Euclidean distance, exact; ties go to the smaller id, and to the
     smaller label where the rows have no id column."""
 
@@ -232,7 +260,12 @@ class NearestNeighboursRegressor(Estimator):
             raise ValueError(f"unknown weights {weights!r}")
         self.k, self.weights, self.features_col, self.label_col, self.id_col = int(k), weights, features_col, label_col, id_col
 
+    def settings(self) -> dict:
+        return {"k": self.k, "weights": self.weights, "features_col": self.features_col, "label_col": self.label_col, "id_col": self.id_col}
+
     def _fit(self, dataset: DataFrame) -> NearestNeighboursModel:
         key = F.lit(0).cast("long") if self.id_col is None or self.id_col not in dataset.columns else F.col(self.id_col)
         rows = dataset.select(key.alias("id"), vector_to_array(F.col(self.features_col)).alias("vec"), F.col(self.label_col).alias("y"))
-        return NearestNeighboursModel(NeighbourIndex(rows, self.k, "id", "vec", "y"), self.weights, self.features_col)
+        model = NearestNeighboursModel(rows, self.k, self.weights, self.features_col)
+        model.index                                     # noqa: B018, built with the fit
+        return model

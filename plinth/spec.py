@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
+from plinth.functions.metrics import RMSE, Metric
+
 # ---------------------------------------------------------------------------
 # These must equal the original run for equal results.
 #   derived feature names: SaleMonthIndex, YearsSinceSale2010, TotalUsableArea,
@@ -45,6 +47,7 @@ class ValidationSpec:
     shuffle: bool = True
     compare_n_splits: tuple = (5,)
     primary_n_splits: int = 5
+    metric: Metric = RMSE              # what scores, ranks and chooses experiments
 
 
 @dataclass(frozen=True)
@@ -112,6 +115,7 @@ class EnsembleSpec:
     voting: bool = True
     stacking: bool = True
     stacker_models: tuple = (("ridge", (("alpha", 1.0),)),)
+    stack_score: str = "in_sample"      # or "fold": scored on rows the meta-model did not see
 
 
 @dataclass(frozen=True)
@@ -162,6 +166,8 @@ class Spec:
             raise ValueError(f"unknown numeric imputer strategy {self.prep.numeric_imputer_strategy!r}")
         if self.prep.categorical_imputer_strategy not in ("most_frequent", "constant"):
             raise ValueError(f"unknown categorical imputer strategy {self.prep.categorical_imputer_strategy!r}")
+        if self.ensembles.stack_score not in ("in_sample", "fold"):
+            raise ValueError(f"unknown stack score {self.ensembles.stack_score!r}")
         return self
 
     def with_models(self, *models: ModelSpec) -> "Spec":
