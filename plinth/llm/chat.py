@@ -12,7 +12,8 @@ these small matrices, of the first and last conversation of each partition only,
 driver, which fixes the roles at the cuts; then each part decodes between its fixed ends.  The
 result is that of one Viterbi run over the whole conversation.
 
-Rates are counts over all rows whose role is known, pairs across cuts included.
+Rates are counts over all rows whose role is known, pairs across cuts included, summed in Spark.  Turn marks
+inside a text are escaped, which ``unescape`` undoes.
 
 Defined results: a null text is empty; equal turn numbers follow the order of their texts' hashes;
 a null turn comes first and rows of null conversation are one conversation; repeated rows are turns
@@ -52,9 +53,19 @@ def strip_marker(text: Column) -> Column:
     return F.regexp_replace(text, _SHAPE % "|".join(MARKERS.values()), "")
 
 
+def escape(text: Column) -> Column:
+    """The text with its own turn marks made harmless: each gets one backslash more behind its "<"."""
+    return F.regexp_replace(text, r"<(\\*)\|im_(start|end)\|>", r"<\\$1|im_$2|>")
+
+
+def unescape(text: Column) -> Column:
+    """The text that ``escape`` was given."""
+    return F.regexp_replace(text, r"<\\(\\*)\|im_(start|end)\|>", "<$1|im_$2|>")
+
+
 def render(role: Column, text: Column) -> Column:
-    """The canonical form of one turn."""
-    return F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), F.trim(text), F.lit("<|im_end|>\n"))
+    """The canonical form of one turn; no text can end it or begin another."""
+    return F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), escape(F.trim(text)), F.lit("<|im_end|>\n"))
 
 
 def _ordered(turns: DataFrame) -> DataFrame:
@@ -187,8 +198,10 @@ def parse(transcripts: DataFrame, conv: str = "conv_id", turn: str = "turn", tex
                                F.xxhash64(body, role).alias("tie"), state.alias("state"), symbol(body).alias("symbol"))
     turns = _ordered(turns)
     narrow = turns.select("part", "conv", "turn_no", "tie", "state", "symbol")
-    rows = narrow.groupBy("part").applyInPandas(_counts, "part int, kind string, i int, j int, n long").collect()
-    model = Model([tuple(r) for r in rows])
+    counts = written(narrow.groupBy("part").applyInPandas(_counts, "part int, kind string, i int, j int, n long"), "counts")
+    ends = F.col("kind").isin("first", "last")                      # two rows for each part
+    sums = counts.filter(~ends).groupBy("kind", "i", "j").agg(F.sum("n")).collect()      # one for each rate
+    model = Model([tuple(r) for r in counts.filter(ends).collect()] + [(-1, *r) for r in sums])
     edges = narrow.groupBy("part").applyInPandas(_edges(model), "part int, conv long, best array<double>").collect()
     fixed = fixed_ends([(r["part"], r["conv"], r["best"]) for r in edges])
 
