@@ -16,8 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from plinth.functions.exprs import is_numeric
+from plinth.operators.correlate import later_columns
 from plinth.operators.state import StateEstimator, StateModel
-from plinth.operators.stats import distinct_counts, null_min_max, pair_correlations
+from plinth.operators.stats import distinct_counts, null_min_max
 
 
 def constant_columns(df: DataFrame, cols: list[str], threshold: int = 1, group: str | None = None) -> dict:
@@ -39,26 +40,6 @@ def constant_columns(df: DataFrame, cols: list[str], threshold: int = 1, group:
     return out
 
 
-def correlated_columns(df: DataFrame, cols_by_group: dict, threshold: float, group: str | None = None) -> dict:
-    """{g: [later column of each pair above ``threshold``]}, pairs restricted per group."""
-    union = []
-    for cols in cols_by_group.values():
-        union += [x for x in cols if x not in union]
-    order = [x for x in df.columns if x in union]
-    if len(order) < 2:
-        return {g: [] for g in cols_by_group}
-    corr = pair_correlations(df, order, group)
-    out: dict = {}
-    for g, cols in cols_by_group.items():
-        allowed = set(cols)
-        drop = []
-        for (a, b), r in corr.get(g, {}).items():
-            if a in allowed and b in allowed and r is not None and round(r, 12) > threshold and b not in drop:
-                drop.append(b)
-        out[g] = drop
-    return out
-
-
 def fit_cleaner(df: DataFrame, cols: list[str], drop_constant: bool = True, constant_threshold: int = 1,
                 drop_correlated: bool = True, correlation_threshold: float = 0.995,
                 group: str | None = None, groups: list | None = None) -> dict:
@@ -71,7 +52,7 @@ def fit_cleaner(df: DataFrame, cols: list[str], drop_constant: bool = True, cons
     if drop_correlated:
         types = dict((f.name, f.dataType) for f in df.schema.fields)
         remaining = {g: [x for x in cols if x not in drops.get(g, []) and is_numeric(types[x])] for g in keys}
-        for g, names in correlated_columns(df, remaining, correlation_threshold, group).items():
+        for g, names in later_columns(df, remaining, correlation_threshold, group).items():
             drops.setdefault(g, []).extend(names)
     return {g: sorted(set(v)) for g, v in drops.items()}
 

@@ -12,10 +12,8 @@ from pyspark.sql import functions as F
 
 from plinth.functions.exprs import c, nan_to_null
 from plinth.operators.quantile import COLUMN, PROB, VALUE, quantile_dict
-from plinth.session import ship_package
 
 GROUP = "__group"
-SALT = 256                       # reducers a group's moment blocks are spread over before the last sum
 
 
 def _grouped(df: DataFrame, group: str | None) -> tuple[DataFrame, list]:
@@ -112,83 +110,8 @@ def modes(df: DataFrame, cols: list[str], group: str | None = None, as_text: boo
     return out
 
 
-def _moment_blocks(batches, cols: list[str], shifts: dict):
-    """Per partition: for every group, the pairwise-complete sums as one flat array.
-
-    With M the presence mask and X the shifted values (0 where missing):
-    N = M'M (rows where both are present), S = X'M (sum of a where b is
-    present), Q = (X*X)'M, P = X'X.  Four p x p blocks per group.
-    """
-    import numpy as np
-    import pandas as pd
-    acc: dict = {}
-    for pdf in batches:
-        for g, part in pdf.groupby(GROUP, sort=False):
-            x = part[cols].to_numpy(dtype="float64") - shifts[g]
-            m = ~np.isnan(x)
-            x = np.where(m, x, 0.0)
-            mf = m.astype("float64")
-            blocks = np.stack([mf.T @ mf, x.T @ mf, (x * x).T @ mf, x.T @ x])
-            acc[g] = blocks if g not in acc else acc[g] + blocks
-    if acc:
-        yield pd.DataFrame({GROUP: list(acc), "m": [v.ravel() for v in acc.values()]})
-
-
-def _summed_blocks(vals: DataFrame, names: list[str], shifts: dict) -> dict:
-    """{group: array (4, p, p)}: the tasks' blocks summed in two levels, by (group, task mod SALT) and
-    then by group, so that no reducer takes the blocks of all tasks."""
-    import numpy as np
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
-
-    ship_package(vals.sparkSession)
-    p = len(names)
-    parts = (vals.mapInPandas(lambda it: _moment_blocks(it, names, shifts), f"{GROUP} long, m array<double>")
-             .select(GROUP, (F.spark_partition_id() % SALT).alias("__salt"), array_to_vector("m").alias("m")))
-    for level in ([GROUP, "__salt"], [GROUP]):
-        parts = parts.groupBy(*level).agg(Summarizer.sum(F.col("m")).alias("m"))
-    return {r[GROUP]: np.asarray(r["m"].toArray()).reshape(4, p, p) for r in parts.collect()}
-
-
-def pair_correlations(df: DataFrame, cols: list[str], group: str | None = None) -> dict:
-    """{g: {(a, b): |pearson|}} for a before b in ``cols``, pairwise-complete rows.
-
-    One pass: each task turns its Arrow batches into four p x p moment blocks
-    per group (matrix products, shifted by the group means for accuracy), the
-    blocks are summed by ``Summarizer`` (partial aggregation, one small vector
-    per task), and the driver gets 4 p^2 numbers per group.  A constant pair
-    gives NULL (pandas gives NaN), never an error.
-    """
-    import numpy as np
-
-    gdf, keys = _grouped(df, group)
-    p = len(cols)
-    vals = gdf.select(F.col(GROUP).cast("long").alias(GROUP),
-                      *[nan_to_null(c(x).cast("double")).alias(f"v{i}") for i, x in enumerate(cols)])
-    names = [f"v{i}" for i in range(p)]
-    mean_rows = vals.groupBy(GROUP).agg(*[F.avg(n).alias(n) for n in names]).collect()
-    shifts = {r[GROUP]: np.array([0.0 if r[n] is None else r[n] for n in names]) for r in mean_rows}
-    out: dict = {}
-    for key, (n, s, q, pp) in _summed_blocks(vals, names, shifts).items():
-        g = _key(group, key)
-        res = {}
-        for i in range(p):
-            for j in range(i + 1, p):
-                nij = n[i, j]
-                if nij < 2:
-                    res[(cols[i], cols[j])] = None
-                    continue
-                cov = pp[i, j] - s[i, j] * s[j, i] / nij
-                va = q[i, j] - s[i, j] ** 2 / nij
-                vb = q[j, i] - s[j, i] ** 2 / nij
-                den = va * vb
-                res[(cols[i], cols[j])] = None if den <= 0 else float(abs(cov) / np.sqrt(den))
-        out[g] = res
-    return out
-
-
 __all__ = ["GROUP", "null_min_max", "distinct_counts", "moments", "quantiles_by_group", "modes",
-           "pair_correlations", "PROB", "VALUE", "COLUMN"]
+           "PROB", "VALUE", "COLUMN"]
 
 
 # ---------------------------------------------------------------------------
@@ -198,8 +121,7 @@ __all__ = ["GROUP", "null_min_max", "distinct_counts", "moments", "quantiles_by_
 # statistics are aggregated once per fold (one pass, each row once) and the
 # training-fold values are combined on the driver from the other folds:
 # counts and sums add, min/max take min/max, moments merge with Chan's
-# parallel formula, moment blocks subtract from the total.  Only exact
-# quantiles still need the exploded (row x training fold) form.
+# parallel formula.
 
 
 def _merge_moments(parts: list[tuple[int, float, float]]) -> tuple[int, float | None, float | None]:
@@ -264,48 +186,3 @@ def fold_moments(df: DataFrame, cols: list[str], fold_col: str, folds: list, fil
             ss = (m2 / (n - 1)) ** 0.5 if n > 1 else None
             out[f][x] = (n, mean, sp, ss)
     return out
-
-
-def fold_pair_correlations(df: DataFrame, cols: list[str], fold_col: str, folds: list) -> dict:
-    """{f: {(a, b): |pearson|}} on fold f's training rows: blocks per fold, total minus own fold."""
-    import numpy as np
-
-    names = [f"v{i}" for i in range(len(cols))]
-    vals = df.select(F.col(fold_col).cast("long").alias(GROUP),
-                     *[nan_to_null(c(x).cast("double")).alias(f"v{i}") for i, x in enumerate(cols)])
-    mean_row = vals.agg(*[F.avg(n).alias(n) for n in names]).first()
-    shift = np.array([0.0 if mean_row[n] is None else mean_row[n] for n in names])
-    shifts = _ShiftAll(shift)
-    summed = _summed_blocks(vals, names, shifts)
-    total = sum(summed.values())
-    return {f: _corr_from_blocks(total - summed.get(f, 0), cols) for f in folds}
-
-
-class _ShiftAll(dict):
-    """The same shift for every group."""
-
-    def __init__(self, shift):
-        super().__init__()
-        self.shift = shift
-
-    def __getitem__(self, key):
-        return self.shift
-
-
-def _corr_from_blocks(blocks, cols: list[str]) -> dict:
-    import numpy as np
-    n, s, q, pp = blocks
-    p = len(cols)
-    res = {}
-    for i in range(p):
-        for j in range(i + 1, p):
-            nij = n[i, j]
-            if nij < 2:
-                res[(cols[i], cols[j])] = None
-                continue
-            cov = pp[i, j] - s[i, j] * s[j, i] / nij
-            va = q[i, j] - s[i, j] ** 2 / nij
-            vb = q[j, i] - s[j, i] ** 2 / nij
-            den = va * vb
-            res[(cols[i], cols[j])] = None if den <= 0 else float(abs(cov) / np.sqrt(den))
-    return res

@@ -25,7 +25,8 @@ from plinth.operators.prep import (ClipModel, ImputeModel, fit_categorical_fill,
 from plinth.operators.quantile import COLUMN, fold_quantiles
 from plinth.operators.rank import global_rank
 from plinth.operators.split import FOLD, LABEL, assign_folds, kfold, stratify_labels
-from plinth.operators.stats import distinct_counts, fold_moments, pair_correlations
+from plinth.operators.correlate import pair_correlations
+from plinth.operators.stats import distinct_counts, fold_moments
 from plinth.session import work_path, written_table
 from plinth.sources.csv import scan_csv, write_csv
 from plinth.sources.fixture import FX_SQL, ID, TARGET, train_test

@@ -156,7 +156,8 @@ def fit_recipe_folds(df: DataFrame, feature_cols: list[str], prep: PrepSpec, fol
     for every stage.
     """
     from plinth.operators.split import FOLD as _FOLD, TRAIN_FOLD, training_rows
-    from plinth.operators.stats import fold_null_min_max, fold_pair_correlations
+    from plinth.operators.correlate import later_columns
+    from plinth.operators.stats import fold_null_min_max
     given, (prep, token) = prep, _prep_for(prep, encode)
     n_splits = len(folds) if len(folds) > 1 else 1
     stacked = training_rows(df.withColumnRenamed(fold_col, _FOLD) if fold_col != _FOLD else df, n_splits)
@@ -173,16 +174,8 @@ def fit_recipe_folds(df: DataFrame, feature_cols: list[str], prep: PrepSpec, fol
                     drops[f].append(x)
     if prep.drop_correlated_features:
         remaining = {f: [x for x in feature_cols if x not in drops[f] and is_numeric(types[x])] for f in folds}
-        union = [x for x in feature_cols if any(x in remaining[f] for f in folds)]
-        if len(union) >= 2:
-            corr = fold_pair_correlations(df, union, fold_col, folds)
-            for f in folds:
-                allowed, later = set(remaining[f]), []
-                for (a, b), r in corr[f].items():
-                    if a in allowed and b in allowed and r is not None and round(r, 12) > prep.correlation_threshold \
-                            and b not in later:
-                        later.append(b)
-                drops[f] += later
+        for f, later in later_columns(df, remaining, prep.correlation_threshold, fold_col, folds, feature_cols).items():
+            drops[f] += later
     drops = {f: sorted(set(v)) for f, v in drops.items()}
     kept = {f: [x for x in feature_cols if x not in drops[f]] for f in folds}
     num_union = [x for x in feature_cols if is_numeric(types[x]) and any(x in kept[f] for f in folds)]

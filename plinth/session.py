@@ -13,6 +13,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -83,6 +84,20 @@ def written_table(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_table(df, name: str):
+    """``written_table`` for the length of a ``with`` block, which deletes its folder at the end: for
+    passes over a table whose results do not refer to it."""
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once a session, so that worker functions import there
     wherever the driver was started."""

@@ -13,7 +13,8 @@ from plinth.operators import quantile
 from plinth.operators.quantile import quantile_dict
 from plinth.operators.rank import global_rank, prefix_sums
 from plinth.operators.categories import categories
-from plinth.operators.stats import modes, pair_correlations
+from plinth.operators.correlate import pair_correlations
+from plinth.operators.stats import modes
 
 
 def test_median_is_interpolated(spark):
