@@ -3,35 +3,43 @@
 ``row_number() over (order by ...)`` with no ``partitionBy`` moves every row
 into one task.  Instead the rows are range partitioned on the order key
 (plus a unique tie-breaker, so a hot value is split across partitions),
-sorted within partitions and checkpointed so that partition ids are stable
-under recomputation.  Per-partition counts (one number per partition) give
-the offsets; the position inside a partition comes from
-``monotonically_increasing_id`` whose low 33 bits count rows per partition.
+sorted within partitions and written as Parquet with their range's number
+and their place in it.  Counts per range (a scan of one column, one number
+per range) give the offsets.  Later scans read only the columns they need,
+and ranks do not depend on how the files are read.
+
+There are as many ranges as the session has shuffle partitions, more if the
+tables read are so large that a range would hold over RANGE_BYTES.
 """
 
 from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.session import reliable_checkpoint
+from plinth.session import written_table
 
-_PID, _MONO = "__pid", "__mono"
+RANGE_BYTES = 256 << 20
+_PID, _PLACE = "__pid", "__place"
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    read = sum(n for n in sizes if n < 1 << 62)           # above: of no known size
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), min(100_000, read // RANGE_BYTES))
 
 
-def _offsets_literal(counts: dict[int, int], n_parts: int) -> Column:
-    sizes = [counts.get(p, 0) for p in range(n_parts)]
-    starts = [0] + list(accumulate(sizes))[:-1]
-    return F.array(*[F.lit(int(s)).cast("long") for s in starts])
+def _starts(spark, counts: dict[int, int]) -> DataFrame:
+    """(range, rows before it): one row per range."""
+    pids = sorted(counts)
+    before = [0, *accumulate(counts[p] for p in pids)]
+    return spark.createDataFrame(list(zip(pids, before)), f"{_PID} int, __start long")
 
 
 def global_rank(df: DataFrame, order: list, name: str = "rank",
@@ -40,15 +48,13 @@ def global_rank(df: DataFrame, order: list, name: str = "rank",
 
     ``order`` must end in a unique column so that the result is deterministic.
     """
-    n_parts = _partitions(df, num_partitions)
-    ranged = reliable_checkpoint(df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order))
-    tagged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MONO, F.monotonically_increasing_id())
-    counts = {r[0]: r[1] for r in tagged.groupBy(_PID).count().collect()}   # one row per partition
-    actual_parts = ranged.rdd.getNumPartitions()
-    starts = _offsets_literal(counts, max(actual_parts, max(counts, default=0) + 1))
-    in_part = F.col(_MONO) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    return (tagged.withColumn(name, F.element_at(starts, F.col(_PID) + 1) + in_part + 1)
-            .drop(_PID, _MONO))
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)     # the rows of its task before it
+    ranged = (df.repartitionByRange(_partitions(df, num_partitions), *order).sortWithinPartitions(*order)
+              .withColumns({_PID: F.spark_partition_id(), _PLACE: place}))
+    table = written_table(ranged, "ranked")
+    counts = {r[0]: r[1] for r in table.groupBy(_PID).count().collect()}   # one row per range
+    return (table.join(F.broadcast(_starts(df.sparkSession, counts)), _PID)
+            .withColumn(name, F.col("__start") + F.col(_PLACE) + 1).drop(_PID, _PLACE, "__start"))
 
 
 def prefix_sums(df: DataFrame, keys: list[str], order_col: str, weight_col: str,
@@ -69,15 +75,15 @@ def prefix_sums_multi(df: DataFrame, keys: list[str], order_col: str, weight_col
     """Inclusive running sums of several weight columns per ``keys`` ordered by ``order_col``:
     adds ``cum_<w>`` for each and returns ``{key tuple: [total per weight]}``.
 
-    Range partitions on (keys, order) are checkpointed (partition ids must not
-    move), per-(partition, key) sums give the offsets (at most #partitions +
-    #keys rows, broadcast), and a window per (partition, key) adds the
-    running part inside each partition.
+    Range partitions on (keys, order) are written with their number,
+    per-(range, key) sums give the offsets (at most #ranges + #keys rows,
+    broadcast), and a window per (range, key) adds the running part inside
+    each range.
     """
     spark = df.sparkSession
     n_parts = _partitions(df, num_partitions)
-    ranged = reliable_checkpoint(df.repartitionByRange(n_parts, *keys, order_col))
-    tagged = ranged.withColumn(_PID, F.spark_partition_id())
+    ranged = df.repartitionByRange(n_parts, *keys, order_col).withColumn(_PID, F.spark_partition_id())
+    tagged = written_table(ranged, "ranges")
     part_rows = tagged.groupBy(_PID, *keys).agg(*[F.sum(w).alias(f"__p{i}") for i, w in enumerate(weight_cols)]).collect()
     by_key: dict = {}
     for r in part_rows:
