@@ -114,11 +114,3 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     sc.addPyFile(path)
     sc._plinth_shipped = True
-
-
-def reliable_checkpoint(df):
-    """``df.checkpoint(eager=True)`` into the shared folder (resolved first, so a session
-    created elsewhere works too).  Never ``localCheckpoint``: executor-local blocks
-    would not survive the loss of an executor."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
