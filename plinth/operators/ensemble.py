@@ -62,7 +62,8 @@ def stack(oof: DataFrame, test_pred: DataFrame, truth: DataFrame, id_col: str, m
     """
     params = params or {}
     cols = [f"m{i}" for i in range(len(members))]
-    train_w = wide(oof, id_col, members).toDF(id_col, *cols).join(truth, id_col)
+    # written: the fit, the scores and the predictions each read it
+    train_w = written_table(wide(oof, id_col, members).toDF(id_col, *cols).join(truth, id_col), "members")
     test_w = wide(test_pred, id_col, members).toDF(id_col, *cols)
     stats = train_w.agg(F.count(F.lit(1)), F.stddev_pop(LABEL)).first()
     ctx = FitContext(n_rows=stats[0], target_std=stats[1] or 0.0, n_features=len(cols), seed=seed)
