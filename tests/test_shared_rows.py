@@ -26,3 +26,13 @@ def test_partitions_follow_the_cells(spark, monkeypatch):
     monkeypatch.setattr(cv, "PARTITION_CELLS", 100, raising=False)
     rows = spark.range(0, 500, 1, 1).selectExpr("id", "id AS a")
     assert cv.training_partitions(spark, rows) == 10
+
+
+def test_prepared_rows_keep_their_partitions(spark, monkeypatch):
+    train, test = cm._tt(spark, SF)
+    monkeypatch.setattr(cv, "PARTITION_CELLS", 200, raising=False)
+    one = cv.CrossValidation(spark, train.select("id", "sale_price", "overall_qual"), cm._spec(), folds=False)
+    rows = one.prepared(None, None, False)[2]
+    n = rows.count()
+    assert rows.rdd.getNumPartitions() >= n * 5 // 200 > 4 and n == train.count()
+    one.release()
