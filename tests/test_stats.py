@@ -159,3 +159,29 @@ def test_distinct_counts_are_exact(spark):
     assert constant_columns(df, cols, 2)[None] == ["gap"]
     assert constant_columns(df, cols, 4999)[None] == ["small", "gap"]
     assert constant_columns(df, cols, 5000)[None] == cols
+
+
+def test_rank_by_computed_keys(spark):
+    key = F.lpad((F.col("id") * 7919 % 1009).cast("string"), 5, "0")
+    df = spark.range(0, 500, 1, 3).select("id", (F.col("id") % 2).alias("y"))
+    got = global_rank(df, [F.col("y"), "k", F.col("id")], "r", 4, {"k": key})
+    assert got.columns == ["id", "y", "r"]
+    rows = {r["id"]: r["r"] for r in got.collect()}
+    want = sorted(range(500), key=lambda i: (i % 2, f"{i * 7919 % 1009:05d}", i))
+    assert rows == {i: n + 1 for n, i in enumerate(want)}
+
+
+def test_seeded_keys_are_not_in_the_sort(spark):
+    from plinth.operators import rank, split
+    plans = []
+    written = rank.written_table
+    rank.written_table = lambda df, name: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), written(df, name))[1]
+    try:
+        df = spark.range(0, 100, 1, 3).select("id", (F.col("id") % 2).cast("int").alias("stratum"))
+        split.stratified_kfold(df, "id", 5, 42)
+        split.kfold(df, "id", 5, 42)
+        split.stratified_holdout(df, "id", 0.2, 42)
+    finally:
+        rank.written_table = written
+    sorts = [line for p in plans for line in p.splitlines() if "Sort [" in line]
+    assert len(sorts) == 3 and not any("md5" in line for line in sorts)
