@@ -15,7 +15,7 @@ from operator import add
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.functions.exprs import c
@@ -37,16 +37,34 @@ def usable_members(oof: DataFrame, test_pred: DataFrame, experiments: list[str])
 
 
 def blend(preds: DataFrame, id_col: str, members: list[str], how: str) -> DataFrame:
-    """(id, prediction): ``mean`` or ``median`` of the members' predictions per id."""
+    """(id, prediction): ``mean`` or ``median`` of the members' predictions per id.
+
+    A median takes one prediction of a member for each id; two are an error.
+    """
     rows = preds.filter(F.col(EXP).isin(members))
-    agg = F.avg(PRED) if how == "mean" else F.median(PRED)   # at most len(members) values per id
-    return rows.groupBy(id_col).agg(agg.alias(PRED))
+    if how == "mean":
+        return rows.groupBy(id_col).agg(F.avg(PRED).alias(PRED))
+    # one value a member at most, sorted as a short row: an exact percentile would keep a map for each id
+    cols = [f"__m{i}" for i in range(len(members))]
+    cells = rows.groupBy(id_col).agg(F.count(PRED).alias("__n"), *[x.alias(n) for n, x in zip(cols, _cells(members), strict=True)])
+    own = reduce(add, [F.col(x).isNotNull().cast("int") for x in cols])
+    cells = cells.select(id_col, "__n", own.alias("__own"), F.sort_array(F.array(*cols)).alias("__v"))   # nulls come first
+    at = lambda i: F.get("__v", F.lit(len(cols)) - F.col("__own") + i)
+    low, high = at(F.expr("cast((__own - 1) div 2 AS int)")), at(F.expr("cast(__own div 2 AS int)"))
+    middle = F.when(low == high, low).otherwise(0.5 * low + 0.5 * high)
+    twice = F.raise_error(F.concat(F.lit(f"{id_col}="), F.coalesce(F.col(id_col).cast("string"), F.lit("NULL")), F.lit(" has two predictions of a member")))
+    return cells.select(id_col, F.when(F.col("__n") > F.col("__own"), twice).otherwise(middle).alias(PRED))
+
+
+def _cells(members: list[str]) -> list[Column]:
+    """For each member the aggregate that gives its prediction of a group."""
+    return [F.first(F.when(F.col(EXP) == m, F.col(PRED)), ignorenulls=True) for m in members]
 
 
 def wide(preds: DataFrame, id_col: str, members: list[str]) -> DataFrame:
-    """One column per member (pivot with the member list given: no extra pass)."""
+    """One column per member, from one grouping by id."""
     return (preds.filter(F.col(EXP).isin(members)).groupBy(id_col)
-            .pivot(EXP, members).agg(F.first(PRED)))
+            .agg(*[x.alias(m) for m, x in zip(members, _cells(members), strict=True)]))
 
 
 def pooled_score(pred: DataFrame, truth: DataFrame, id_col: str, metric: Metric = RMSE, transform: str = "none") -> float:
@@ -82,8 +100,8 @@ def stack_out_of_fold(oof: DataFrame, truth: DataFrame, id_col: str, members: li
     have none here; a single fold (a holdout) leaves nothing to learn from and is an error.
     """
     params, cols = params or {}, [f"m{i}" for i in range(len(members))]
-    rows = (oof.filter(F.col(EXP).isin(members)).groupBy(id_col, FOLD).pivot(EXP, members).agg(F.first(PRED))
-            .toDF(id_col, FOLD, *cols).join(truth.select(id_col, LABEL), id_col).dropna(subset=[*cols, LABEL]))
+    rows = (oof.filter(F.col(EXP).isin(members)).groupBy(id_col, FOLD)
+            .agg(*[x.alias(n) for n, x in zip(cols, _cells(members), strict=True)]).join(truth.select(id_col, LABEL), id_col).dropna(subset=[*cols, LABEL]))
     rows = written_table(VectorAssembler(inputCols=cols, outputCol="__meta").transform(rows).select(id_col, FOLD, LABEL, "__meta"), "members")
     folds = sorted(r[0] for r in rows.select(FOLD).distinct().collect())
     if len(folds) < 2:
