@@ -10,7 +10,7 @@ from plinth.session import ship_package
 from tests.conftest import SF
 
 
-@pytest.mark.parametrize("name", ["best_experiment"])
+@pytest.mark.parametrize("name", ["best_experiment", "leaderboard"])
 def test_query_ends_where_a_second_package_is_refused(spark, monkeypatch, name):
     ship_package(spark)                       # the workers have it; below only the sending is watched
     sc, sent = spark.sparkContext, {}
