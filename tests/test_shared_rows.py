@@ -36,3 +36,18 @@ def test_prepared_rows_keep_their_partitions(spark, monkeypatch):
     n = rows.count()
     assert rows.rdd.getNumPartitions() >= n * 5 // 200 > 4 and n == train.count()
     one.release()
+
+
+def test_members_share_the_passes_of_their_statistics(spark):
+    before = _written(spark, "brackets")
+    cm.run_members(spark, SF, refit=True)
+    assert len(_written(spark, "brackets") - before) == 2        # of the folds and of all rows
+
+
+def test_a_member_has_the_statistics_of_its_column_alone(spark):
+    train, _ = cm._tt(spark, SF)
+    cols = ["overall_qual", "area_garage", "alley"]
+    one = cv.CrossValidation(spark, train.select("id", "sale_price", *cols), cm._spec())
+    for x, member in zip(cols, one.on_each(cols), strict=True):
+        for k in (5, None):
+            assert member.recipes(k, True) == one.on([x]).recipes(k, True)
