@@ -1,6 +1,7 @@
 """Members share one table of rows and folds; partitions that are scanned often stay small."""
 
 import glob
+import threading
 
 from plinth.plans import catalog_models as cm
 from plinth.plans import cv
@@ -51,3 +52,21 @@ def test_a_member_has_the_statistics_of_its_column_alone(spark):
     for x, member in zip(cols, one.on_each(cols), strict=True):
         for k in (5, None):
             assert member.recipes(k, True) == one.on([x]).recipes(k, True)
+
+
+def test_members_submit_no_more_fold_fits_than_one_engine(spark, monkeypatch):
+    lock, now, most, fit = threading.Lock(), [0], [0], cv.CrossValidation.fit_fold_linear
+
+    def counted(*args, **kwargs):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        try:
+            return fit(*args, **kwargs)
+        finally:
+            with lock:
+                now[0] -= 1
+
+    monkeypatch.setattr(cv.CrossValidation, "fit_fold_linear", counted)
+    cm.run_members(spark, SF)
+    assert 1 <= most[0] <= cm.SPEC.parallelism
